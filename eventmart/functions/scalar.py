@@ -52,6 +52,19 @@ def count_event(event_name: Column, name: str) -> Column:
     return F.count_if(event_name == name)
 
 
-def sum_for_event(event_name: Column, name: str, value: Column) -> Column:
-    """Sum over the rows of one event type; null when none has a value."""
-    return F.sum(F.when(event_name == name, value))
+def for_event(event_name: Column, name: str, value: Column) -> Column:
+    """The value on rows of one event type, null elsewhere."""
+    return F.when(event_name == name, value)
+
+
+def money_sum(amount: Column) -> Column:
+    """Sum of a money column as double, the same whatever the order of the rows.
+
+    Doubles would add up to different last digits in every run, which rounding to cents can
+    turn into different reports. Amounts are added as decimals; one too large for that
+    (from 1e20) is added as a double.
+    """
+    exact = amount.try_cast("decimal(38,18)")
+    regular = F.sum(exact).cast("double")
+    huge = F.sum(F.when(exact.isNull(), amount))
+    return F.when(huge.isNull(), regular).otherwise(huge + F.coalesce(regular, F.lit(0.0)))

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.scalar import (
     count_event,
+    for_event,
     masked_email,
+    money_sum,
     ratio,
     seconds_between,
-    sum_for_event,
 )
 
 AI_CALL = "ai_response_generated"
@@ -50,7 +51,7 @@ def model_rates(calls: DataFrame) -> DataFrame:
     return (
         calls.filter(F.col("cost_usd").isNotNull() & (F.col("total_tokens") > 0))
         .groupBy("model")
-        .agg(ratio(F.sum("cost_usd"), F.sum("total_tokens")).alias("usd_per_token"))
+        .agg(ratio(money_sum(F.col("cost_usd")), F.sum("total_tokens")).alias("usd_per_token"))
     )
 
 
@@ -110,7 +111,7 @@ def fact_sessions(events: DataFrame) -> DataFrame:
             count_event(name, "workflow_completed").alias("workflows_completed"),
             count_event(name, "error_raised").alias("errors_raised"),
             F.sum("total_tokens").alias("total_tokens"),
-            F.sum("cost_usd").alias("cost_usd"),
+            money_sum(F.col("cost_usd")).alias("cost_usd"),
             F.bool_or(name == "session_started").alias("has_session_started"),
             F.bool_or(name == "prompt_submitted").alias("has_prompt_submitted"),
             F.bool_or(name == AI_CALL).alias("has_ai_response"),
@@ -168,8 +169,8 @@ def account_days(events: DataFrame) -> DataFrame:
         count_event(name, "response_rejected").alias("responses_rejected"),
         count_event(name, "workflow_completed").alias("workflows_completed"),
         count_event(name, "error_raised").alias("errors_raised"),
-        sum_for_event(name, AI_CALL, F.col("total_tokens")).alias("ai_total_tokens"),
-        sum_for_event(name, AI_CALL, F.col("cost_usd")).alias("ai_cost_usd"),
+        F.sum(for_event(name, AI_CALL, F.col("total_tokens"))).alias("ai_total_tokens"),
+        money_sum(for_event(name, AI_CALL, F.col("cost_usd"))).alias("ai_cost_usd"),
         F.count_if((name == AI_CALL) & F.col("cost_usd").isNull()).alias("uncosted_interactions"),
     )
     return per_session.groupBy("event_date", "account_id").agg(
@@ -177,7 +178,7 @@ def account_days(events: DataFrame) -> DataFrame:
         F.count_distinct("session_id").alias("sessions"),
         *(F.sum(column).alias(column) for column in counts),
         F.sum("ai_total_tokens").alias("ai_total_tokens"),
-        F.coalesce(F.sum("ai_cost_usd"), F.lit(0.0)).alias("ai_cost_usd"),
+        F.coalesce(money_sum(F.col("ai_cost_usd")), F.lit(0.0)).alias("ai_cost_usd"),
         F.sum("uncosted_interactions").alias("uncosted_interactions"),
     )
 
@@ -187,7 +188,7 @@ def daily_account_metrics(
 ) -> DataFrame:
     """One row per day and account with at least one valid event."""
     estimated = interactions.groupBy("event_date", "account_id").agg(
-        F.sum("cost_usd_estimated").alias("estimated")
+        money_sum(F.col("cost_usd_estimated")).alias("estimated")
     )
     names = accounts.select("account_id", "account_name", "plan")
     return (

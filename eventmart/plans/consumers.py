@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.functions.scalar import percent, reason_bucket
+from eventmart.functions.scalar import money_sum, percent, reason_bucket
 
 
 def kpi_summary(
@@ -24,7 +24,7 @@ def kpi_summary(
             ).alias("completion"),
         ),
         interactions.agg(F.count("*").alias("interactions")),
-        daily.agg(F.round(F.sum("ai_cost_usd_estimated"), 2).alias("cost")),
+        daily.agg(F.round(money_sum(F.col("ai_cost_usd_estimated")), 2).alias("cost")),
     ]
     # Every part is one row.
     joined = reduce(lambda left, right: left.crossJoin(F.broadcast(right)), parts)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from eventmart.functions.scalar import count_event, percent, ratio
+from eventmart.functions.scalar import count_event, money_sum, percent, ratio
 from eventmart.operators.quantiles import histogram_quantiles
 from eventmart.schemas import FUNNEL_STAGES
 
@@ -212,7 +212,7 @@ def acceptance_by_model(interactions: DataFrame) -> DataFrame:
         F.count("*").alias("calls"),
         F.count("accepted").alias("flagged"),
         F.count_if("accepted").alias("accepted"),
-        F.sum("cost_usd_estimated").alias("cost"),
+        money_sum(F.col("cost_usd_estimated")).alias("cost"),
         F.count("cost_usd_estimated").alias("costed"),
     )
     return (
@@ -225,7 +225,7 @@ def acceptance_by_model(interactions: DataFrame) -> DataFrame:
             F.sum("calls").alias("ai_calls"),
             F.sum("flagged").alias("flagged_calls"),
             F.sum("accepted").alias("accepted_calls"),
-            ratio(F.sum("cost"), F.sum("costed")).alias("mean_cost"),
+            ratio(money_sum(F.col("cost")), F.sum("costed")).alias("mean_cost"),
         )
         .select(
             "model",

@@ -1,8 +1,8 @@
 """Queries by operator: name -> (function of session and table folder, expected-result SQL).
 
 Queries on the clean events and the marts read the warehouse that ``feed.warehouse`` builds
-once from the tables; the others compute from the tables directly. Sums of doubles are
-rounded on both sides, as their last digit depends on the order of summation.
+once from the tables; the others compute from the tables directly. Means and
+deviations of doubles are rounded on both sides, as their last digits depend on row order.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.functions import scalar
-from eventmart.functions.scalar import ratio, reason_bucket
+from eventmart.functions.scalar import money_sum, ratio, reason_bucket
 from eventmart.operators import classify, marts, quality
 from eventmart.operators.quantiles import histogram_quantiles
 from eventmart.plans import consumers, reports
@@ -44,12 +44,6 @@ def mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return feed.warehouse(spark, sf_dir).table(name)
 
 
-def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    for column in columns:
-        df = df.withColumn(column, F.round(column, digits))
-    return df
-
-
 # -- sources and sinks ---------------------------------------------------------------
 
 
@@ -511,19 +505,20 @@ def left_equi_metadata(spark, sf_dir):
 
 @query(
     "j02_left_using_rates",
-    "SELECT event_id, model, round(usd_per_token, 9) AS usd_per_token FROM i",
+    "SELECT event_id, model, usd_per_token FROM i",
 )
 def left_using_rates(spark, sf_dir):
     calls = marts.ai_calls(mart(spark, sf_dir, "stg_events"))
     return calls.join(mart(spark, sf_dir, "model_rates"), "model", "left").select(
-        "event_id", "model", F.round("usd_per_token", 9).alias("usd_per_token")
+        "event_id", "model", "usd_per_token"
     )
 
 
 @query(
     "j03_left_composite",
-    """SELECT d.event_date, d.account_id, d.events, round(x.estimated, 6) AS estimated
-       FROM d LEFT JOIN (SELECT event_date, account_id, sum(cost_usd_estimated) AS estimated
+    """SELECT d.event_date, d.account_id, d.events, x.estimated
+       FROM d LEFT JOIN (SELECT event_date, account_id,
+                                sum(cost_usd_estimated::DECIMAL(18, 6))::DOUBLE AS estimated
                          FROM i GROUP BY event_date, account_id) x
        ON x.event_date = d.event_date AND x.account_id = d.account_id""",
 )
@@ -531,7 +526,7 @@ def left_composite(spark, sf_dir):
     costs = (
         mart(spark, sf_dir, "fact_ai_interactions")
         .groupBy("event_date", "account_id")
-        .agg(F.round(F.sum("cost_usd_estimated"), 6).alias("estimated"))
+        .agg(money_sum(F.col("cost_usd_estimated")).alias("estimated"))
     )
     return (
         marts.account_days(mart(spark, sf_dir, "stg_events"))
@@ -629,15 +624,13 @@ def count_filter(spark, sf_dir):
 @query("a04_sum_filter", "SELECT event_date, account_id, ai_total_tokens, ai_cost_usd FROM d")
 def sum_filter(spark, sf_dir):
     days = marts.account_days(mart(spark, sf_dir, "stg_events"))
-    return rounded(
-        days.select("event_date", "account_id", "ai_total_tokens", "ai_cost_usd"), "ai_cost_usd"
-    )
+    return days.select("event_date", "account_id", "ai_total_tokens", "ai_cost_usd")
 
 
-@query("a05_sum_ratio", "SELECT model, round(usd_per_token, 9) AS usd_per_token FROM rates")
+@query("a05_sum_ratio", "SELECT model, usd_per_token FROM rates")
 def sum_ratio(spark, sf_dir):
     calls = marts.ai_calls(mart(spark, sf_dir, "stg_events"))
-    return rounded(marts.model_rates(calls), "usd_per_token", digits=9)
+    return marts.model_rates(calls)
 
 
 @query("a06_min_max", "SELECT session_id, started_at, ended_at, workflow FROM q")
@@ -704,7 +697,8 @@ def median(spark, sf_dir):
     "SELECT workflow, round(quantile_cont(latency_ms, 0.95), 3) AS p95_ms FROM i GROUP BY workflow",
 )
 def quantile_cont(spark, sf_dir):
-    return rounded(_latency_quantile(spark, sf_dir, "p95_ms", 0.95), "p95_ms", digits=3)
+    quantiles = _latency_quantile(spark, sf_dir, "p95_ms", 0.95)
+    return quantiles.withColumn("p95_ms", F.round("p95_ms", 3))
 
 
 @query(
@@ -922,19 +916,16 @@ def fact_ai_interactions(spark, sf_dir):
               n5 > 0 AS has_workflow_completed, duration_seconds FROM q""",
 )
 def fact_sessions(spark, sf_dir):
-    return rounded(marts.fact_sessions(mart(spark, sf_dir, "stg_events")), "cost_usd")
+    return marts.fact_sessions(mart(spark, sf_dir, "stg_events"))
 
 
 @query("m08_daily_account_metrics", "SELECT * FROM d")
 def daily_account_metrics(spark, sf_dir):
     built = feed.warehouse(spark, sf_dir)
-    return rounded(
-        marts.daily_account_metrics(
-            built.table("stg_events"),
-            built.table("fact_ai_interactions"),
-            built.table("dim_accounts"),
-        ),
-        "ai_cost_usd",
+    return marts.daily_account_metrics(
+        built.table("stg_events"),
+        built.table("fact_ai_interactions"),
+        built.table("dim_accounts"),
     )
 
 
@@ -963,8 +954,9 @@ def latency_by_model(spark, sf_dir):
 
 @query(
     "r04_daily_cost_by_account",
-    """SELECT event_date, account_id, account_name, round(ai_cost_usd, 4) AS ai_cost_usd,
-              round(ai_cost_usd_estimated, 4) AS ai_cost_usd_estimated, ai_interactions,
+    """SELECT event_date, account_id, account_name, round(ai_cost_usd::DECIMAL(18, 6), 4)::DOUBLE AS ai_cost_usd,
+              round(ai_cost_usd_estimated::DECIMAL(18, 6), 4)::DOUBLE AS ai_cost_usd_estimated,
+              ai_interactions,
               uncosted_interactions FROM d WHERE ai_interactions <> 0""",
 )
 def daily_cost_by_account(spark, sf_dir):
@@ -1147,7 +1139,7 @@ def rejection_breakdown(spark, sf_dir):
     "c01_kpi_summary",
     """SELECT (SELECT count(DISTINCT user_id) FROM s) AS users,
               (SELECT count(*) FROM q) AS sessions, (SELECT count(*) FROM i) AS interactions,
-              (SELECT round(sum(ai_cost_usd_estimated), 2) FROM d) AS cost,
+              (SELECT round(sum(ai_cost_usd_estimated::DECIMAL(18, 6)), 2)::DOUBLE FROM d) AS cost,
               (SELECT round(100 * avg((n5 > 0)::INT), 1) FROM q WHERE n1 > 0) AS completion""",
 )
 def kpi_summary(spark, sf_dir):

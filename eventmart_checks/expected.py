@@ -25,7 +25,7 @@ PARTS = {
         FROM events JOIN customer ON user_id = c_custkey""",
     # Typed columns of every event.
     "t": """
-        SELECT *, event_name = 'ai_response_generated' AS ai,
+        SELECT *, event_name IS NOT DISTINCT FROM 'ai_response_generated' AS ai,
                CASE WHEN id % 211 = 0 THEN NULL WHEN id % 223 = 0 THEN ''
                     ELSE 'evt_' || id END AS event_id,
                CASE WHEN id % 227 <> 0 THEN date_trunc('second', ts) END AS event_ts,
@@ -66,7 +66,7 @@ PARTS = {
                CASE WHEN event_name = 'response_rejected' THEN 'tone' END AS rejected_reason_text,
                CASE WHEN event_name IN ('user_invited', 'user_signed_up') THEN 'email'
                END AS invite_channel,
-               coalesce(ai AND id % 277 = 0, FALSE) AS breaks_contract
+               ai AND id % 277 = 0 AS breaks_contract
         FROM t""",
     # The feed: every event, exact copies (1) and early invalid copies (2).
     "f": """
@@ -198,7 +198,7 @@ PARTS = {
                c.line_number
         FROM c JOIN j USING (id, copy) WHERE rejection_reason IS NOT NULL""",
     "rates": """
-        SELECT model, sum(cost_usd) / sum(total_tokens) AS usd_per_token
+        SELECT model, sum(cost_usd::DECIMAL(18, 6))::DOUBLE / sum(total_tokens) AS usd_per_token
         FROM s WHERE ai AND cost_usd IS NOT NULL GROUP BY model""",
     # AI calls.
     "i": """
@@ -220,7 +220,7 @@ PARTS = {
                sum((event_name = 'response_rejected')::INT)::BIGINT AS n6,
                sum((event_name = 'workflow_completed')::INT)::BIGINT AS n5,
                sum((event_name = 'error_raised')::INT)::BIGINT AS n7,
-               sum(total_tokens)::BIGINT AS total_tokens, round(sum(cost_usd), 6) AS cost_usd,
+               sum(total_tokens)::BIGINT AS total_tokens, sum(cost_usd::DECIMAL(18, 6))::DOUBLE AS cost_usd,
                date_diff('second', min(event_ts), max(event_ts)) AS duration_seconds
         FROM s WHERE session_id IS NOT NULL GROUP BY session_id""",
     # Accounts per day.
@@ -235,11 +235,11 @@ PARTS = {
                sum((event_name = 'workflow_completed')::INT)::BIGINT AS workflows_completed,
                sum((event_name = 'error_raised')::INT)::BIGINT AS errors_raised,
                sum(CASE WHEN ai THEN total_tokens END)::BIGINT AS ai_total_tokens,
-               round(coalesce(sum(cost_usd), 0), 6) AS ai_cost_usd,
+               coalesce(sum(cost_usd::DECIMAL(18, 6)), 0)::DOUBLE AS ai_cost_usd,
                sum((ai AND cost_usd IS NULL)::INT)::BIGINT AS uncosted_interactions,
-               round(coalesce(any_value(est), 0), 6) AS ai_cost_usd_estimated
+               coalesce(any_value(est), 0)::DOUBLE AS ai_cost_usd_estimated
         FROM s JOIN accounts USING (account_id)
-        LEFT JOIN (SELECT event_date, account_id, sum(cost_usd_estimated) AS est
+        LEFT JOIN (SELECT event_date, account_id, sum(cost_usd_estimated::DECIMAL(18, 6)) AS est
                    FROM i GROUP BY ALL) x
           ON x.event_date = s.event_date AND x.account_id = s.account_id
         GROUP BY s.event_date, s.account_id, account_name, plan""",

@@ -24,15 +24,18 @@ INGESTED_AT = datetime(2024, 2, 1)
 CREATED_AT = datetime(2023, 6, 1)
 CLOCK = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
-ID, UID, NATION = F.col("event_id"), F.col("user_id"), F.col("c_nationkey")
-
 # Lines of one generated event file hold this many consecutive ids, so no file grows with
 # the data; there are more files instead.
 IDS_PER_FILE = 5000
 
 
+def number() -> Column:
+    """The id of an event in the ``events`` table, which all rules count by."""
+    return F.col("event_id")
+
+
 def every(n: int) -> Column:
-    return ID % n == 0
+    return number() % n == 0
 
 
 def text(*parts) -> Column:
@@ -50,11 +53,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _event_name() -> Column:
-    turn = ID % 20
+    turn, user = number() % 20, F.col("user_id")
     return (
         F.when(every(269), "assistant_hovered")
         .when(every(271), None)
-        .when((F.col("event_type") == "error") & (UID % 50 == 0), "error_raised")
+        .when((F.col("event_type") == "error") & (user % 50 == 0), "error_raised")
         .when(turn == 0, "user_invited")
         .when(turn == 1, "user_signed_up")
         .when(turn <= 4, "session_started")
@@ -69,36 +72,37 @@ def _event_name() -> Column:
 
 def _properties(name: Column) -> Column:
     """The properties object as compact JSON text; null for unknown event names."""
-    workflow = text('"workflow":"wf_', UID % 4, '"')
+    i = number()
+    workflow = text('"workflow":"wf_', F.col("user_id") % 4, '"')
     latency = (
         F.when(every(277), text('"latency_ms":"fast"'))
         .when(every(281), text('"latency_ms":-5'))
-        .otherwise(text('"latency_ms":', 200 + (ID * 37) % 4800))
+        .otherwise(text('"latency_ms":', 200 + (i * 37) % 4800))
     )
     cost = (
         F.when(every(7), None)
         .when(every(11), text('"cost_usd":null'))
-        .otherwise(text('"cost_usd":0.1', padded((ID * 13) % 1000), "1"))
+        .otherwise(text('"cost_usd":0.1', padded((i * 13) % 1000), "1"))
     )
     accepted = (
-        F.when(ID % 8 == 1, None)
+        F.when(i % 8 == 1, None)
         .when(every(3), text('"accepted":false'))
         .otherwise(text('"accepted":true'))
     )
     members = {
         "ai_response_generated": (
             workflow,
-            text('"model":"m', ID % 3, '"'),
-            text('"prompt_tokens":', 50 + ID % 900),
-            text('"completion_tokens":', 10 + ID % 300),
+            text('"model":"m', i % 3, '"'),
+            text('"prompt_tokens":', 50 + i % 900),
+            text('"completion_tokens":', 10 + i % 300),
             latency,
             cost,
             accepted,
         ),
-        "prompt_submitted": (workflow, text('"prompt_length_chars":', ID % 500)),
-        "workflow_completed": (workflow, text('"duration_ms":', 1000 + ID % 100000)),
+        "prompt_submitted": (workflow, text('"prompt_length_chars":', i % 500)),
+        "workflow_completed": (workflow, text('"duration_ms":', 1000 + i % 100000)),
         "session_started": (workflow, text('"device":"web"')),
-        "error_raised": (text('"error_code":"E', ID % 5, '"'),),
+        "error_raised": (text('"error_code":"E', i % 5, '"'),),
         "response_rejected": (workflow, text('"reason":"tone"')),
         "response_accepted": (workflow,),
         "user_invited": (text('"invite_channel":"email"'),),
@@ -117,25 +121,25 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
         F.col("user_id") == F.col("c_custkey"),
     )
-    name = _event_name()
+    i, user, nation = number(), F.col("user_id"), F.col("c_nationkey")
     moment = F.col("ts")
-    delay = F.when(every(37), 7200 + ID % 1000).otherwise(ID % 120)
+    delay = F.when(every(37), 7200 + i % 1000).otherwise(i % 120)
     six_days = F.floor(F.datediff(moment, F.lit("2024-01-01").cast("date")) / 6)
     session = F.when(
         ~every(263)
         & ~F.coalesce(F.col("event_name").isin("user_invited", "user_signed_up"), F.lit(False)),
-        text("sess_", UID, "_", six_days),
+        text("sess_", user, "_", six_days),
     )
     # 0 is the event itself, 1 an exact copy, 2 an invalid copy that arrives first.
     copies = F.filter(
         F.array(F.lit(0), F.when(every(31), 1), F.when(every(293), 2)), lambda n: n.isNotNull()
     )
     copy = F.col("copy")
-    rows = base.withColumn("event_name", name).withColumn("copy", F.explode(copies))
+    rows = base.withColumn("event_name", _event_name()).withColumn("copy", F.explode(copies))
     rows = rows.select(
-        ID.alias("id"),
+        i.alias("id"),
         "copy",
-        F.when(every(211), None).when(every(223), "").otherwise(text("evt_", ID)).alias("event_id"),
+        F.when(every(211), None).when(every(223), "").otherwise(text("evt_", i)).alias("event_id"),
         F.when(every(227), "2024-01-01 99:99:99")
         .otherwise(F.date_format(moment, CLOCK))
         .alias("event_ts"),
@@ -145,12 +149,12 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(copy == 2, None)
         .when(every(233), None)
         .when(every(239), "acct_999")
-        .when(every(241), text("acct_", padded((NATION + 1) % 25)))
-        .otherwise(text("acct_", padded(NATION)))
+        .when(every(241), text("acct_", padded((nation + 1) % 25)))
+        .otherwise(text("acct_", padded(nation)))
         .alias("account_id"),
         F.when(every(251), None)
         .when(every(257), "user_x")
-        .otherwise(text("user_", UID))
+        .otherwise(text("user_", user))
         .alias("user_id"),
         session.alias("session_id"),
         "event_name",
@@ -158,7 +162,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("events_"), F.date_format(moment, "yyyy-MM-dd"), F.lit(".jsonl")).alias(
             "source_file"
         ),
-        (ID + 1 + copy * 1000000).alias("line_number"),
+        (i + 1 + copy * 1000000).alias("line_number"),
     )
     return rows.withColumn("raw_line", _json_line())
 
@@ -233,10 +237,10 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(value, source_file, line_number)`` of the feed and of its bad lines, and the id."""
     rows = feed(spark, sf_dir)
     bad = F.when(F.col("copy") == 0, _bad_line())
-    number = F.col("line_number")
+    line = F.col("line_number")
     values = F.array(
-        F.struct(F.col("raw_line").alias("value"), number.alias("line_number")),
-        F.struct(bad.alias("value"), (number + 5000000).alias("line_number")),
+        F.struct(F.col("raw_line").alias("value"), line.alias("line_number")),
+        F.struct(bad.alias("value"), (line + 5000000).alias("line_number")),
     )
     return (
         rows.select("id", "source_file", F.inline(values))
