@@ -4,28 +4,31 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.schemas import FLAG, INTEGER, NUMBER, PROPERTIES, SPARK_TYPE
 
 # Beyond the signed 64-bit range, JSON integers count up to the unsigned one.
 UNSIGNED_ONLY = (Decimal(9223372036854775808), Decimal(18446744073709551615))
+WIDE_INTEGER_TYPES = ("DECIMAL(19,0)", "DECIMAL(20,0)")
 
 
-def strict_json(text: Column) -> Column:
-    """Parse ``text`` to VARIANT; null unless the whole text is exactly one JSON value.
+def with_json(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Add column ``text`` parsed to VARIANT; null unless all of it is exactly one JSON value.
 
     ``try_parse_json`` stops after the first value and ignores what follows, so the text
     is parsed as the first element of an array whose second element is the text's own
-    hash. Anything after the value shifts, drops or breaks that second element.
+    hash. Anything after the value shifts, drops or breaks that second element. The array
+    is a column of its own, so that every line is parsed once.
     """
     mark = F.xxhash64(text).cast("string")
-    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark, F.lit("]")))
-    intact = (F.try_variant_get(pair, "$[1]", "string") == mark) & F.try_variant_get(
-        pair, "$[2]", "variant"
+    pair = F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(","), mark, F.lit("]")))
+    intact = (F.try_variant_get("_pair", "$[1]", "string") == mark) & F.try_variant_get(
+        "_pair", "$[2]", "variant"
     ).isNull()
-    return F.when(intact, F.try_variant_get(pair, "$[0]", "variant"))
+    value = F.when(intact, F.try_variant_get("_pair", "$[0]", "variant"))
+    return df.withColumn("_pair", pair).withColumn(name, value).drop("_pair")
 
 
 def member(value: Column, key: str) -> Column:
@@ -49,31 +52,45 @@ def json_type(properties: Column, key: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(properties, f"$.{key}", "variant"))
 
 
-def violates_contract(properties: Column, raw_payload: Column, key: str, kind: str) -> Column:
-    """True when a present, non-null property has a JSON type outside its contract."""
-    found = json_type(properties, key)
+def fits_contract(found: Column, properties: Column, key: str, kind: str) -> Column:
+    """Whether a property of JSON type ``found`` keeps its contract; null when absent."""
     if kind == FLAG:
-        fits = found.isin("BOOLEAN", "VOID")
-    elif kind == NUMBER:
-        fits = found.isin("BIGINT", "DOUBLE", "VOID") | found.startswith("DECIMAL(")
-    else:
-        # An integer above the signed range is held as a 19- or 20-digit decimal, and so
-        # is the same number written with ".0": only the text can tell the two apart.
-        value = F.try_variant_get(properties, f"$.{key}", "decimal(20,0)")
-        literal = F.get_json_object(raw_payload, f"$.properties.{key}")
-        unsigned = value.between(*map(F.lit, UNSIGNED_ONLY)) & literal.rlike(r"^\d+$")
-        fits = (
-            F.when(found.isin("BIGINT", "VOID"), True)
-            .when(found.isin("DECIMAL(19,0)", "DECIMAL(20,0)"), F.coalesce(unsigned, F.lit(False)))
-            .otherwise(False)
-        )
-    return found.isNotNull() & ~fits
-
-
-def any_contract_violation(properties: Column, raw_payload: Column) -> Column:
-    """True when at least one typed property breaks the contract."""
+        return found.isin("BOOLEAN", "VOID")
+    if kind == NUMBER:
+        return found.isin("BIGINT", "DOUBLE", "VOID") | found.startswith("DECIMAL(")
+    # An integer above the signed range is held as a decimal without digits after the point.
+    value = F.try_variant_get(properties, f"$.{key}", "decimal(20,0)")
+    unsigned = F.coalesce(value.between(*map(F.lit, UNSIGNED_ONLY)), F.lit(False))
+    return found.isin("BIGINT", "VOID") | F.when(
+        found.isin(*WIDE_INTEGER_TYPES), unsigned
+    ).otherwise(False)
+
+
+def with_contract_check(df: DataFrame, properties: str, name: str) -> DataFrame:
+    """Add whether at least one typed property breaks the contract.
+
+    The JSON types are columns of their own, so that each is looked up once.
+    """
+    checked = [(key, kind) for key, _, kind in PROPERTIES if kind in (INTEGER, NUMBER, FLAG)]
+    types = {f"_type_{key}": json_type(F.col(properties), key) for key, _ in checked}
     broken = F.lit(False)
+    for key, kind in checked:
+        fits = fits_contract(F.col(f"_type_{key}"), F.col(properties), key, kind)
+        broken = broken | ~F.coalesce(fits, F.lit(True))
+    return df.withColumns(types).withColumn(name, broken).drop(*types)
+
+
+def has_wide_float(line: Column, properties: Column) -> Column:
+    """Whether an integer property is a float that VARIANT cannot tell from an integer.
+
+    VARIANT drops trailing zeros, so ``9223372036854775808.0`` looks like the integer, and
+    only the text knows better. The text is searched for such digits first, which hardly
+    any line has.
+    """
+    floats = F.lit(False)
     for key, _, kind in PROPERTIES:
-        if kind in (INTEGER, NUMBER, FLAG):
-            broken = broken | violates_contract(properties, raw_payload, key, kind)
-    return broken
+        if kind == INTEGER:
+            literal = F.get_json_object(line, f"$.properties.{key}")
+            wide = json_type(properties, key).isin(*WIDE_INTEGER_TYPES)
+            floats = floats | F.coalesce(wide & ~literal.rlike(r"^-?\d+$"), F.lit(False))
+    return F.when(line.rlike(r"\d{17}\."), floats).otherwise(False)

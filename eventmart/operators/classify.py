@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.functions.scalar import is_late, lenient_timestamp, seconds_between
-from eventmart.functions.variant import any_contract_violation, property_columns
+from eventmart.functions.variant import property_columns, with_contract_check
 from eventmart.schemas import (
     CLASSIFIED_COLUMNS,
     EVENT_NAMES,
@@ -16,13 +16,15 @@ from eventmart.schemas import (
     PROPERTIES,
     SESSIONLESS_EVENTS,
 )
+from eventmart.session import materialize
 
 DUPLICATE = "duplicate_event_id"
 
 
 def type_events(raw_events: DataFrame) -> DataFrame:
     """Typed, flattened events; ``breaks_contract`` flags a wrongly typed property."""
-    return raw_events.select(
+    checked = with_contract_check(raw_events, "properties", "breaks_contract")
+    return checked.select(
         "event_id",
         lenient_timestamp(F.col("event_ts")).alias("event_ts"),
         F.col("event_ts").alias("event_ts_raw"),
@@ -32,7 +34,7 @@ def type_events(raw_events: DataFrame) -> DataFrame:
         "session_id",
         "event_name",
         *property_columns(F.col("properties")),
-        any_contract_violation(F.col("properties"), F.col("raw_payload")).alias("breaks_contract"),
+        (F.col("breaks_contract") | F.col("has_wide_float")).alias("breaks_contract"),
         "raw_payload",
         "source_file",
         "line_number",
@@ -100,8 +102,8 @@ def validate_events(
     )
 
 
-def first_received(valid: DataFrame) -> DataFrame:
-    """Event id and lineage of the copy of each event that arrived first.
+def repeated_events(validated: DataFrame) -> DataFrame:
+    """Events with several valid copies, and the lineage of the copy that arrived first.
 
     An aggregate rather than a ranking window: copies collapse before the shuffle, so an
     event that was sent a billion times costs its group one row per task.
@@ -113,27 +115,33 @@ def first_received(valid: DataFrame) -> DataFrame:
         "line_number",
     )
     return (
-        valid.groupBy("event_id")
-        .agg(F.min(arrival).alias("first"))
-        .select("event_id", "first.source_file", "first.line_number")
+        validated.filter(F.col("rejection_reason").isNull())
+        .groupBy("event_id")
+        .agg(F.min(arrival).alias("first"), F.count("*").alias("copies"))
+        .filter(F.col("copies") > 1)
+        .select(
+            "event_id",
+            F.col("first.source_file").alias("first_source_file"),
+            F.col("first.line_number").alias("first_line_number"),
+        )
     )
 
 
-def mark_duplicates(validated: DataFrame) -> DataFrame:
+def mark_duplicates(validated: DataFrame, repeated: DataFrame) -> DataFrame:
     """Give every valid copy but the first received one the duplicate reason.
 
-    Only valid copies compete. The lineage is part of the join key, which spreads the
-    copies of one event over all tasks.
+    Only valid copies compete. ``repeated`` is best a written table: as long as few events
+    are repeated it is broadcast, however often they are, and the events stay in place.
     """
-    kept = first_received(validated.filter(F.col("rejection_reason").isNull())).withColumn(
-        "is_first", F.lit(True)
+    is_first = (F.col("source_file") == F.col("first_source_file")) & (
+        F.col("line_number") == F.col("first_line_number")
     )
     return (
-        validated.join(kept, ["event_id", "source_file", "line_number"], "left")
+        validated.join(repeated, "event_id", "left")
         .withColumn(
             "rejection_reason",
-            F.coalesce(
-                F.col("rejection_reason"), F.when(F.col("is_first").isNull(), F.lit(DUPLICATE))
+            F.when(F.col("rejection_reason").isNull() & ~is_first, F.lit(DUPLICATE)).otherwise(
+                F.col("rejection_reason")
             ),
         )
         .select(*CLASSIFIED_COLUMNS)
@@ -148,9 +156,11 @@ def classify_events(
 ) -> DataFrame:
     """One row per raw event with its rejection reason, null for the clean ones.
 
-    ``accounts`` and ``users`` must have unique keys (``Warehouse.build`` checks this).
+    Runs a job for the repeated events. ``accounts`` and ``users`` must have unique keys
+    (``Warehouse.build`` checks this).
     """
-    return mark_duplicates(validate_events(raw_events, accounts, users, event_names))
+    validated = validate_events(raw_events, accounts, users, event_names)
+    return mark_duplicates(validated, materialize(repeated_events(validated), "repeated"))
 
 
 def stg_events(classified: DataFrame) -> DataFrame:

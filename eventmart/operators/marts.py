@@ -55,15 +55,13 @@ def model_rates(calls: DataFrame) -> DataFrame:
     )
 
 
-def fact_ai_interactions(events: DataFrame, rates: DataFrame | None = None) -> DataFrame:
+def fact_ai_interactions(events: DataFrame, rates: DataFrame) -> DataFrame:
     """One row per AI call, a missing cost estimated from the model's observed rate.
 
-    Pass ``rates`` as a written table of ``model_rates`` where there is one: Spark then
-    knows its size, broadcasts it if that is small and else splits a hot model's calls.
+    ``rates`` is ``model_rates`` of the calls, best as a written table: Spark then knows
+    its size, broadcasts it if that is small and else splits a hot model's calls.
     """
     calls = ai_calls(events)
-    if rates is None:
-        rates = model_rates(calls)
     imputed = F.round(F.col("usd_per_token") * F.col("total_tokens"), 6)
     return calls.join(rates, "model", "left").select(
         F.col("event_id").alias("interaction_id"),

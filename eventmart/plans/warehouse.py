@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -110,20 +111,26 @@ class Warehouse:
         self._write(raw["raw_ingest_rejections"], "staging/ingest_rejections")
 
         events = self.table("stg_events")
-        self._write(marts.dim_accounts(accounts), "marts/dim_accounts")
-        self._write(marts.dim_users(users, accounts), "marts/dim_users")
-        self._write(marts.model_rates(marts.ai_calls(events)), "marts/model_rates")
-        self._write_by_day(
-            marts.fact_ai_interactions(events, self._read("marts/model_rates")),
-            "fact_ai_interactions",
-        )
-        self._write_by_day(marts.fact_sessions(events), "fact_sessions")
-        self._write(
-            marts.daily_account_metrics(
-                events, self.table("fact_ai_interactions"), self.table("dim_accounts")
-            ),
-            "marts/daily_account_metrics",
-        )
+        # Sessions and dimensions need nothing the AI calls produce, and run beside them.
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            beside = [
+                pool.submit(self._write, marts.dim_accounts(accounts), "marts/dim_accounts"),
+                pool.submit(self._write, marts.dim_users(users, accounts), "marts/dim_users"),
+                pool.submit(self._write_by_day, marts.fact_sessions(events), "fact_sessions"),
+            ]
+            self._write(marts.model_rates(marts.ai_calls(events)), "marts/model_rates")
+            self._write_by_day(
+                marts.fact_ai_interactions(events, self._read("marts/model_rates")),
+                "fact_ai_interactions",
+            )
+            self._write(
+                marts.daily_account_metrics(
+                    events, self.table("fact_ai_interactions"), marts.dim_accounts(accounts)
+                ),
+                "marts/daily_account_metrics",
+            )
+            for job in beside:
+                job.result()
 
     def _write(self, df: DataFrame, name: str) -> None:
         df.write.mode("overwrite").parquet(self.path(name))

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Event times are UTC; a repeated JSON key keeps its last value.
 SESSION_SETTINGS = {
@@ -35,3 +35,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         shared = tempfile.mkdtemp(prefix="eventmart-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return os.path.join(shared, f"{label}-{uuid.uuid4().hex}")
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a small intermediate result and read it back.
+
+    A join with a written table is planned by its true size: broadcast below Spark's
+    threshold, else sorted and merged, with the rows of a hot key split over tasks.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -18,6 +18,7 @@ BRONZE_SCHEMA = ", ".join(
     [f"{key} string" for key in EVENT_KEYS]
     + [
         "properties variant",
+        "has_wide_float boolean",
         "raw_line string",
         "ingest_reason string",
         "line_number bigint",
@@ -70,6 +71,7 @@ def raw_events(bronze: DataFrame) -> DataFrame:
     return bronze.filter(F.col("ingest_reason").isNull()).select(
         *EVENT_KEYS,
         "properties",
+        "has_wide_float",
         F.col("raw_line").alias("raw_payload"),
         "source_file",
         "line_number",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from eventmart.functions.variant import member, strict_json
+from eventmart.functions.variant import has_wide_float, member, with_json
 from eventmart.schemas import BRONZE_COLUMNS, EVENT_KEYS
 
 EVENT_FILES = "events_*.jsonl"
@@ -125,9 +125,12 @@ def promoted_columns(document: Column) -> list[Column]:
 
 def parse_lines(lines: DataFrame, ingested_at: datetime) -> DataFrame:
     """Bronze rows: one per non-blank line, parsed once, with the reason it was refused."""
-    parsed = skip_blank(lines).withColumn("document", strict_json(F.col("value")))
+    parsed = with_json(skip_blank(lines), "value", "document")
     return parsed.select(
         *promoted_columns(F.col("document")),
+        has_wide_float(F.col("value"), member(F.col("document"), "properties")).alias(
+            "has_wide_float"
+        ),
         F.col("value").alias("raw_line"),
         ingest_reason(F.col("value"), F.col("document")).alias("ingest_reason"),
         "source_file",

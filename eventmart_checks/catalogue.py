@@ -19,7 +19,7 @@ from eventmart.operators.quantiles import histogram_quantiles
 from eventmart.plans import consumers, reports
 from eventmart.plans.warehouse import CLEAN, REJECTED
 from eventmart.schemas import ACCOUNTS, EVENT_KEYS, METRICS, USERS
-from eventmart.session import scratch_dir
+from eventmart.session import materialize, scratch_dir
 from eventmart.sources import bronze, jsonl, metadata
 from eventmart_checks import feed
 from eventmart_checks.expected import sql
@@ -111,8 +111,7 @@ def json_gate(spark, sf_dir):
        FROM j""",
 )
 def promote_columns(spark, sf_dir):
-    parsed = jsonl.parse_lines(feed.lines(spark, sf_dir), feed.INGESTED_AT)
-    return bronze.raw_events(parsed).select(
+    return mart(spark, sf_dir, "raw_events").select(
         *LINEAGE, *EVENT_KEYS, F.to_json("properties").alias("properties")
     )
 
@@ -123,8 +122,7 @@ def promote_columns(spark, sf_dir):
     "FROM j",
 )
 def raw_payload_keep(spark, sf_dir):
-    parsed = jsonl.parse_lines(feed.lines(spark, sf_dir), feed.INGESTED_AT)
-    return bronze.raw_events(parsed).select(*LINEAGE, "raw_payload", "ingested_at")
+    return mart(spark, sf_dir, "raw_events").select(*LINEAGE, "raw_payload", "ingested_at")
 
 
 @query(
@@ -756,7 +754,9 @@ def having_count(spark, sf_dir):
     "WHERE coalesce(rejection_reason, 'duplicate_event_id') = 'duplicate_event_id'",
 )
 def dedup_first_received(spark, sf_dir):
-    marked = classify.mark_duplicates(feed.validated(spark, sf_dir))
+    validated = feed.validated(spark, sf_dir)
+    repeated = materialize(classify.repeated_events(validated), "repeated")
+    marked = classify.mark_duplicates(validated, repeated)
     reason = F.col("rejection_reason")
     return marked.filter(reason.isNull() | (reason == classify.DUPLICATE)).select(
         "event_id", *LINEAGE, reason.isNull().alias("is_kept")

@@ -52,6 +52,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A table of fewer splits than cores, spread over all cores; a larger one as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def _event_name() -> Column:
     turn, user = number() % 20, F.col("user_id")
     return (
@@ -117,7 +123,7 @@ def _properties(name: Column) -> Column:
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per event line, with late, broken and repeated ones among them."""
     configure(spark)
-    base = table(spark, sf_dir, "events").join(
+    base = spread(table(spark, sf_dir, "events"), "event_id").join(
         table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
         F.col("user_id") == F.col("c_custkey"),
     )
@@ -181,6 +187,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed(spark, sf_dir).select(
         *EVENT_KEYS,
         F.try_parse_json("properties_text").alias("properties"),
+        F.lit(False).alias("has_wide_float"),
         F.col("raw_line").alias("raw_payload"),
         "source_file",
         "line_number",
@@ -295,9 +302,9 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
     """A warehouse with the feed in its raw layer, not yet built."""
     loaded = Warehouse(spark, root)
-    bronze.replace_by_file(
-        parse_lines(lines(spark, sf_dir), INGESTED_AT), loaded.path("raw/lines")
-    )
+    # Lines read from files lie together by file; those of the feed have to be brought so.
+    by_file = lines(spark, sf_dir).hint("rebalance", "source_file")
+    bronze.replace_by_file(parse_lines(by_file, INGESTED_AT), loaded.path("raw/lines"))
     for name, rows in (("accounts", accounts(spark, sf_dir)), ("users", users(spark, sf_dir))):
         bronze.replace_by_file(
             rows.select(
