@@ -29,7 +29,21 @@ def list_event_files(spark: SparkSession, raw_dir: str, pattern: str = EVENT_FIL
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no event files match {path}") from error
         raise
-    return found.select(_source_file(F.col("path"), pattern).alias("source_file"), "length")
+    # Spark's scans pass over empty files, so these come from the file system itself.
+    empty = spark.createDataFrame(
+        [(name, 0) for name in _empty_files(spark, path)], "path string, length bigint"
+    )
+    return (
+        found.select("path", "length")
+        .unionAll(empty)
+        .select(_source_file(F.col("path"), pattern).alias("source_file"), "length")
+    )
+
+
+def _empty_files(spark: SparkSession, path: str) -> list[str]:
+    glob = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob)
+    return [file.getPath().toString() for file in files if file.getLen() == 0 and file.isFile()]
 
 
 def read_lines(spark: SparkSession, raw_dir: str, pattern: str = EVENT_FILES) -> DataFrame:
