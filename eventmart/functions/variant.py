@@ -19,24 +19,34 @@ def with_json(df: DataFrame, text: str, name: str) -> DataFrame:
 
     ``try_parse_json`` stops after the first value and ignores what follows, so the text
     is parsed as the first element of an array whose second element is the text's own
-    hash. Anything after the value shifts, drops or breaks that second element. The array
-    is a column of its own, so that every line is parsed once.
+    hash. Anything after the value shifts, drops or breaks that second element. The result
+    is that array, its value found under ``JSON_ROOT``; to cut the value out would copy it.
+    The array is a column of its own first, so that every line is parsed once.
     """
     mark = F.xxhash64(text).cast("string")
     pair = F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(","), mark, F.lit("]")))
     intact = (F.try_variant_get("_pair", "$[1]", "string") == mark) & F.try_variant_get(
         "_pair", "$[2]", "variant"
     ).isNull()
-    value = F.when(intact, F.try_variant_get("_pair", "$[0]", "variant"))
-    return df.withColumn("_pair", pair).withColumn(name, value).drop("_pair")
+    return (
+        df.withColumn("_pair", pair).withColumn(name, F.when(intact, F.col("_pair"))).drop("_pair")
+    )
 
 
-def member(value: Column, key: str) -> Column:
-    """A member of a JSON object as VARIANT; a JSON null counts as missing."""
-    found = F.try_variant_get(value, f"$.{key}", "variant")
+JSON_ROOT = "$[0]"
+
+
+def member(document: Column, key: str) -> Column:
+    """A member of the JSON object of ``with_json`` as VARIANT; a JSON null is missing."""
+    found = F.try_variant_get(document, f"{JSON_ROOT}.{key}", "variant")
     return F.when(~F.is_variant_null(found), found)
 
 
+def text_member(document: Column, key: str) -> Column:
+    """A member of the JSON object of ``with_json`` as string."""
+    return F.try_variant_get(document, f"{JSON_ROOT}.{key}", "string")
+
+
 def property_value(properties: Column, key: str, kind: str) -> Column:
     """One property in its contract type; null when absent or not convertible."""
     return F.try_variant_get(properties, f"$.{key}", SPARK_TYPE[kind])

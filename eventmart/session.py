@@ -8,10 +8,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Event times are UTC; a repeated JSON key keeps its last value.
+# Event times are UTC; a repeated JSON key keeps its last value. The JVM does not compile
+# methods above 8000 bytes, so generated code that large is better split than fused.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }

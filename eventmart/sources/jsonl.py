@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from eventmart.functions.variant import has_wide_float, member, with_json
+from eventmart.functions.variant import has_wide_float, member, text_member, with_json
 from eventmart.schemas import BRONZE_COLUMNS, EVENT_KEYS
 
 EVENT_FILES = "events_*.jsonl"
@@ -116,7 +116,7 @@ def ingest_reason(value: Column, document: Column) -> Column:
 
     Once a line is known to be valid JSON its first character tells the kind of value.
     """
-    text = F.trim(F.regexp_replace(value, r"[\t\r\n]", " "))
+    text = F.btrim(value, F.lit(" \t\r\n"))
     first = F.substring(text, 1, 1)
     kind = (
         F.when(first == "[", "list")
@@ -133,7 +133,7 @@ def ingest_reason(value: Column, document: Column) -> Column:
 
 def promoted_columns(document: Column) -> list[Column]:
     """The promoted top-level keys as strings, and ``properties`` as VARIANT."""
-    keys = [F.try_variant_get(document, f"$.{key}", "string").alias(key) for key in EVENT_KEYS]
+    keys = [text_member(document, key).alias(key) for key in EVENT_KEYS]
     return [*keys, member(document, "properties").alias("properties")]
 
 
