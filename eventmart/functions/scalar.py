@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from eventmart.schemas import LATE_AFTER_SECONDS
 
 
+def utc_literal(moment: datetime) -> Column:
+    """A naive UTC time as it is, whatever the time zones of Python and the session."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def lenient_timestamp(text: Column) -> Column:
     """UTC timestamp of a string, null when it is not a full date or date-time.
 

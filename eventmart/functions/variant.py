@@ -103,4 +103,5 @@ def has_wide_float(line: Column, properties: Column) -> Column:
             literal = F.get_json_object(line, f"$.properties.{key}")
             wide = json_type(properties, key).isin(*WIDE_INTEGER_TYPES)
             floats = floats | F.coalesce(wide & ~literal.rlike(r"^-?\d+$"), F.lit(False))
-    return F.when(line.rlike(r"\d{17}\."), floats).otherwise(False)
+    suspect = line.contains(".0") & line.rlike(r"\d{19}\.0")
+    return F.when(suspect, floats).otherwise(False)

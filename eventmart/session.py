@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,17 +26,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="eventmart-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder path for intermediate tables, on storage every executor can reach.
 
     The cluster names that storage in ``spark.checkpoint.dir``. Only where it is unset
     (a local test session) does a temporary folder stand in for it.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="eventmart-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return os.path.join(shared, f"{label}-{uuid.uuid4().hex}")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

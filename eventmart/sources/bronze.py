@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventmart.functions.scalar import utc_literal
 from eventmart.schemas import EVENT_KEYS
 from eventmart.sources.jsonl import EVENT_FILES, list_event_files, parse_lines, read_lines
 
@@ -43,7 +44,7 @@ def file_markers(files: DataFrame, ingested_at: datetime) -> DataFrame:
         "source_file",
         F.lit(FILE_MARKER).alias("ingest_reason"),
         F.lit(0).cast("long").alias("line_number"),
-        F.lit(ingested_at).cast("timestamp_ntz").alias("ingested_at"),
+        utc_literal(ingested_at).alias("ingested_at"),
     )
 
 

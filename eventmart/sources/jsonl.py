@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from eventmart.functions.scalar import utc_literal
 from eventmart.functions.variant import has_wide_float, member, text_member, with_json
 from eventmart.schemas import BRONZE_COLUMNS, EVENT_KEYS
 
@@ -149,5 +150,5 @@ def parse_lines(lines: DataFrame, ingested_at: datetime) -> DataFrame:
         ingest_reason(F.col("value"), F.col("document")).alias("ingest_reason"),
         "source_file",
         F.col("line_number").cast("long").alias("line_number"),
-        F.lit(ingested_at).cast("timestamp_ntz").alias("ingested_at"),
+        utc_literal(ingested_at).alias("ingested_at"),
     ).select(*BRONZE_COLUMNS)

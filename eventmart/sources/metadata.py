@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventmart.functions.scalar import utc_literal
 from eventmart.schemas import EVENT_NAMES
 from eventmart.sources.bronze import replace_by_file
 
@@ -43,7 +44,7 @@ def read_metadata(
             for field in schema
         ),
         F.col("_metadata.file_name").alias("source_file"),
-        F.lit(ingested_at).cast("timestamp_ntz").alias("ingested_at"),
+        utc_literal(ingested_at).alias("ingested_at"),
     )
 
 

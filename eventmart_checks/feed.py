@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart import Warehouse, configure
+from eventmart.functions.scalar import utc_literal
 from eventmart.operators.classify import classify_events, type_events, validate_events
 from eventmart.schemas import EVENT_KEYS
 from eventmart.session import scratch_dir
@@ -191,7 +192,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("raw_line").alias("raw_payload"),
         "source_file",
         "line_number",
-        F.lit(INGESTED_AT).cast("timestamp_ntz").alias("ingested_at"),
+        utc_literal(INGESTED_AT).alias("ingested_at"),
     )
 
 
@@ -208,7 +209,7 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("plan"),
             F.col("r_name").alias("industry"),
             (10 + 5 * key).cast("int").alias("seat_limit"),
-            F.lit(CREATED_AT).cast("timestamp_ntz").alias("created_at"),
+            utc_literal(CREATED_AT).alias("created_at"),
         )
     )
 
@@ -221,7 +222,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         text("u", key, "@n", nation, ".example").alias("email"),
         F.col("c_mktsegment").alias("role"),
         F.lit("active").alias("status"),
-        F.lit(CREATED_AT).cast("timestamp_ntz").alias("created_at"),
+        utc_literal(CREATED_AT).alias("created_at"),
     )
 
 
@@ -309,7 +310,7 @@ def load(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
         bronze.replace_by_file(
             rows.select(
                 "*",
-                F.lit(INGESTED_AT).cast("timestamp_ntz").alias("ingested_at"),
+                utc_literal(INGESTED_AT).alias("ingested_at"),
                 F.lit(f"{name}.csv").alias("source_file"),
             ),
             loaded.path(f"raw/{name}"),

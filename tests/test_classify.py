@@ -6,9 +6,11 @@ import random
 import pytest
 from conftest import INGESTED_AT, event_line, rows
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from eventmart.functions import scalar
 from eventmart.operators import classify, marts
+from eventmart.session import materialize
 from eventmart.sources import bronze, jsonl
 
 ACCOUNTS = [("acct_A",), ("acct_B",)]
@@ -267,6 +269,44 @@ def test_random_defects(spark, seed):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def test_hot_keys_are_split(spark):
+    """One event id, user and account with a third of all rows, and no side to broadcast."""
+    lines = [event_line(f"e{n}", "session_started") for n in range(400)]
+    events = raw(spark, lines).drop("event_id", "user_id", "account_id", "line_number")
+    number = F.row_number().over(Window.orderBy("n")).cast("long")
+    many = events.crossJoin(spark.range(60).withColumnRenamed("id", "n"))
+    many = many.select("*", number.alias("line_number")).drop("n")
+    hot = F.col("line_number") % 3 == 0
+    keyed = many.select(
+        "*",
+        *(
+            F.when(hot, name).otherwise(F.concat(F.lit(f"{name}_"), F.col("line_number"))).alias(key)
+            for key, name in (("event_id", "e"), ("user_id", "u"), ("account_id", "a"))
+        ),
+    )
+    keyed = materialize(keyed, "hot").repartition(8)
+    ids = materialize(spark.range(0, 24001), "ids")
+    all_ids = F.when(F.col("id") == 0, "").otherwise(F.concat(F.lit("_"), F.col("id")))
+    accounts = ids.select(F.concat(F.lit("a"), all_ids).alias("account_id"))
+    users = ids.select(
+        F.concat(F.lit("u"), all_ids).alias("user_id"),
+        F.concat(F.lit("a"), all_ids).alias("account_id"),
+    )
+    before = {key: spark.conf.get(key, None) for key in FORCED_SKEW}
+    for key, value in FORCED_SKEW.items():
+        spark.conf.set(key, value)
+    try:
+        found = classify.classify_events(keyed, accounts, users)
+        counts = rows(found.groupBy("rejection_reason").count())
+        assert dict(counts) == {None: 16001, "duplicate_event_id": 7999}
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("SortMergeJoin(skew=true)") == 3
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_payload_survives(spark):
     line = call(workflow="w")
     rejected = classify.rejected_events(
