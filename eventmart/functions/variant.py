@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.schemas import FLAG, INTEGER, NUMBER, PROPERTIES, SPARK_TYPE
 
-# Beyond the signed 64-bit range, JSON integers count up to the unsigned one.
-UNSIGNED_ONLY = (Decimal(9223372036854775808), Decimal(18446744073709551615))
+# JSON integers reach from the least signed to the greatest unsigned 64-bit one.
+INTEGER_RANGE = (Decimal(-9223372036854775808), Decimal(18446744073709551615))
 WIDE_INTEGER_TYPES = ("DECIMAL(19,0)", "DECIMAL(20,0)")
 
 
@@ -62,46 +64,43 @@ def json_type(properties: Column, key: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(properties, f"$.{key}", "variant"))
 
 
-def fits_contract(found: Column, properties: Column, key: str, kind: str) -> Column:
-    """Whether a property of JSON type ``found`` keeps its contract; null when absent."""
-    if kind == FLAG:
-        return found.isin("BOOLEAN", "VOID")
+# The JSON types each kind of property may have.
+CONTRACT_TYPES = {
+    INTEGER: ("BIGINT", "VOID", *WIDE_INTEGER_TYPES),
+    FLAG: ("BOOLEAN", "VOID"),
+}
+
+
+def outside_contract(found: Column, kind: str) -> Column:
+    """Whether a property of JSON type ``found`` breaks its contract; null when absent."""
     if kind == NUMBER:
-        return found.isin("BIGINT", "DOUBLE", "VOID") | found.startswith("DECIMAL(")
-    # An integer above the signed range is held as a decimal without digits after the point.
-    value = F.try_variant_get(properties, f"$.{key}", "decimal(20,0)")
-    unsigned = F.coalesce(value.between(*map(F.lit, UNSIGNED_ONLY)), F.lit(False))
-    return found.isin("BIGINT", "VOID") | F.when(
-        found.isin(*WIDE_INTEGER_TYPES), unsigned
-    ).otherwise(False)
+        return ~(found.isin("BIGINT", "DOUBLE", "VOID") | found.startswith("DECIMAL("))
+    return ~found.isin(*CONTRACT_TYPES[kind])
 
 
 def with_contract_check(df: DataFrame, properties: str, name: str) -> DataFrame:
-    """Add whether at least one typed property breaks the contract.
+    """Add whether at least one typed property has a JSON type outside its contract.
 
-    The JSON types are columns of their own, so that each is looked up once.
+    The JSON types are columns of their own, so that each is looked up once. A wide integer
+    type passes here; ``has_wide_misfit`` has told the misfits among them from the text.
     """
     checked = [(key, kind) for key, _, kind in PROPERTIES if kind in (INTEGER, NUMBER, FLAG)]
     types = {f"_type_{key}": json_type(F.col(properties), key) for key, _ in checked}
-    broken = F.lit(False)
-    for key, kind in checked:
-        fits = fits_contract(F.col(f"_type_{key}"), F.col(properties), key, kind)
-        broken = broken | ~F.coalesce(fits, F.lit(True))
-    return df.withColumns(types).withColumn(name, broken).drop(*types)
+    broken = reduce(or_, (outside_contract(F.col(f"_type_{key}"), kind) for key, kind in checked))
+    return df.withColumns(types).withColumn(name, F.coalesce(broken, F.lit(False))).drop(*types)
 
 
-def has_wide_float(line: Column, properties: Column) -> Column:
-    """Whether an integer property is a float that VARIANT cannot tell from an integer.
+def has_wide_misfit(line: Column) -> Column:
+    """Whether an integer property of a line with very long numbers is no 64-bit integer.
 
-    VARIANT drops trailing zeros, so ``9223372036854775808.0`` looks like the integer, and
-    only the text knows better. The text is searched for such digits first, which hardly
-    any line has.
+    VARIANT holds an integer beyond the signed range as a decimal and drops trailing zeros,
+    which makes ``9223372036854775808.0`` look like the integer: only the text of the line
+    can tell. It is searched for that many digits first, which hardly any line has.
     """
-    floats = F.lit(False)
+    misfit = F.lit(False)
     for key, _, kind in PROPERTIES:
         if kind == INTEGER:
             literal = F.get_json_object(line, f"$.properties.{key}")
-            wide = json_type(properties, key).isin(*WIDE_INTEGER_TYPES)
-            floats = floats | F.coalesce(wide & ~literal.rlike(r"^-?\d+$"), F.lit(False))
-    suspect = line.contains(".0") & line.rlike(r"\d{19}\.0")
-    return F.when(suspect, floats).otherwise(False)
+            in_range = literal.try_cast("decimal(38,0)").between(*map(F.lit, INTEGER_RANGE))
+            misfit = misfit | literal.contains(".") | ~in_range
+    return F.when(line.rlike(r"\d{19}"), F.coalesce(misfit, F.lit(False))).otherwise(False)

@@ -34,7 +34,7 @@ def type_events(raw_events: DataFrame) -> DataFrame:
         "session_id",
         "event_name",
         *property_columns(F.col("properties")),
-        (F.col("breaks_contract") | F.col("has_wide_float")).alias("breaks_contract"),
+        (F.col("breaks_contract") | F.col("has_wide_misfit")).alias("breaks_contract"),
         "raw_payload",
         "source_file",
         "line_number",
@@ -58,8 +58,8 @@ def attach_owners(events: DataFrame, accounts: DataFrame, users: DataFrame) -> D
 
 
 def lowest_metric() -> Column:
-    """The smallest of all metrics of a row, a missing one counting as zero."""
-    return F.least(*(F.coalesce(F.col(metric), F.lit(0)) for metric in METRICS))
+    """The smallest metric of a row, or zero when none is negative."""
+    return F.least(F.lit(0.0), *METRICS)
 
 
 def first_failure(event_names: Sequence[str] = EVENT_NAMES) -> Column:

@@ -88,7 +88,7 @@ USERS = T.StructType(
 BRONZE_COLUMNS = (
     *EVENT_KEYS,
     "properties",
-    "has_wide_float",
+    "has_wide_misfit",
     "raw_line",
     "ingest_reason",
     "source_file",

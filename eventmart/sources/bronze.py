@@ -19,7 +19,7 @@ BRONZE_SCHEMA = ", ".join(
     [f"{key} string" for key in EVENT_KEYS]
     + [
         "properties variant",
-        "has_wide_float boolean",
+        "has_wide_misfit boolean",
         "raw_line string",
         "ingest_reason string",
         "line_number bigint",
@@ -72,7 +72,7 @@ def raw_events(bronze: DataFrame) -> DataFrame:
     return bronze.filter(F.col("ingest_reason").isNull()).select(
         *EVENT_KEYS,
         "properties",
-        "has_wide_float",
+        "has_wide_misfit",
         F.col("raw_line").alias("raw_payload"),
         "source_file",
         "line_number",

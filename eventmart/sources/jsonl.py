@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from eventmart.functions.scalar import utc_literal
-from eventmart.functions.variant import has_wide_float, member, text_member, with_json
+from eventmart.functions.variant import has_wide_misfit, member, text_member, with_json
 from eventmart.schemas import BRONZE_COLUMNS, EVENT_KEYS
 
 EVENT_FILES = "events_*.jsonl"
@@ -143,9 +143,7 @@ def parse_lines(lines: DataFrame, ingested_at: datetime) -> DataFrame:
     parsed = with_json(skip_blank(lines), "value", "document")
     return parsed.select(
         *promoted_columns(F.col("document")),
-        has_wide_float(F.col("value"), member(F.col("document"), "properties")).alias(
-            "has_wide_float"
-        ),
+        has_wide_misfit(F.col("value")).alias("has_wide_misfit"),
         F.col("value").alias("raw_line"),
         ingest_reason(F.col("value"), F.col("document")).alias("ingest_reason"),
         "source_file",

@@ -188,7 +188,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed(spark, sf_dir).select(
         *EVENT_KEYS,
         F.try_parse_json("properties_text").alias("properties"),
-        F.lit(False).alias("has_wide_float"),
+        F.lit(False).alias("has_wide_misfit"),
         F.col("raw_line").alias("raw_payload"),
         "source_file",
         "line_number",
