@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from eventmart.schemas import FLAG, INTEGER, NUMBER, PROPERTIES, SPARK_TYPE
 
+# Where the value of ``with_json`` lies in its result.
+JSON_ROOT = "$[0]"
+
 # JSON integers reach from the least signed to the greatest unsigned 64-bit one.
 INTEGER_RANGE = (Decimal(-9223372036854775808), Decimal(18446744073709551615))
 WIDE_INTEGER_TYPES = ("DECIMAL(19,0)", "DECIMAL(20,0)")
@@ -35,20 +38,6 @@ def with_json(df: DataFrame, text: str, name: str) -> DataFrame:
     )
 
 
-JSON_ROOT = "$[0]"
-
-
-def member(document: Column, key: str) -> Column:
-    """A member of the JSON object of ``with_json`` as VARIANT; a JSON null is missing."""
-    found = F.try_variant_get(document, f"{JSON_ROOT}.{key}", "variant")
-    return F.when(~F.is_variant_null(found), found)
-
-
-def text_member(document: Column, key: str) -> Column:
-    """A member of the JSON object of ``with_json`` as string."""
-    return F.try_variant_get(document, f"{JSON_ROOT}.{key}", "string")
-
-
 def property_value(properties: Column, key: str, kind: str) -> Column:
     """One property in its contract type; null when absent or not convertible."""
     return F.try_variant_get(properties, f"$.{key}", SPARK_TYPE[kind])
