@@ -94,30 +94,30 @@ class Warehouse:
         """
         raw = raw or self._raw_tables()
         accounts, users = raw["raw_accounts"], raw["raw_users"]
-        for df, key in ((accounts, "account_id"), (users, "user_id")):
-            repeated = quality.unique(df, key).first()
-            if repeated is not None:
-                raise ValueError(f"{key} {repeated[key]!r} occurs {repeated['n']} times")
-
-        classified = classify.classify_events(raw["raw_events"], accounts, users)
-        (
-            classified.withColumn(
-                "outcome", F.when(F.col("rejection_reason").isNull(), CLEAN).otherwise(REJECTED)
-            )
-            .write.mode("overwrite")
-            .partitionBy("outcome")
-            .parquet(self.path("staging/events_classified"))
-        )
-        self._write(raw["raw_ingest_rejections"], "staging/ingest_rejections")
-
-        events = self.table("stg_events")
-        # Sessions and dimensions need nothing the AI calls produce, and run beside them.
-        with ThreadPoolExecutor(max_workers=3) as pool:
+        self._require_unique_keys(accounts, users)
+        # What needs no classified events, and later the sessions, runs beside the main line.
+        with ThreadPoolExecutor(max_workers=4) as pool:
             beside = [
+                pool.submit(
+                    self._write, raw["raw_ingest_rejections"], "staging/ingest_rejections"
+                ),
                 pool.submit(self._write, marts.dim_accounts(accounts), "marts/dim_accounts"),
                 pool.submit(self._write, marts.dim_users(users, accounts), "marts/dim_users"),
-                pool.submit(self._write_by_day, marts.fact_sessions(events), "fact_sessions"),
             ]
+            classified = classify.classify_events(raw["raw_events"], accounts, users)
+            (
+                classified.withColumn(
+                    "outcome",
+                    F.when(F.col("rejection_reason").isNull(), CLEAN).otherwise(REJECTED),
+                )
+                .write.mode("overwrite")
+                .partitionBy("outcome")
+                .parquet(self.path("staging/events_classified"))
+            )
+            events = self.table("stg_events")
+            beside.append(
+                pool.submit(self._write_by_day, marts.fact_sessions(events), "fact_sessions")
+            )
             self._write(marts.model_rates(marts.ai_calls(events)), "marts/model_rates")
             self._write_by_day(
                 marts.fact_ai_interactions(events, self._read("marts/model_rates")),
@@ -132,6 +132,16 @@ class Warehouse:
             for job in beside:
                 job.result()
 
+    def _require_unique_keys(self, accounts: DataFrame, users: DataFrame) -> None:
+        """A repeated metadata key would multiply events; better no build than that."""
+        repeated = [
+            quality.unique(df, key).select(F.lit(key).alias("column"), F.col(key).alias("value"))
+            for df, key in ((accounts, "account_id"), (users, "user_id"))
+        ]
+        found = repeated[0].unionAll(repeated[1]).first()
+        if found is not None:
+            raise ValueError(f"{found['column']} {found['value']!r} occurs more than once")
+
     def _write(self, df: DataFrame, name: str) -> None:
         df.write.mode("overwrite").parquet(self.path(name))
 
