@@ -954,7 +954,8 @@ def latency_by_model(spark, sf_dir):
 
 @query(
     "r04_daily_cost_by_account",
-    """SELECT event_date, account_id, account_name, round(ai_cost_usd::DECIMAL(18, 6), 4)::DOUBLE AS ai_cost_usd,
+    """SELECT event_date, account_id, account_name,
+              round(ai_cost_usd::DECIMAL(18, 6), 4)::DOUBLE AS ai_cost_usd,
               round(ai_cost_usd_estimated::DECIMAL(18, 6), 4)::DOUBLE AS ai_cost_usd_estimated,
               ai_interactions,
               uncosted_interactions FROM d WHERE ai_interactions <> 0""",
