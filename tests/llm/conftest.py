@@ -1,0 +1,17 @@
+"""Small tables for the operators; the session is that of the other tests."""
+
+import pytest
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """Turns a list of texts, or of (doc_id, text), into a documents table."""
+
+    def make(rows, partitions=3):
+        rows = [row if isinstance(row, tuple) else (i, row) for i, row in enumerate(rows)]
+        rows = [(i, text, "en", None, len(text or "")) for i, text in rows]
+        return spark.createDataFrame(rows, DOCUMENTS).repartition(partitions)
+
+    return make
