@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
-from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +15,8 @@ from pyspark.sql import functions as F
 from eventmart.llm.common import prepare, slices, text_or_empty
 
 LEAF = 8  # bits of a rank that index into one word of the lower bitmap level
-REMEMBERED = 400_000  # pieces whose ids a worker keeps at most
+MASK = (1 << LEAF) - 1
+REMEMBERED = 500_000  # parts, and pieces, whose ids a worker keeps at most
 LONGEST_REMEMBERED = 64
 
 
@@ -28,9 +28,11 @@ class RankQueue:
     makes them stale; the reader skips them.
     """
 
-    def __init__(self, ranks: int):
+    __slots__ = ("upper", "lower", "buckets")
+
+    def __init__(self):
         self.upper = 0
-        self.lower = [0] * ((ranks >> LEAF) + 1)
+        self.lower: dict[int, int] = {}
         self.buckets: dict[int, list[int]] = {}
 
     def push(self, rank: int, position: int) -> None:
@@ -38,128 +40,147 @@ class RankQueue:
         if bucket is None:
             self.buckets[rank] = [position]
             word = rank >> LEAF
-            self.lower[word] |= 1 << (rank & 255)
+            self.lower[word] = self.lower.get(word, 0) | 1 << (rank & MASK)
             self.upper |= 1 << word
         else:
-            heappush(bucket, position)
+            bucket.append(position)
 
-    def pop(self) -> tuple[int, int] | None:
-        """The leftmost position of the lowest rank."""
-        if not self.upper:
-            return None
-        word = (self.upper & -self.upper).bit_length() - 1
+    def pop(self) -> tuple[int, list[int]]:
+        """The lowest rank and its positions from left to right; not for an empty queue."""
+        upper = self.upper
+        word = (upper & -upper).bit_length() - 1
         bits = self.lower[word]
+        rest = self.lower[word] = bits & (bits - 1)
+        if not rest:
+            self.upper = upper & (upper - 1)
         rank = word << LEAF | ((bits & -bits).bit_length() - 1)
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.lower[word] = bits & (bits - 1)
-            if not self.lower[word]:
-                self.upper &= self.upper - 1
-        return rank, position
+        positions = self.buckets.pop(rank)
+        if len(positions) > 1:
+            positions.sort()
+        return rank, positions
 
 
-class Encoder:
-    """Ids of texts by merge ranks; ``pattern`` cuts a text into pieces that never merge."""
+class LooseSpace(Exception):
+    """A space before white space or the end: the text can't simply be cut at spaces."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
-        self.size = max(ranks.values()) + 1
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
+
+class PieceIds(dict):
+    """Ids (little-endian unsigned 32-bit) of a space and the part of a text up to the next.
+
+    A space before a character that is not white space always starts a piece, so a text is
+    the sum of its parts. Parts are remembered, and what they are made of too: most are a
+    word and perhaps signs, which are one piece each.
+    """
+
+    def __init__(self, pattern: str, encode_piece: Callable[[str], bytes]):
+        super().__init__()
         self.find = regex.compile(pattern).findall
-        self.queue = RankQueue(self.size)
+        self.encode_piece = encode_piece
         self.pieces: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
-
-    def merge(self, piece: bytes) -> list[int]:
-        """Merge the adjacent pair of lowest rank, the leftmost first, until none is left."""
-        ranks = self.ranks
-        whole = ranks.get(piece)
-        if whole is not None:
-            return [whole]
-        size = len(piece)
-        queue, push = self.queue, self.queue.push
-        end = list(range(1, size + 1))  # where the token that starts here ends; 0: merged away
-        before = list(range(-1, size - 1))
-        pair: list[int | None] = [None] * size  # rank of the token here with its successor
-        for i in range(size - 1):
-            rank = ranks.get(piece[i : i + 2])
-            if rank is not None:
-                pair[i] = rank
-                push(rank, i)
-        while (lowest := queue.pop()) is not None:
-            rank, i = lowest
-            if pair[i] != rank:
-                continue
-            middle = end[i]
-            stop = end[i] = end[middle]
-            end[middle] = 0
-            pair[middle] = None
-            rank = None
-            if stop < size:
-                before[stop] = i
-                rank = ranks.get(piece[i : end[stop]])
-                if rank is not None:
-                    push(rank, i)
-            pair[i] = rank
-            left = before[i]
-            if left >= 0:
-                rank = pair[left] = ranks.get(piece[left:stop])
-                if rank is not None:
-                    push(rank, left)
-        ids, i = [], 0
-        while i < size:
-            ids.append(ranks[piece[i : end[i]]])
-            i = end[i]
-        return ids
 
-    def piece_ids(self, piece: str) -> bytes:
+    def piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
-            found = np.array(self.merge(piece.encode()), "<u4").tobytes()
+            found = self.encode_piece(piece)
             if len(piece) <= LONGEST_REMEMBERED:
                 if len(self.pieces) >= REMEMBERED:
                     self.pieces.clear()
                 self.pieces[piece] = found
         return found
 
-    def chunk_ids(self, chunk: str) -> bytes:
-        found = b"".join(map(self.piece_ids, self.find(chunk)))
-        if len(chunk) <= LONGEST_REMEMBERED:
-            if len(self.chunks) >= REMEMBERED:
-                self.chunks.clear()
-            self.chunks[chunk] = found
+    def split(self, text: str) -> list[str]:
+        """The pieces of a text; letters and then signs are told without the pattern."""
+        simple = _word_and_signs(text)
+        if simple is None:
+            return self.find(text)
+        word, signs = simple.groups()
+        return [word, signs] if signs else [word]
+
+    def __missing__(self, part: str) -> bytes:
+        if not part or part[0].isspace():
+            raise LooseSpace
+        found = b"".join(map(self.piece, self.split(" " + part)))
+        if len(part) <= LONGEST_REMEMBERED:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[part] = found
         return found
 
     def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers.
+        parts = text.split(" ")
+        try:
+            first = b"".join(map(self.piece, self.split(parts[0]))) if parts[0] else b""
+            return first + b"".join(map(self.__getitem__, parts[1:]))
+        except LooseSpace:
+            return b"".join(map(self.piece, self.find(text)))
 
-        A space before a character that is not white space always starts a piece, so the
-        text is cut there first, and the ids of each chunk are remembered.
-        """
-        get, chunk_ids = self.chunks.get, self.chunk_ids
-        return b"".join([get(chunk) or chunk_ids(chunk) for chunk in space_chunks(text)])
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+# Pieces of the pattern that such a text has whatever the letters are.
+_word_and_signs = regex.compile(r"( ?\p{L}+)([^\s\p{L}\p{N}]*)").fullmatch
 
 
-_loose_space = regex.compile(r" (?=\s|[\x1c-\x1f]|\Z)").search
+class Encoder:
+    """Ids of texts by merge ranks; ``pattern`` cuts a text into pieces that never merge."""
 
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.ranks = ranks
+        self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.parts = PieceIds(pattern, lambda piece: np.array(self.merge(piece.encode()), "<u4").tobytes())
+        self.encode = self.parts.encode
 
-def space_chunks(text: str) -> list[str]:
-    """The text cut before every space that another than white space follows."""
-    if not text:
-        return []
-    if not _loose_space(text):
-        first, *rest = text.split(" ")
-        chunks = [" " + chunk for chunk in rest]
-        return [first, *chunks] if first else chunks
-    return [chunk for chunk in _cut(text) if chunk]
+    def merge(self, piece: bytes) -> list[int]:
+        """Merge the adjacent pair of lowest rank, the leftmost first, until none is left.
 
+        ``end[i]`` and ``before[i]`` link the tokens that are left, by their first bytes.
+        """
+        rank_of = self.ranks.get
+        whole = rank_of(piece)
+        if whole is not None:
+            return [whole]
+        size = len(piece)
+        queue = RankQueue()
+        push, pop = queue.push, queue.pop
+        end = list(range(1, size + 1))
+        before = list(range(-1, size))
+        pair = [rank_of(piece[i : i + 2]) for i in range(size - 1)]  # with the successor
+        pair.append(None)
+        for i, rank in enumerate(pair):
+            if rank is not None:
+                push(rank, i)
+        while queue.upper:
+            rank, positions = pop()
+            for place, i in enumerate(positions):
+                if pair[i] != rank:
+                    continue  # stale
+                middle = end[i]
+                stop = end[i] = end[middle]
+                pair[middle] = None
+                before[stop] = i
+                lowest = rank
+                new = pair[i] = rank_of(piece[i : end[stop]]) if stop < size else None
+                if new is not None:
+                    push(new, i)
+                    if new < lowest:
+                        lowest = new
+                left = before[i]
+                if left >= 0:
+                    new = pair[left] = rank_of(piece[left:stop])
+                    if new is not None:
+                        push(new, left)
+                        if new < lowest:
+                            lowest = new
+                if lowest < rank:  # the rest of the bucket waits for the lower rank
+                    for later in positions[place + 1 :]:
+                        push(rank, later)
+                    break
+        ids, i = [], 0
+        while i < size:
+            ids.append(self.ranks[piece[i : end[i]]])
+            i = end[i]
+        return ids
 
-_cut = regex.compile(r"(?= [^\s\x1c-\x1f])", regex.V1).split
+    def decode(self, ids: bytes) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 @cache

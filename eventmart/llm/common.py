@@ -40,7 +40,9 @@ def with_variant(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     ``variant`` tells apart rows of one ``doc_id`` that hold different texts: it is the
     text's hash for such ids (null ids included) and 0 for all others.
     """
-    rows = documents.select("doc_id", text_or_empty().alias("text"), *keep)
+    rows = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), *keep
+    )
     hashed = rows.select("doc_id", F.xxhash64("text").alias("h"))
     mixed = (
         hashed.groupBy("doc_id")

@@ -13,12 +13,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from eventmart.llm.bpe import space_chunks
+from eventmart.llm.bpe import LONGEST_REMEMBERED, REMEMBERED, PieceIds
 from eventmart.llm.common import mix, prepare, slices, text_or_empty
 
 DOCS_PER_GROUP = 4096
-REMEMBERED = 700_000
-LONGEST_REMEMBERED = 64
+# How the tokenizer's pre-tokenizer cuts a text (fixed value).
+PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
 GROUP_BITS = 24  # bins of a group are numbered below 2**24
 
 
@@ -66,35 +68,54 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 
 class CachedTokenizer:
-    """A byte-level tokenizer of the ``tokenizers`` library that remembers chunks.
+    """A byte-level tokenizer of the ``tokenizers`` library that remembers parts of texts.
 
-    Its pre-tokens never reach over a space before another than white space, so a text is
-    the sum of the chunks cut there, unless it holds the string of an added token.
+    New pieces of a batch are encoded as one text, a line each: a line break stays a token
+    of its own between pieces that hold none. A text that holds the string of an added
+    token is encoded as a whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.chunks: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        self.parts = PieceIds(PATTERN, self._whole)
+        (self.line_break,) = self._ids("\n")
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self._ids(text), "<u4").tobytes()
+
+    def _learn(self, texts: list[str]) -> None:
+        parts, pieces = self.parts, self.parts.pieces
+        if len(pieces) >= REMEMBERED:
+            pieces.clear()
+        split = parts.split
+        new = {part for text in texts for part in text.split(" ") if part not in parts}
+        unknown = {
+            piece for part in new if part for piece in split(" " + part)
+            if piece not in pieces and len(piece) <= LONGEST_REMEMBERED
+        }
+        lines = [piece for piece in unknown if not piece.isspace()]
+        if not lines:
+            return
+        ids = np.array(self._ids("\n".join(lines)), "<u4")
+        ends = np.flatnonzero(ids == self.line_break)
+        if len(ends) != len(lines) - 1:
+            raise ValueError("a line break is not a token of its own in this vocabulary")
+        blob = ids.tobytes()
+        starts = [0, *(4 * (ends + 1)).tolist()]
+        stops = [*(4 * ends).tolist(), len(blob)]
+        pieces.update({x: blob[a:b] for x, a, b in zip(lines, starts, stops)})
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.chunks) >= REMEMBERED:
-            self.chunks.clear()
-        known = self.chunks
-        cut = [
-            [text] if any(x in text for x in self.added) else space_chunks(text) for text in texts
+        special = {i for i, text in enumerate(texts) if any(x in text for x in self.added)}
+        self._learn([text for i, text in enumerate(texts) if i not in special])
+        return [
+            self._whole(text) if i in special else self.parts.encode(text)
+            for i, text in enumerate(texts)
         ]
-        new = list({chunk for chunks in cut for chunk in chunks if chunk not in known})
-        known.update(zip(new, self._ids(new)))
-        found = [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
-        for chunk in new:
-            if len(chunk) > LONGEST_REMEMBERED:
-                del known[chunk]
-        return found
 
 
 @cache
