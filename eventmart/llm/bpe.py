@@ -16,7 +16,7 @@ from eventmart.llm.common import prepare, slices, text_or_empty
 
 LEAF = 8  # bits of a rank that index into one word of the lower bitmap level
 MASK = (1 << LEAF) - 1
-REMEMBERED = 500_000  # parts, and pieces, whose ids a worker keeps at most
+REMEMBERED = 300_000  # parts, and pieces; a worker keeps the ids of twice as many at most
 LONGEST_REMEMBERED = 64
 
 
@@ -77,17 +77,23 @@ class PieceIds(dict):
         self.find = regex.compile(pattern).findall
         self.encode_piece = encode_piece
         self.pieces: dict[str, bytes] = {}
+        # What was remembered before the last clearing; frequent entries come back from it.
+        self.older: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
 
     def piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
-            found = self.encode_piece(piece)
+            found = self.older_pieces.get(piece) or self.encode_piece(piece)
             if len(piece) <= LONGEST_REMEMBERED:
-                if len(self.pieces) >= REMEMBERED:
-                    self.pieces.clear()
-                self.pieces[piece] = found
+                self.remember_piece(piece, found)
         return found
 
+    def remember_piece(self, piece: str, ids: bytes) -> None:
+        if len(self.pieces) >= REMEMBERED:
+            self.older_pieces, self.pieces = self.pieces, {}
+        self.pieces[piece] = ids
+
     def split(self, text: str) -> list[str]:
         """The pieces of a text; letters and then signs are told without the pattern."""
         simple = _word_and_signs(text)
@@ -99,9 +105,10 @@ class PieceIds(dict):
     def __missing__(self, part: str) -> bytes:
         if not part or part[0].isspace():
             raise LooseSpace
-        found = b"".join(map(self.piece, self.split(" " + part)))
+        found = self.older.get(part) or b"".join(map(self.piece, self.split(" " + part)))
         if len(part) <= LONGEST_REMEMBERED:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[part] = found
         return found

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm import bpe, lines, packing, quality, shards, topk, urls
+from eventmart.llm import (
+    bpe,
+    factors,
+    jaccard,
+    lines,
+    packing,
+    quality,
+    shards,
+    suffixes,
+    topk,
+    urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -127,6 +138,14 @@ def op4_bpe(spark, sf_dir):
     )
 
 
+@query("op5_suffix_dedup")  # byte by byte, SQL takes minutes on the smallest tables
+def op5_suffix_dedup(spark, sf_dir):
+    kept = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query(
     "op6_line_dedup",
     f"""WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -152,6 +171,28 @@ def op7_sharding(spark, sf_dir):
     )
 
 
+@query(
+    "op8_substring_dedup",
+    f"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^{BLANK}]+') AS ws
+        FROM documents),
+    s AS (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 34)) AS i FROM d
+        WHERE len(ws) >= 35),
+    k AS (SELECT doc_id, i, sha256(array_to_string(ws[i:i + 34], ' ')) AS k FROM s),
+    w AS (SELECT doc_id, i, count(*) OVER (PARTITION BY k) > 1 AS again FROM k),
+    p AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
+    c AS (SELECT doc_id, i, word, coalesce(max(again::INT) OVER (
+        PARTITION BY doc_id ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), 0) AS gone
+        FROM p LEFT JOIN w USING (doc_id, i)),
+    f AS (SELECT doc_id, sum(gone)::BIGINT AS n_removed,
+        string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS kept FROM c GROUP BY doc_id)
+    SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed,
+        sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN f USING (doc_id)""",
+)
+def op8_substring_dedup(spark, sf_dir):
+    kept = factors.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query(
     "op9_top_k",
     """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
@@ -164,3 +205,29 @@ def op7_sharding(spark, sf_dir):
 )
 def op9_top_k(spark, sf_dir):
     return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op10_jaccard_join",
+    f"""WITH RECURSIVE d AS (SELECT doc_id,
+        regexp_extract_all(coalesce(text, ''), '[^{BLANK}]+') AS ws FROM documents),
+    m AS (SELECT doc_id, array_to_string(ws, ' ') AS k, ws FROM d WHERE len(ws) > 0),
+    t AS (SELECT k, min(doc_id) AS text_id, count(*) AS n_copies, any_value(ws) AS ws
+        FROM m GROUP BY k),
+    u AS (SELECT text_id, ws, unnest(generate_series(1, greatest(len(ws) - 4, 1))) AS i FROM t),
+    g AS (SELECT DISTINCT text_id, array_to_string(ws[i:i + 4], ' ') AS g FROM u),
+    n AS (SELECT text_id, count(*) AS n FROM g GROUP BY text_id),
+    l AS (SELECT a.text_id AS a, b.text_id AS b, count(*) AS c
+        FROM g a JOIN g b ON a.g = b.g AND a.text_id <> b.text_id GROUP BY ALL),
+    e AS (SELECT a, b FROM l JOIN n x ON a = x.text_id JOIN n y ON b = y.text_id
+        WHERE 100 * c >= 80 * (x.n + y.n - c)),
+    r AS (SELECT text_id, text_id AS other FROM t UNION SELECT r.text_id, e.b
+        FROM r JOIN e ON r.other = e.a),
+    h AS (SELECT text_id, min(other) AS class_id FROM r GROUP BY text_id),
+    s AS (SELECT a AS text_id, count(*) AS n_links FROM e GROUP BY a)
+    SELECT doc_id, class_id, text_id, n_copies, coalesce(n_links, 0) AS n_links
+    FROM m JOIN t USING (k) JOIN h USING (text_id) LEFT JOIN s USING (text_id)
+    UNION ALL SELECT doc_id, doc_id, doc_id, 1, 0 FROM d WHERE len(ws) = 0""",
+)
+def op10_jaccard_join(spark, sf_dir):
+    return jaccard.JaccardJoin(table(spark, sf_dir, "documents")).classified()

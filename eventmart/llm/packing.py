@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from eventmart.llm.bpe import LONGEST_REMEMBERED, REMEMBERED, PieceIds
+from eventmart.llm.bpe import LONGEST_REMEMBERED, PieceIds
 from eventmart.llm.common import mix, prepare, slices, text_or_empty
 
 DOCS_PER_GROUP = 4096
@@ -88,14 +88,13 @@ class CachedTokenizer:
         return np.array(self._ids(text), "<u4").tobytes()
 
     def _learn(self, texts: list[str]) -> None:
-        parts, pieces = self.parts, self.parts.pieces
-        if len(pieces) >= REMEMBERED:
-            pieces.clear()
-        split = parts.split
+        parts = self.parts
+        pieces, older, split = parts.pieces, parts.older_pieces, parts.split
         new = {part for text in texts for part in text.split(" ") if part not in parts}
         unknown = {
-            piece for part in new if part for piece in split(" " + part)
-            if piece not in pieces and len(piece) <= LONGEST_REMEMBERED
+            piece for part in new if part and part not in parts.older
+            for piece in split(" " + part)
+            if piece not in pieces and piece not in older and len(piece) <= LONGEST_REMEMBERED
         }
         lines = [piece for piece in unknown if not piece.isspace()]
         if not lines:
@@ -107,7 +106,8 @@ class CachedTokenizer:
         blob = ids.tobytes()
         starts = [0, *(4 * (ends + 1)).tolist()]
         stops = [*(4 * ends).tolist(), len(blob)]
-        pieces.update({x: blob[a:b] for x, a, b in zip(lines, starts, stops)})
+        for piece, a, b in zip(lines, starts, stops):
+            parts.remember_piece(piece, blob[a:b])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         special = {i for i, text in enumerate(texts) if any(x in text for x in self.added)}

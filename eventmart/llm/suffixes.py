@@ -83,11 +83,24 @@ def match_later(spec: Spec, table: pa.Table) -> tuple[np.ndarray, np.ndarray, np
     return row[begin], offset[begin], offset[last] + spec.window
 
 
-def _remove(keep: tuple[str, ...]):
+def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """The bytes of all characters that have a byte among those that go."""
+    first = np.flatnonzero((data & 0xC0) != 0x80)
+    if not len(first):
+        return gone
+    hit = np.logical_or.reduceat(gone, first)
+    return np.repeat(hit, np.diff(np.append(first, len(data))))
+
+
+def _remove(keep: tuple[str, ...], as_text: bool):
+    kept_name = "text" if as_text else "kept"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             data, offsets = string_parts(batch.column("text"))
             gone = covered(batch, offsets)
+            if as_text:
+                gone = _whole_characters(data, gone)
             stay = np.zeros(len(data) + 1, np.int64)
             np.cumsum(~gone, out=stay[1:])
             begins = gone.copy()
@@ -100,26 +113,29 @@ def _remove(keep: tuple[str, ...]):
                 pa.binary(), batch.num_rows,
                 [None, pa.py_buffer(stay[offsets].astype(np.int32)), pa.py_buffer(data[~gone])],
             )
+            if as_text:
+                kept = kept.cast(pa.string())
             size = np.diff(offsets)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(batch.column(n) for n in keep), kept,
                  pa.array(size), pa.array(size - np.diff(stay[offsets])),
                  pa.array(np.diff(spans[offsets]))],
-                ["doc_id", *keep, "kept", "n_bytes", "n_removed", "n_spans"],
+                ["doc_id", *keep, kept_name, "n_bytes", "n_removed", "n_spans"],
             )
 
     return run
 
 
 def remove_repeats(
-    documents: DataFrame, window: int = 100, keep: tuple[str, ...] = ()
+    documents: DataFrame, window: int = 100, keep: tuple[str, ...] = (), as_text: bool = False
 ) -> DataFrame:
     """Remove each byte covered by a string of ``window`` bytes that also starts earlier.
 
     Earlier means in a document of smaller id, or before in the same document; matches
     never cross documents, and strings are judged on the input. Columns: ``doc_id``, the
     columns in ``keep``, ``kept`` (the bytes left, which need not be valid UTF-8),
-    ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed spans).
+    ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed spans). With ``as_text`` a
+    character goes with any of its bytes, and ``text`` has what is left, as a string.
 
     A null or empty text has no bytes. A null id is smaller than all others; rows of one
     id with different texts are ordered by the texts' hashes; rows repeated as a whole are
@@ -129,6 +145,8 @@ def remove_repeats(
     rows = with_variant(documents, keep)
     marked = repeated_spans(rows, spec, match_later)
     fields = [f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in ("doc_id", *keep)]
+    kept = "text string" if as_text else "kept binary"
     return marked.drop("variant").mapInArrow(
-        _remove(keep), ", ".join([*fields, "kept binary, n_bytes long, n_removed long, n_spans long"])
+        _remove(keep, as_text),
+        ", ".join([*fields, kept, "n_bytes long, n_removed long, n_spans long"]),
     )
