@@ -102,24 +102,30 @@ class PieceIds(dict):
         word, signs = simple.groups()
         return [word, signs] if signs else [word]
 
-    def __missing__(self, part: str) -> bytes:
-        if not part or part[0].isspace():
-            raise LooseSpace
-        found = self.older.get(part) or b"".join(map(self.piece, self.split(" " + part)))
+    def remember_part(self, part: str, ids: bytes) -> None:
         if len(part) <= LONGEST_REMEMBERED:
             if len(self) >= REMEMBERED:
                 self.older = dict(self)
                 self.clear()
-            self[part] = found
+            self[part] = ids
+
+    def __missing__(self, part: str) -> bytes:
+        if not part or part[0].isspace():
+            raise LooseSpace
+        found = self.older.get(part) or b"".join(map(self.piece, self.split(" " + part)))
+        self.remember_part(part, found)
         return found
 
     def encode(self, text: str) -> bytes:
-        parts = text.split(" ")
+        return self.encode_parts(text.split(" "))
+
+    def encode_parts(self, parts: list[str]) -> bytes:
+        """The ids of a text that was cut at its spaces."""
         try:
             first = b"".join(map(self.piece, self.split(parts[0]))) if parts[0] else b""
             return first + b"".join(map(self.__getitem__, parts[1:]))
         except LooseSpace:
-            return b"".join(map(self.piece, self.find(text)))
+            return b"".join(map(self.piece, self.find(" ".join(parts))))
 
 
 # Pieces of the pattern that such a text has whatever the letters are.

@@ -87,33 +87,42 @@ class CachedTokenizer:
     def _whole(self, text: str) -> bytes:
         return np.array(self._ids(text), "<u4").tobytes()
 
-    def _learn(self, texts: list[str]) -> None:
+    def _learn(self, texts: list[list[str]]) -> None:
+        """Remember all parts of texts; their unknown pieces are encoded in one go."""
         parts = self.parts
-        pieces, older, split = parts.pieces, parts.older_pieces, parts.split
-        new = {part for text in texts for part in text.split(" ") if part not in parts}
-        unknown = {
-            piece for part in new if part and part not in parts.older
-            for piece in split(" " + part)
-            if piece not in pieces and piece not in older and len(piece) <= LONGEST_REMEMBERED
-        }
-        lines = [piece for piece in unknown if not piece.isspace()]
-        if not lines:
-            return
-        ids = np.array(self._ids("\n".join(lines)), "<u4")
-        ends = np.flatnonzero(ids == self.line_break)
-        if len(ends) != len(lines) - 1:
-            raise ValueError("a line break is not a token of its own in this vocabulary")
-        blob = ids.tobytes()
-        starts = [0, *(4 * (ends + 1)).tolist()]
-        stops = [*(4 * ends).tolist(), len(blob)]
-        for piece, a, b in zip(lines, starts, stops):
-            parts.remember_piece(piece, blob[a:b])
+        pieces, older = parts.pieces, parts.older_pieces
+        split: dict[str, list[str]] = {}
+        unknown: set[str] = set()
+        for part in set().union(*texts).difference(parts):
+            if not part or part[0].isspace():
+                continue
+            if part in parts.older:
+                parts.remember_part(part, parts.older[part])
+                continue
+            split[part] = found = parts.split(" " + part)
+            for piece in found:
+                if piece not in pieces and piece not in older:
+                    unknown.add(piece)
+        lines = [x for x in unknown if len(x) <= LONGEST_REMEMBERED and not x.isspace()]
+        if lines:
+            ids = np.array(self._ids("\n".join(lines)), "<u4")
+            ends = np.flatnonzero(ids == self.line_break)
+            if len(ends) != len(lines) - 1:
+                raise ValueError("a line break is not a token of its own in this vocabulary")
+            blob = ids.tobytes()
+            starts = [0, *(4 * (ends + 1)).tolist()]
+            stops = [*(4 * ends).tolist(), len(blob)]
+            for piece, a, b in zip(lines, starts, stops):
+                parts.remember_piece(piece, blob[a:b])
+        for part, found in split.items():
+            parts.remember_part(part, b"".join(map(parts.piece, found)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         special = {i for i, text in enumerate(texts) if any(x in text for x in self.added)}
-        self._learn([text for i, text in enumerate(texts) if i not in special])
+        cut = [[] if i in special else text.split(" ") for i, text in enumerate(texts)]
+        self._learn(cut)
         return [
-            self._whole(text) if i in special else self.parts.encode(text)
+            self._whole(text) if i in special else self.parts.encode_parts(cut[i])
             for i, text in enumerate(texts)
         ]
 
