@@ -18,11 +18,12 @@ def utc_literal(moment: datetime) -> Column:
 def lenient_timestamp(text: Column) -> Column:
     """UTC timestamp of a string, null when it is not a full date or date-time.
 
-    Spark alone also accepts a bare year, a year-month and a bare time of day. A zone
-    offset in the text is applied before the zone is dropped.
+    A date alone, or a date and a time with hours and minutes at least. Spark by itself
+    also accepts a bare year, a year-month, a time of day, and a date with hours alone.
+    A zone offset in the text is applied before the zone is dropped.
     """
-    dated = text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}")
-    return F.when(dated, text.try_cast("timestamp")).cast("timestamp_ntz")
+    full = text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}([T ]\d{1,2}:\d{1,2}.*)?$")
+    return F.when(full, text.try_cast("timestamp")).cast("timestamp_ntz")
 
 
 def seconds_between(start: Column, end: Column) -> Column:
@@ -68,10 +69,12 @@ def money_sum(amount: Column) -> Column:
     """Sum of a money column as double, the same whatever the order of the rows.
 
     Doubles would add up to different last digits in every run, which rounding to cents can
-    turn into different reports. Amounts are added as decimals; one too large for that
-    (from 1e20) is added as a double.
+    turn into different reports. Amounts are added as decimals; where one of them, or
+    their sum, is too large for that (from 1e20), all are added as doubles.
     """
     exact = amount.try_cast("decimal(38,18)")
-    regular = F.sum(exact).cast("double")
-    huge = F.sum(F.when(exact.isNull(), amount))
-    return F.when(huge.isNull(), regular).otherwise(huge + F.coalesce(regular, F.lit(0.0)))
+    as_decimal = F.try_sum(exact).cast("double")
+    return F.when(
+        (F.count(exact) == F.count(amount)) & (as_decimal.isNotNull() | (F.count(amount) == 0)),
+        as_decimal,
+    ).otherwise(F.sum(amount))

@@ -84,12 +84,15 @@ def has_wide_misfit(line: Column) -> Column:
 
     VARIANT holds an integer beyond the signed range as a decimal and drops trailing zeros,
     which makes ``9223372036854775808.0`` look like the integer: only the text of the line
-    can tell. It is searched for that many digits first, which hardly any line has.
+    can tell. It is searched for that many digits first, which hardly any line has. Of
+    repeated keys the last counts, as it does in the VARIANT.
     """
+    integers = [key for key, _, kind in PROPERTIES if kind == INTEGER]
+    members = ", ".join(f"{key}: string" for key in integers)
+    texts = F.from_json(line, f"properties struct<{members}>")
     misfit = F.lit(False)
-    for key, _, kind in PROPERTIES:
-        if kind == INTEGER:
-            literal = F.get_json_object(line, f"$.properties.{key}")
-            in_range = literal.try_cast("decimal(38,0)").between(*map(F.lit, INTEGER_RANGE))
-            misfit = misfit | literal.contains(".") | ~in_range
+    for key in integers:
+        literal = texts["properties"][key]
+        in_range = literal.try_cast("decimal(38,0)").between(*map(F.lit, INTEGER_RANGE))
+        misfit = misfit | literal.contains(".") | ~in_range
     return F.when(line.rlike(r"\d{19}"), F.coalesce(misfit, F.lit(False))).otherwise(False)

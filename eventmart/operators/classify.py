@@ -62,12 +62,18 @@ def lowest_metric() -> Column:
     return F.least(F.lit(0.0), *METRICS)
 
 
+def is_unknown_name(event_names: Sequence[str] = EVENT_NAMES) -> Column:
+    """Whether an event's name is missing or outside the contract."""
+    return ~F.coalesce(F.col("event_name").isin(*event_names), F.lit(False))
+
+
 def first_failure(event_names: Sequence[str] = EVENT_NAMES) -> Column:
     """The first validation rule a typed event with owners breaks; null when it is valid."""
+    # The reasons and their order.
     rules = (
         ("missing_event_id", F.coalesce(F.col("event_id"), F.lit("")) == ""),
         ("unparseable_event_ts", F.col("event_ts").isNull()),
-        ("unknown_event_name", ~F.coalesce(F.col("event_name").isin(*event_names), F.lit(False))),
+        ("unknown_event_name", is_unknown_name(event_names)),
         ("missing_account_id", F.col("account_id").isNull()),
         ("missing_user_id", F.col("user_id").isNull()),
         (
@@ -136,8 +142,14 @@ def mark_duplicates(validated: DataFrame, repeated: DataFrame) -> DataFrame:
     is_first = (F.col("source_file") == F.col("first_source_file")) & (
         F.col("line_number") == F.col("first_line_number")
     )
+    # Only valid events can be in ``repeated``. Any other row gets a key of its own, so that
+    # missing or empty ids do not meet in one task when the join has to shuffle.
+    own = F.concat(F.lit("\x00"), "source_file", F.lit(":"), F.col("line_number").cast("string"))
+    keyed = validated.withColumn(
+        "_key", F.when(F.col("rejection_reason").isNull(), F.col("event_id")).otherwise(own)
+    )
     return (
-        validated.join(repeated, "event_id", "left")
+        keyed.join(repeated.withColumnRenamed("event_id", "_key"), "_key", "left")
         .withColumn(
             "rejection_reason",
             F.when(F.col("rejection_reason").isNull() & ~is_first, F.lit(DUPLICATE)).otherwise(
@@ -153,14 +165,17 @@ def classify_events(
     accounts: DataFrame,
     users: DataFrame,
     event_names: Sequence[str] = EVENT_NAMES,
+    scratch: str | None = None,
 ) -> DataFrame:
     """One row per raw event with its rejection reason, null for the clean ones.
 
-    Runs a job for the repeated events. ``accounts`` and ``users`` must have unique keys
+    Runs a job for the repeated events, whose table is written to ``scratch`` (or a new
+    folder of the shared scratch space). ``accounts`` and ``users`` must have unique keys
     (``Warehouse.build`` checks this).
     """
     validated = validate_events(raw_events, accounts, users, event_names)
-    return mark_duplicates(validated, materialize(repeated_events(validated), "repeated"))
+    repeated = materialize(repeated_events(validated), "repeated", scratch)
+    return mark_duplicates(validated, repeated)
 
 
 def stg_events(classified: DataFrame) -> DataFrame:

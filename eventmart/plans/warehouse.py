@@ -5,6 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,9 @@ from eventmart.plans.reports import REPORTS
 from eventmart.schemas import ACCOUNTS, AI_INTERACTIONS, CLASSIFIED, SESSIONS, USERS, column_names
 from eventmart.session import configure
 from eventmart.sources import bronze, metadata
+from eventmart.sources.jsonl import EVENT_FILES
 
+# The table names.
 RAW_TABLES = ("raw_events", "raw_ingest_rejections", "raw_accounts", "raw_users")
 # Tables written in partitions: partition column and full schema. Reading them with their
 # schema works for a table without a single row, too.
@@ -22,6 +25,7 @@ PARTITIONED = {
     "fact_sessions": ("session_date", SESSIONS),
 }
 CLEAN, REJECTED = "clean", "rejected"
+# The table names.
 BUILT_TABLES = (
     "stg_events",
     "rejected_events",
@@ -33,6 +37,14 @@ BUILT_TABLES = (
 )
 
 
+class ChecksFailed(Exception):
+    """A build that violates data-quality checks; ``violated`` has their rows."""
+
+    def __init__(self, violated: list):
+        super().__init__("; ".join(" ".join(map(str, row)) for row in violated))
+        self.violated = violated
+
+
 class Warehouse:
     """Parquet tables below one folder that all executors can reach.
 
@@ -49,11 +61,29 @@ class Warehouse:
 
     # -- raw layer -----------------------------------------------------------------
 
-    def ingest(self, raw_dir: str, ingested_at: datetime | None = None) -> dict[str, int]:
-        """Load ``events_*.jsonl``, ``accounts.csv`` and ``users.csv``; safe to repeat."""
+    def ingest(
+        self,
+        raw_dir: str,
+        ingested_at: datetime | None = None,
+        pattern: str = EVENT_FILES,
+        event_names: str | None = None,
+    ) -> dict[str, int]:
+        """Load event files, ``accounts.csv`` and ``users.csv``; safe to repeat.
+
+        ``pattern`` chooses the event files, so that one new day can be loaded alone;
+        ``event_names`` is a CSV file with the event-name contract, which replaces the
+        stored one.
+        """
         ingested_at = ingested_at or datetime.now(timezone.utc).replace(tzinfo=None)
         raw_dir = raw_dir.rstrip("/")
-        bronze.ingest_events(self.spark, raw_dir, self.path("raw/lines"), ingested_at)
+        bronze.ingest_events(
+            self.spark, raw_dir, self.path("raw/lines"), ingested_at, pattern,
+            self.path("raw/line_offsets"),
+        )
+        if event_names is not None:
+            self._write(
+                metadata.contract_seed(self.spark, event_names), "raw/expected_event_names"
+            )
         accounts = metadata.ingest_metadata(
             self.spark, f"{raw_dir}/accounts.csv", self.path("raw/accounts"), ACCOUNTS, ingested_at
         )
@@ -87,10 +117,12 @@ class Warehouse:
 
     # -- build ---------------------------------------------------------------------
 
-    def build(self, raw: dict[str, DataFrame] | None = None) -> None:
+    def build(self, raw: dict[str, DataFrame] | None = None, check: bool = True) -> None:
         """Write the classified events and all marts from the raw tables.
 
-        ``raw`` replaces the ingested tables, under the names in ``RAW_TABLES``.
+        ``raw`` replaces the ingested tables, under the names in ``RAW_TABLES``. A build
+        that violates a data-quality check raises ``ChecksFailed``, unless ``check`` is
+        false; its tables stay for inspection.
         """
         raw = raw or self._raw_tables()
         accounts, users = raw["raw_accounts"], raw["raw_users"]
@@ -104,15 +136,13 @@ class Warehouse:
                 pool.submit(self._write, marts.dim_accounts(accounts), "marts/dim_accounts"),
                 pool.submit(self._write, marts.dim_users(users, accounts), "marts/dim_users"),
             ]
-            classified = classify.classify_events(raw["raw_events"], accounts, users)
-            (
-                classified.withColumn(
-                    "outcome",
-                    F.when(F.col("rejection_reason").isNull(), CLEAN).otherwise(REJECTED),
-                )
-                .write.mode("overwrite")
-                .partitionBy("outcome")
-                .parquet(self.path("staging/events_classified"))
+            classified = classify.classify_events(
+                raw["raw_events"], accounts, users, self.event_names(),
+                self.path("staging/repeated_events"),
+            )
+            outcome = F.when(F.col("rejection_reason").isNull(), CLEAN).otherwise(REJECTED)
+            self._write_partitioned(
+                classified.withColumn("outcome", outcome), "outcome", "staging/events_classified"
             )
             events = self.table("stg_events")
             beside.append(
@@ -131,6 +161,14 @@ class Warehouse:
             )
             for job in beside:
                 job.result()
+        if check:
+            violated = self.checks(raw).filter("violations > 0").collect()
+            if violated:
+                raise ChecksFailed(violated)
+
+    def event_names(self) -> list[str]:
+        """The contract's names; a short list, which validation compares with."""
+        return sorted(row[0] for row in self.table("expected_event_names").collect())
 
     def _require_unique_keys(self, accounts: DataFrame, users: DataFrame) -> None:
         """A repeated metadata key would multiply events; better no build than that."""
@@ -148,11 +186,15 @@ class Warehouse:
     def _write_by_day(self, df: DataFrame, name: str) -> None:
         """One directory per day; the rebalance gives a large day several files."""
         day, _ = PARTITIONED[name]
+        self._write_partitioned(df.hint("rebalance", day), day, f"marts/{name}")
+
+    def _write_partitioned(self, df: DataFrame, column: str, name: str) -> None:
+        """All of the table is replaced, whatever the session says of partitions."""
         (
-            df.hint("rebalance", day)
-            .write.mode("overwrite")
-            .partitionBy(day)
-            .parquet(self.path(f"marts/{name}"))
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(column)
+            .parquet(self.path(name))
         )
 
     def _read(self, name: str) -> DataFrame:
@@ -179,7 +221,7 @@ class Warehouse:
                 self._read("staging/ingest_rejections"), self.classified(REJECTED)
             )
         if name == "expected_event_names":
-            return metadata.contract_seed(self.spark)
+            return self._contract()
         if name in PARTITIONED:
             _, schema = PARTITIONED[name]
             return self.spark.read.schema(schema).parquet(self.path(f"marts/{name}")).select(
@@ -187,6 +229,15 @@ class Warehouse:
             )
         return self._read(f"marts/{name}")
 
+    def _contract(self) -> DataFrame:
+        """The stored event-name contract, or the built-in one if none was loaded."""
+        try:
+            return self._read("raw/expected_event_names")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return metadata.contract_seed(self.spark)
+
     def report(self, name: str) -> DataFrame:
         """One of the reports in ``REPORTS``, over the built tables."""
         build, tables = REPORTS[name]

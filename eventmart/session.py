@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,27 +24,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="eventmart-")
-
-
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder path for intermediate tables, on storage every executor can reach.
 
-    The cluster names that storage in ``spark.checkpoint.dir``. Only where it is unset
-    (a local test session) does a temporary folder stand in for it.
+    The cluster names that storage in ``spark.checkpoint.dir``, or the application by
+    ``SparkContext.setCheckpointDir``. There is no other place that is sure to be shared.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        raise ValueError("spark.checkpoint.dir is not set; it names the shared scratch folder")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write a small intermediate result and read it back.
+def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write an intermediate result and read it back; ``path`` is overwritten.
 
     A join with a written table is planned by its true size: broadcast below Spark's
     threshold, else sorted and merged, with the rows of a hot key split over tasks.
     """
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    path = path or scratch_dir(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

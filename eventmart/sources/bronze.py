@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.scalar import utc_literal
 from eventmart.schemas import EVENT_KEYS
-from eventmart.sources.jsonl import EVENT_FILES, list_event_files, parse_lines, read_lines
+from eventmart.sources.jsonl import (
+    BEYOND_LIMITS,
+    EVENT_FILES,
+    list_event_files,
+    parse_lines,
+    read_lines,
+)
 
 # Marks the one row a file always has, so that a file which lost its lines, or its bad
 # lines, still replaces what an earlier version left behind.
@@ -54,9 +60,10 @@ def ingest_events(
     path: str,
     ingested_at: datetime,
     pattern: str = EVENT_FILES,
+    scratch: str | None = None,
 ) -> None:
-    """Load every event file of a directory into the bronze table. Safe to repeat."""
-    lines = read_lines(spark, raw_dir, pattern)
+    """Load the event files of a directory into the bronze table. Safe to repeat."""
+    lines = read_lines(spark, raw_dir, pattern, scratch)
     markers = file_markers(list_event_files(spark, raw_dir, pattern), ingested_at)
     replace_by_file(
         parse_lines(lines, ingested_at).unionByName(markers, allowMissingColumns=True), path
@@ -92,9 +99,13 @@ def raw_ingest_rejections(bronze: DataFrame) -> DataFrame:
 
 
 def ingest_stats(bronze: DataFrame) -> DataFrame:
-    """Events loaded and lines rejected per file, files without a single line included."""
+    """Events loaded and lines rejected per file, files without a single line included.
+
+    ``lines_beyond_limits`` are those of the rejected lines that may be valid JSON.
+    """
     reason = F.col("ingest_reason")
     return bronze.groupBy("source_file").agg(
         F.count_if(reason.isNull()).alias("events_loaded"),
         F.count_if(reason.isNotNull() & (reason != FILE_MARKER)).alias("lines_rejected"),
+        F.count_if(reason == BEYOND_LIMITS).alias("lines_beyond_limits"),
     )

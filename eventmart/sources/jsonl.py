@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -13,12 +12,15 @@ from pyspark.sql.window import Window
 from eventmart.functions.scalar import utc_literal
 from eventmart.functions.variant import JSON_ROOT, has_wide_misfit, with_json
 from eventmart.schemas import BRONZE_COLUMNS, EVENT_KEYS
+from eventmart.session import materialize
 
 EVENT_FILES = "events_*.jsonl"
 
-# A broadcast offset table has one row (about 200 bytes) per file split, a list the driver
-# holds anyway to schedule the scan. A million splits of 128 MB are 128 TB of text.
-MAX_BROADCAST_SPLITS = 1_000_000
+# What VARIANT cannot hold: 16 MiB of text or binary form, numbers of more digits, deeper
+# nesting. A line near one of these limits that does not parse may still be valid JSON.
+NEAR_LIMIT_BYTES = 8 * 1024 * 1024
+NEAR_LIMIT_DEPTH = 200
+BEYOND_LIMITS = "json_beyond_limits"
 
 
 def list_event_files(spark: SparkSession, raw_dir: str, pattern: str = EVENT_FILES) -> DataFrame:
@@ -47,14 +49,17 @@ def _empty_files(spark: SparkSession, path: str) -> list[str]:
     return [file.getPath().toString() for file in files if file.getLen() == 0 and file.isFile()]
 
 
-def read_lines(spark: SparkSession, raw_dir: str, pattern: str = EVENT_FILES) -> DataFrame:
+def read_lines(
+    spark: SparkSession, raw_dir: str, pattern: str = EVENT_FILES, scratch: str | None = None
+) -> DataFrame:
     """``(value, source_file, line_number)`` for every physical line, blank ones included.
 
     Large files stay splittable: a line's number is its position inside its split plus the
-    lines of all earlier splits of the same file. Only per-split counts are combined; the
-    lines themselves are never shuffled or sorted.
+    lines of all earlier splits of the same file. Runs a job that writes a table of the
+    lines per split (to ``scratch``); the lines join it by broadcast as long as Spark finds
+    it small, and by their split otherwise.
     """
-    files = list_event_files(spark, raw_dir, pattern)
+    list_event_files(spark, raw_dir, pattern)
     lines = spark.read.text(f"{raw_dir.rstrip('/')}/{pattern}").select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
@@ -79,11 +84,10 @@ def read_lines(spark: SparkSession, raw_dir: str, pattern: str = EVENT_FILES) ->
             ).alias("shift"),
         )
     )
-    if _max_splits(spark, files) <= MAX_BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
+    offsets = materialize(offsets, "line-offsets", scratch)
     return lines.join(offsets, ["file_path", "split_start"]).select(
         "value",
-        _source_file(F.col("file_path"), pattern).alias("source_file"),
+        _source_file(decoded_path(F.col("file_path")), pattern).alias("source_file"),
         (F.col("position") + F.col("shift")).alias("line_number"),
     )
 
@@ -93,14 +97,12 @@ def _source_file(path: Column, pattern: str) -> Column:
     return F.substring_index(path, "/", -(pattern.count("/") + 1))
 
 
-def _max_splits(spark: SparkSession, files: DataFrame) -> int:
-    """Upper bound of the number of splits the text scan can have, from file sizes alone."""
-    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    number, unit = re.fullmatch(r"(\d+)\s*([a-z]*)", size.strip().lower()).groups()
-    scale = 1024 ** "bkmgtp".index((unit or "b")[0])
-    whole = F.ceil(F.col("length") / F.lit(int(number) * scale)) + 1
-    bound = files.agg(F.sum(whole).alias("n")).first()["n"] or 0
-    return int(bound) + spark.sparkContext.defaultParallelism
+def decoded_path(path: Column) -> Column:
+    """A path of the file metadata as the file system spells it: ``%20`` is a space there.
+
+    A plus sign is a plus sign in a path, unlike in a form, so it is escaped first.
+    """
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def is_blank(value: Column) -> Column:
@@ -115,6 +117,8 @@ def skip_blank(lines: DataFrame) -> DataFrame:
 def ingest_reason(value: Column, document: Column) -> Column:
     """Why a line is no event object; null for a JSON object.
 
+    A line that could not be read but may be valid JSON beyond the limits of VARIANT has a
+    reason of its own.
     Once a line is known to be valid JSON its first character tells the kind of value.
     """
     text = F.btrim(value, F.lit(" \t\r\n"))
@@ -127,7 +131,14 @@ def ingest_reason(value: Column, document: Column) -> Column:
         .when(text.rlike(r"^-?\d+$"), "int")
         .otherwise("float")
     )
-    return F.when(document.isNull(), F.lit("malformed_json")).when(
+    brackets = F.length(value) - F.length(F.translate(value, "[{", ""))
+    near_limit = (
+        (F.octet_length(value) > NEAR_LIMIT_BYTES)
+        | (brackets > NEAR_LIMIT_DEPTH)
+        | value.rlike(r"\d{39}")
+    )
+    unread = F.when(near_limit, F.lit(BEYOND_LIMITS)).otherwise(F.lit("malformed_json"))
+    return F.when(document.isNull(), unread).when(
         first != "{", F.concat(F.lit("not_a_json_object: got "), kind)
     )
 

@@ -14,9 +14,17 @@ from eventmart.sources.bronze import replace_by_file
 
 
 def read_metadata(
-    spark: SparkSession, path: str, schema: T.StructType, ingested_at: datetime
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    ingested_at: datetime,
+    line_breaks: bool = False,
 ) -> DataFrame:
-    """A CSV file with header under an explicit schema; a value that does not fit fails."""
+    """A CSV file with header under an explicit schema; a value that does not fit fails.
+
+    A quote inside quotes is doubled. ``line_breaks`` allows them inside quotes, at the
+    price that a file can no longer be read in parts.
+    """
     as_read = T.StructType(
         [
             T.StructField(
@@ -33,6 +41,8 @@ def read_metadata(
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
+        .option("escape", '"')
+        .option("multiLine", line_breaks)
         .csv(path)
     )
     return rows.select(
@@ -49,11 +59,22 @@ def read_metadata(
 
 
 def ingest_metadata(
-    spark: SparkSession, csv_path: str, table_path: str, schema: T.StructType, ingested_at: datetime
+    spark: SparkSession,
+    csv_path: str,
+    table_path: str,
+    schema: T.StructType,
+    ingested_at: datetime,
+    line_breaks: bool = False,
 ) -> int:
-    """Replace the rows of one metadata file in its table; returns how many it has."""
-    replace_by_file(read_metadata(spark, csv_path, schema, ingested_at), table_path)
+    """Replace the rows of one metadata file in its table; returns how many it has.
+
+    A row without ``ingested_at`` marks the file, so that one with a header alone replaces
+    its earlier rows too.
+    """
     source_file = csv_path.rstrip("/").rsplit("/", 1)[-1]
+    rows = read_metadata(spark, csv_path, schema, ingested_at, line_breaks)
+    marker = spark.createDataFrame([(source_file,)], "source_file string")
+    replace_by_file(rows.unionByName(marker, allowMissingColumns=True), table_path)
     return read_metadata_table(spark, table_path, schema).filter(
         F.col("source_file") == source_file
     ).count()
@@ -67,9 +88,12 @@ def read_metadata_table(spark: SparkSession, path: str, schema: T.StructType) ->
             T.StructField("source_file", T.StringType()),
         ]
     )
-    return spark.read.schema(stored).parquet(path)
+    return spark.read.schema(stored).parquet(path).filter(F.col("ingested_at").isNotNull())
 
 
-def contract_seed(spark: SparkSession) -> DataFrame:
-    """The valid event names as a table of nine rows."""
-    return spark.createDataFrame([(name,) for name in EVENT_NAMES], "event_name string")
+def contract_seed(spark: SparkSession, csv_path: str | None = None) -> DataFrame:
+    """The valid event names: column ``event_name`` of a CSV file, or else the built-in nine."""
+    if csv_path is None:
+        return spark.createDataFrame([(name,) for name in EVENT_NAMES], "event_name string")
+    names = spark.read.option("header", True).option("escape", '"').csv(csv_path)
+    return names.select("event_name").filter("event_name IS NOT NULL").distinct()

@@ -206,21 +206,20 @@ def contract_seed(spark, sf_dir):
 
 @query("s10_layer_sink", "SELECT event_date, account_id, events, plan FROM d")
 def layer_sink(spark, sf_dir):
-    path = scratch_dir(spark, "sink")
-    mart(spark, sf_dir, "daily_account_metrics").write.parquet(path)
-    spark.read.parquet(path).createOrReplaceTempView("daily_account_metrics_sink")
-    return spark.sql("SELECT event_date, account_id, events, plan FROM daily_account_metrics_sink")
+    """The mart as the warehouse wrote it, through the view it offers to SQL."""
+    feed.warehouse(spark, sf_dir).create_views()
+    return spark.sql("SELECT event_date, account_id, events, plan FROM daily_account_metrics")
 
 
 @query(
     "s11_ingest_stats",
     """SELECT source_file, count(*) - count(reason) AS events_loaded,
-              count(reason) AS lines_rejected
+              count(reason) AS lines_rejected, 0::BIGINT AS lines_beyond_limits
        FROM (SELECT source_file, NULL AS reason FROM f
              UNION ALL SELECT source_file, reason FROM bad) GROUP BY source_file""",
 )
 def ingest_stats(spark, sf_dir):
-    return bronze.ingest_stats(jsonl.parse_lines(feed.lines(spark, sf_dir), feed.INGESTED_AT))
+    return feed.warehouse(spark, sf_dir).ingest_stats()
 
 
 # -- typing, projection and scalar functions -------------------------------------------
@@ -429,12 +428,9 @@ def name_in_list(spark, sf_dir):
     "WHERE event_name IS NULL OR event_name = 'assistant_hovered'",
 )
 def not_in_seed(spark, sf_dir):
-    """The contract has nine rows, hence the broadcast."""
-    return (
-        feed.raw_events(spark, sf_dir)
-        .join(F.broadcast(metadata.contract_seed(spark)), "event_name", "left_anti")
-        .select(*LINEAGE, "event_name")
-    )
+    """By the rule of the build, with the names the warehouse holds."""
+    unknown = classify.is_unknown_name(feed.warehouse(spark, sf_dir).event_names())
+    return feed.raw_events(spark, sf_dir).filter(unknown).select(*LINEAGE, "event_name")
 
 
 @query("f05_not_null_filter", "SELECT event_id, session_id FROM s WHERE session_id IS NOT NULL")

@@ -13,8 +13,8 @@ from eventmart.operators import classify, marts
 from eventmart.session import materialize
 from eventmart.sources import bronze, jsonl
 
-ACCOUNTS = [("acct_A",), ("acct_B",)]
-USERS = [("user_1", "acct_A"), ("user_2", "acct_A"), ("user_3", "acct_B"), ("user_4", None)]
+ACCOUNTS = [("nord",), ("sued",)]
+USERS = [("mia", "nord"), ("tom", "nord"), ("lea", "sued"), ("ole", None)]
 
 
 def owners(spark):
@@ -55,7 +55,7 @@ def test_identity_rules(spark):
         event_line("e", "user_invited", session_id=None),
         event_line("f", None),
         event_line("g", "session_started", event_ts=None),
-        event_line("h", "session_started", user_id="user_4"),
+        event_line("h", "session_started", user_id="ole"),
         event_line("i", "session_started", user_id=None, account_id=None, event_ts="x"),
     ]
     assert reasons(spark, lines) == [
@@ -130,17 +130,17 @@ def test_negative_metrics(spark, metric):
 
 def test_timestamps(spark):
     cases = {
-        "2026-08-01T10:00:00Z": "2026-08-01 10:00:00",
-        "2026-08-01 10:00:00": "2026-08-01 10:00:00",
-        "2026-08-01T10:00:00.250Z": "2026-08-01 10:00:00.250000",
-        "2026-08-01T10:00:00+02:00": "2026-08-01 08:00:00",
-        " 2026-08-01 ": "2026-08-01 00:00:00",
-        "2026-8-1": "2026-08-01 00:00:00",
+        "2025-03-01T10:00:00Z": "2025-03-01 10:00:00",
+        "2025-03-01 10:00:00": "2025-03-01 10:00:00",
+        "2025-03-01T10:00:00.250Z": "2025-03-01 10:00:00.250000",
+        "2025-03-01T10:00:00+02:00": "2025-03-01 08:00:00",
+        " 2025-03-01 ": None,
+        "2025-3-1": "2025-03-01 00:00:00",
         "2026": None,
         "2026-08": None,
         "T10:00:00": None,
         "10:00:00": None,
-        "2026-08-01 99:99:99": None,
+        "2025-03-01 99:99:99": None,
         "2026-02-30": None,
         "epoch": None,
         "": None,
@@ -152,12 +152,12 @@ def test_timestamps(spark):
 
 def test_lateness_boundaries(spark):
     received = {
-        "a": "2026-08-01T11:00:00Z",
-        "b": "2026-08-01T11:00:01Z",
-        "c": "2026-08-01T09:59:00Z",
+        "a": "2025-03-10T09:00:00Z",
+        "b": "2025-03-10T09:00:01Z",
+        "c": "2025-03-10T07:59:00Z",
         "d": "soon",
         "e": None,
-        "f": "2026-08-01T10:00:01.100Z",
+        "f": "2025-03-10T08:00:01.100Z",
     }
     lines = [
         event_line(key, "session_started", received_ts=value) for key, value in received.items()
@@ -170,8 +170,8 @@ def test_lateness_boundaries(spark):
 
 def test_sub_second_lateness_counts_boundaries(spark):
     line = event_line(
-        "a", "session_started", event_ts="2026-08-01T10:00:00.900Z",
-        received_ts="2026-08-01T10:00:01.100Z",
+        "a", "session_started", event_ts="2025-03-01T10:00:00.900Z",
+        received_ts="2025-03-01T10:00:01.100Z",
     )
     event = classify.stg_events(classified(spark, [line])).first()
     assert event["lateness_seconds"] == 1
@@ -180,10 +180,10 @@ def test_sub_second_lateness_counts_boundaries(spark):
 def test_only_valid_copies_compete(spark):
     lines = [
         event_line("a", "session_started", account_id=None, received_ts="2020-01-01T00:00:00Z"),
-        event_line("a", "session_started", received_ts="2026-08-01T10:00:05Z"),
-        event_line("a", "session_started", received_ts="2026-08-01T10:00:04Z"),
+        event_line("a", "session_started", received_ts="2025-03-01T10:00:05Z"),
+        event_line("a", "session_started", received_ts="2025-03-01T10:00:04Z"),
         event_line("a", "session_started", received_ts=None),
-        event_line("a", "session_started", received_ts="2026-08-01T10:00:04Z"),
+        event_line("a", "session_started", received_ts="2025-03-01T10:00:04Z"),
     ]
     assert reasons(spark, lines) == [
         "missing_account_id", "duplicate_event_id", None, "duplicate_event_id",
@@ -202,11 +202,11 @@ def random_lines(count, seed):
                 event_id,
                 pick.choice(["session_started", "ai_response_generated", "user_invited", "odd"]),
                 f"{pick.randrange(24):02d}:{pick.randrange(60):02d}:00",
-                user_id=pick.choice(["user_1"] * 6 + ["user_2", "user_3", "user_9", None]),
-                account_id=pick.choice(["acct_A"] * 6 + ["acct_B", "acct_X", None]),
-                session_id=pick.choice(["s1", "s1", "s2", None]),
+                user_id=pick.choice(["mia"] * 6 + ["tom", "lea", "user_9", None]),
+                account_id=pick.choice(["nord"] * 6 + ["sued", "acct_X", None]),
+                session_id=pick.choice(["visit-1", "visit-1", "visit-2", None]),
                 received_ts=pick.choice(
-                    [None, "bad"] + [f"2026-08-02T0{n}:00:00Z" for n in range(9)]
+                    [None, "bad"] + [f"2025-03-02T0{n}:00:00Z" for n in range(9)]
                 ),
                 properties=pick.choice(
                     [{}, {"model": "m", "prompt_tokens": 3, "completion_tokens": 4,
@@ -321,3 +321,52 @@ def test_payload_survives(spark):
     assert first["rejection_reason"] == "missing_event_id"
     assert json.loads(first["raw_data"])["properties"] == {"workflow": "w"}
     assert (second["rejection_stage"], second["raw_data"]) == ("ingest", "{bad")
+
+
+def test_last_of_repeated_keys_counts(spark):
+    """A 19-digit value beside a repeated key must not hide which one is last."""
+    lines = [
+        call("a").replace("{}", '{"prompt_tokens":1.0,"prompt_tokens":9223372036854775808}'),
+        call("b").replace("{}", '{"prompt_tokens":9223372036854775808,"prompt_tokens":1.0}'),
+    ]
+    assert reasons(spark, lines) == [None, "invalid_property_type"]
+
+
+@pytest.mark.parametrize(
+    ("text", "accepted"),
+    [
+        ("2025-03-10", True),
+        (" 2025-03-10T08:00:00Z", True),
+        ("2025-03-10T08:00", True),
+        ("2025-03-10 08:00:00.123456", True),
+        ("2025-03-10T08:00:00+02:00", True),
+        ("2025-03-10T08", False),
+        ("2025-03-10 08", False),
+        (" 2025-03-10 ", False),
+        ("2025-03", False),
+        ("2025", False),
+        ("08:00:00", False),
+        ("2025/03/10", False),
+        ("12025-03-10", False),
+        ("2025-02-30", False),
+        ("", False),
+    ],
+)
+def test_timestamp_forms(spark, text, accepted):
+    found = spark.createDataFrame([(text,)], "t string").select(
+        scalar.lenient_timestamp(F.col("t")).isNotNull()
+    )
+    assert found.first()[0] is accepted
+
+
+def test_rows_without_a_valid_id_do_not_meet_in_the_duplicate_join(spark):
+    """A third of all rows with null and empty ids, joined without a broadcast."""
+    lines = [
+        event_line((None, "", f"id{n}")[n % 3], "session_started") for n in range(300)
+    ] + [event_line("id2", "session_started")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = classified(spark, lines).groupBy("rejection_reason").count()
+        assert dict(rows(found)) == {None: 100, "missing_event_id": 200, "duplicate_event_id": 1}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

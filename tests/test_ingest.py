@@ -3,11 +3,19 @@
 import json
 
 import pytest
-from conftest import DAY_FILE, INGESTED_AT, event_line, fixture_lines, rows, write_raw
+from conftest import (
+    ACCOUNT_ROWS,
+    DAY_FILE,
+    INGESTED_AT,
+    event_line,
+    fixture_lines,
+    rows,
+    write_raw,
+)
 from pyspark.sql import functions as F
 
 from eventmart import Warehouse
-from eventmart.schemas import USERS
+from eventmart.schemas import ACCOUNTS, USERS
 from eventmart.sources import bronze, jsonl, metadata
 
 MALFORMED = [
@@ -104,10 +112,10 @@ def test_no_event_file(spark, tmp_path):
         jsonl.read_lines(spark, str(tmp_path))
 
 
-@pytest.mark.parametrize("max_broadcast", [jsonl.MAX_BROADCAST_SPLITS, 0])
-def test_line_numbers_over_many_splits(spark, tmp_path, monkeypatch, max_broadcast):
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_line_numbers_over_many_splits(spark, tmp_path, threshold):
     """Files cut into many splits and small files packed into one, with both joins."""
-    monkeypatch.setattr(jsonl, "MAX_BROADCAST_SPLITS", max_broadcast)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     sizes = {"events_a.jsonl": 5000, "events_b.jsonl": 1, "events_c.jsonl": 700}
     for name, size in sizes.items():
         (tmp_path / name).write_text("".join(f"{n} {'x' * (n % 97)}\n" for n in range(1, size + 1)))
@@ -116,7 +124,8 @@ def test_line_numbers_over_many_splits(spark, tmp_path, monkeypatch, max_broadca
     spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
     try:
         lines = jsonl.read_lines(spark, str(tmp_path))
-        assert lines.select(F.spark_partition_id()).distinct().count() > 5
+        parts = lines.select(F.spark_partition_id()).distinct().count()
+        assert threshold == "-1" or parts > 5
         wrong = lines.filter(
             F.substring_index("value", " ", 1).cast("long") != F.col("line_number")
         )
@@ -125,6 +134,27 @@ def test_line_numbers_over_many_splits(spark, tmp_path, monkeypatch, max_broadca
         assert counts == sizes
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", ["events_a b.jsonl", "events_50%.jsonl", "events_a+b.jsonl"])
+def test_file_names_are_spelled_as_in_the_file_system(spark, tmp_path, name):
+    first, _ = ingested(spark, tmp_path, {name: ["{bad", event_line("a", "x")]})
+    assert rows(first.ingest_stats()) == [(name, 1, 1, 0)]
+    assert rows(first.table("raw_events").select("source_file", "line_number")) == [(name, 2)]
+    again, _ = ingested(spark, tmp_path, {name: []}, "empty")
+    assert rows(again.ingest_stats()) == [(name, 0, 0, 0)]
+
+
+def test_large_events_are_not_malformed(spark):
+    """Beyond what VARIANT holds: long text, many digits, deep nesting."""
+    large = [
+        json.dumps({"event_id": "a", "properties": {"note": "x" * 25_000_000}}),
+        '{"event_id": "b", "properties": {"n": %s}}' % ("9" * 1200),
+        '{"event_id": "c", "properties": %s1%s}' % ('{"d":' * 1500, "}" * 1500),
+    ]
+    found = rows(parse(spark, [*large, "{bad"]).select("ingest_reason"))
+    assert found == [("json_beyond_limits",)] * 3 + [("malformed_json",)]
 
 
 def ingested(spark, folder, files, name="raw"):
@@ -137,12 +167,12 @@ def test_counts_and_repeated_ingest(spark, tmp_path):
     for _ in range(2):
         warehouse, stats = ingested(spark, tmp_path, {DAY_FILE: fixture_lines()})
         assert stats == {
-            "events_loaded": 19,
+            "events_loaded": 22,
             "lines_rejected": 2,
-            "accounts_loaded": 2,
-            "users_loaded": 3,
+            "accounts_loaded": 3,
+            "users_loaded": 4,
         }
-        assert warehouse.table("raw_events").count() == 19
+        assert warehouse.table("raw_events").count() == 22
         assert warehouse.table("raw_ingest_rejections").count() == 2
 
 
@@ -153,14 +183,14 @@ def test_new_version_of_a_file_replaces_all_of_it(spark, tmp_path):
     # Next delivery: file 1 without its bad line; file 2 is no longer there and is kept.
     warehouse, _ = ingested(spark, tmp_path, {"events_1.jsonl": [event_line("a", "x")]}, "second")
     assert sorted(rows(warehouse.ingest_stats())) == [
-        ("events_1.jsonl", 1, 0),
-        ("events_2.jsonl", 0, 1),
+        ("events_1.jsonl", 1, 0, 0),
+        ("events_2.jsonl", 0, 1, 0),
     ]
     # And file 1 has become empty.
     warehouse, _ = ingested(spark, tmp_path, {"events_1.jsonl": []}, "third")
     assert sorted(rows(warehouse.ingest_stats())) == [
-        ("events_1.jsonl", 0, 0),
-        ("events_2.jsonl", 0, 1),
+        ("events_1.jsonl", 0, 0, 0),
+        ("events_2.jsonl", 0, 1, 0),
     ]
     assert warehouse.table("raw_events").count() == 0
 
@@ -168,10 +198,29 @@ def test_new_version_of_a_file_replaces_all_of_it(spark, tmp_path):
 def test_metadata_types_and_line_ends(spark, tmp_path):
     write_raw(tmp_path, {})
     users = metadata.read_metadata(spark, f"{tmp_path}/users.csv", USERS, INGESTED_AT)
-    first = users.orderBy("user_id").first()
-    assert first["status"] == "active"
-    assert str(first["created_at"]) == "2026-03-01 00:00:00"
-    assert first["source_file"] == "users.csv"
+    last = users.orderBy("user_id").collect()[-1]
+    assert (last["user_id"], last["status"]) == ("tom", "active")
+    assert str(last["created_at"]) == "2024-11-07 00:00:00"
+    assert last["source_file"] == "users.csv"
+
+
+def test_quotes_and_line_breaks_in_metadata(spark, tmp_path):
+    path = tmp_path / "accounts.csv"
+    head = "account_id,account_name,plan,industry,seat_limit,created_at\n"
+    path.write_text(head + 'q,"A ""B"" C, D",p,i,1,2025-01-01T00:00:00Z\n')
+    read = metadata.read_metadata(spark, str(path), ACCOUNTS, INGESTED_AT)
+    assert rows(read.select("account_name")) == [('A "B" C, D',)]
+    path.write_text(head + 'q,"two\nlines",p,i,1,2025-01-01T00:00:00Z\n')
+    read = metadata.read_metadata(spark, str(path), ACCOUNTS, INGESTED_AT, line_breaks=True)
+    assert rows(read.select("account_name")) == [("two\nlines",)]
+
+
+def test_metadata_that_became_empty(spark, tmp_path):
+    first, stats = ingested(spark, tmp_path, {DAY_FILE: fixture_lines()})
+    assert stats["accounts_loaded"] == 3
+    raw_dir = write_raw(tmp_path / "later", {DAY_FILE: []}, accounts=ACCOUNT_ROWS[:1])
+    assert first.ingest(raw_dir, INGESTED_AT)["accounts_loaded"] == 0
+    assert first.table("raw_accounts").count() == 0 and first.table("raw_users").count() == 4
 
 
 def test_metadata_with_other_columns_fails(spark, tmp_path):
@@ -183,12 +232,12 @@ def test_metadata_with_other_columns_fails(spark, tmp_path):
 def test_repeated_metadata_key_stops_the_build(spark, tmp_path):
     accounts = [
         "account_id,account_name,plan,industry,seat_limit,created_at",
-        "acct_A,Acme,pro,tech,10,2026-01-01T00:00:00Z",
-        "acct_A,Again,pro,tech,10,2026-01-01T00:00:00Z",
+        "nord,Nordlicht,growth,logistics,40,2024-11-05T00:00:00Z",
+        "nord,Again,growth,logistics,40,2024-11-05T00:00:00Z",
     ]
     warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
     warehouse.ingest(write_raw(tmp_path / "raw", {DAY_FILE: fixture_lines()}, accounts))
-    with pytest.raises(ValueError, match="acct_A"):
+    with pytest.raises(ValueError, match="nord"):
         warehouse.build()
 
 

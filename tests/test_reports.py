@@ -20,7 +20,7 @@ CLEAN = (
     "prompt_tokens int, completion_tokens int, total_tokens int, latency_ms int, "
     "cost_usd double, accepted boolean, is_late boolean"
 )
-START = datetime(2026, 8, 1, 10)
+START = datetime(2025, 3, 1, 10)
 
 
 def clean(spark, *events):
@@ -30,9 +30,9 @@ def clean(spark, *events):
         row = {
             "event_id": f"e{number}",
             "event_ts": START,
-            "account_id": "acct_A",
-            "user_id": "user_1",
-            "session_id": "s1",
+            "account_id": "nord",
+            "user_id": "mia",
+            "session_id": "visit-1",
             "event_name": "session_started",
             **event,
         }
@@ -57,7 +57,7 @@ def interactions(events):
     return marts.fact_ai_interactions(events, marts.model_rates(marts.ai_calls(events)))
 
 
-ACCOUNTS = [("acct_A", "Acme", "pro"), ("acct_B", "Beta", "starter")]
+ACCOUNTS = [("nord", "Nordlicht", "pro"), ("sued", "Beta", "starter")]
 
 
 def accounts(spark):
@@ -90,12 +90,12 @@ def test_cost_estimates(spark):
 
 
 def test_session_owner_and_midnight(spark):
-    late = datetime(2026, 8, 1, 23, 59, 30)
+    late = datetime(2025, 3, 1, 23, 59, 30)
     events = clean(
         spark,
-        {"event_id": "b", "event_ts": late, "user_id": "user_2", "workflow": "w1"},
-        {"event_id": "a", "event_ts": late, "user_id": "user_1", "workflow": "w2"},
-        {"event_id": "0", "event_ts": late + timedelta(minutes=1), "user_id": "user_3"},
+        {"event_id": "b", "event_ts": late, "user_id": "tom", "workflow": "w1"},
+        {"event_id": "a", "event_ts": late, "user_id": "mia", "workflow": "w2"},
+        {"event_id": "0", "event_ts": late + timedelta(minutes=1), "user_id": "lea"},
         {"event_id": "x", "session_id": None},
     )
     session = marts.fact_sessions(events)
@@ -104,17 +104,17 @@ def test_session_owner_and_midnight(spark):
             "user_id", "session_date", "duration_seconds", "event_count", "workflow",
             "total_tokens", "cost_usd",
         )
-    ) == [("user_1", date(2026, 8, 1), 60, 3, "w2", None, None)]
+    ) == [("mia", date(2025, 3, 1), 60, 3, "w2", None, None)]
 
 
 def test_daily_rollup_counts_distinct_users_and_sessions(spark):
     events = clean(
         spark,
         {},
-        {"session_id": "s2"},
+        {"session_id": "visit-2"},
         {"session_id": None, "event_name": "user_invited"},
-        {"user_id": "user_2"},
-        {"account_id": "acct_B", "session_id": None},
+        {"user_id": "tom"},
+        {"account_id": "sued", "session_id": None},
         {"event_ts": START + timedelta(days=1)},
         call(cost_usd=0.1),
         call(cost_usd=0.2),
@@ -126,9 +126,9 @@ def test_daily_rollup_counts_distinct_users_and_sessions(spark):
         "ai_total_tokens", "ai_cost_usd", "uncosted_interactions", "ai_cost_usd_estimated",
     )
     assert rows(found) == [
-        ("Acme", 2, 2, 7, 3, 60, 0.3, 1, 0.45),
+        ("Nordlicht", 2, 2, 7, 3, 60, 0.3, 1, 0.45),
         ("Beta", 1, 0, 1, 0, None, 0.0, 0, 0.0),
-        ("Acme", 1, 1, 1, 0, None, 0.0, 0, 0.0),
+        ("Nordlicht", 1, 1, 1, 0, None, 0.0, 0, 0.0),
     ]
 
 
@@ -227,7 +227,7 @@ def test_high_error_users(spark):
     rates = [b / (g + b) for g, b in plan.values() if g + b >= 10]
     cutoff = mean(rates) + 2 * pstdev(rates)
     assert rows(reports.high_error_users(events)) == [
-        ("wild", "acct_A", 10, 8, 80.0, round(100 * cutoff, 2))
+        ("wild", "nord", 10, 8, 80.0, round(100 * cutoff, 2))
     ]
 
 
@@ -244,11 +244,11 @@ def test_growth_uses_the_boundary_days_of_all_accounts(spark):
         {"event_ts": START + 2 * day},
         {"event_ts": START + 2 * day},
         {"event_ts": START + 2 * day},
-        {"event_ts": START + day, "account_id": "acct_B"},
-        {"event_ts": START + 2 * day, "account_id": "acct_B"},
+        {"event_ts": START + day, "account_id": "sued"},
+        {"event_ts": START + 2 * day, "account_id": "sued"},
     )
     daily = marts.daily_account_metrics(events, interactions(events), accounts(spark))
-    assert rows(reports.usage_growth(daily)) == [("acct_A", "Acme", 1, 3, 4, 2, 200.0)]
+    assert rows(reports.usage_growth(daily)) == [("nord", "Nordlicht", 1, 3, 4, 2, 200.0)]
 
 
 def test_masked_email(spark):

@@ -1,14 +1,20 @@
 """Scratch folders and settings."""
 
+import pytest
+
 from eventmart import session
 
 
 class FakeSession:
     """Only what ``scratch_dir`` asks of a session."""
 
-    def __init__(self, shared):
+    def __init__(self, shared, checkpoints=None):
         self.shared = shared
-        self.conf = self
+        self.checkpoints = checkpoints
+        self.conf = self.sparkContext = self
+
+    def getCheckpointDir(self):
+        return self.checkpoints
 
     def get(self, key, default):
         assert key == "spark.checkpoint.dir"
@@ -22,8 +28,9 @@ def test_scratch_lies_in_the_shared_folder():
 
 
 def test_scratch_without_a_shared_folder():
-    first, second = (session.scratch_dir(FakeSession(None), "t") for _ in range(2))
-    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    assert session.scratch_dir(FakeSession(None, "hdfs://c/d"), "t").startswith("hdfs://c/d/t-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_dir(FakeSession(None), "t")
 
 
 def test_settings_reach_a_given_session(spark):
