@@ -34,7 +34,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the least id of each group of near duplicates."""
-    return jaccard.one_of_each(docs.select(*COLUMNS))
+    return jaccard.one_of_each(docs, keep=tuple(COLUMNS[2:])).select(*COLUMNS)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import prepare, slices, text_or_empty
+from eventmart.llm.common import pick, prepare, slices, text_or_empty
 
 LEAF = 8  # bits of a rank that index into one word of the lower bitmap level
 MASK = (1 << LEAF) - 1
@@ -222,6 +222,6 @@ def encode_decode(documents: DataFrame, ranks_path: str, pattern: str) -> DataFr
                 ["doc_id", "ids", "decoded"],
             )
 
-    rows = documents.select("doc_id", text_or_empty().alias("text"))
+    rows = pick(documents, "doc_id", "text").select("doc_id", text_or_empty().alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {id_type}, ids binary, decoded binary")

@@ -30,6 +30,19 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
+def pick(df: DataFrame, *names: str) -> DataFrame:
+    """These columns, spelled exactly so, whatever other columns there are.
+
+    Spark finds names whatever their case, so a table with ``text`` and ``TEXT`` needs its
+    columns taken by place.
+    """
+    lower = [column.lower() for column in df.columns]
+    if all(lower.count(name.lower()) == 1 for name in names):
+        return df.select(*names)
+    numbered = df.toDF(*(f"c{i}" for i in range(len(lower))))
+    return numbered.select(*(F.col(f"c{df.columns.index(name)}").alias(name) for name in names))
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
@@ -40,7 +53,7 @@ def with_variant(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     ``variant`` tells apart rows of one ``doc_id`` that hold different texts: it is the
     text's hash for such ids (null ids included) and 0 for all others.
     """
-    rows = documents.select(
+    rows = pick(documents, "doc_id", "text", *keep).select(
         F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), *keep
     )
     hashed = rows.select("doc_id", F.xxhash64("text").alias("h"))

@@ -10,7 +10,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import Spans, Words, groups_of, mix, prepare, slices, string_parts, text_or_empty
+from eventmart.llm.common import (
+    Spans,
+    Words,
+    groups_of,
+    mix,
+    pick,
+    prepare,
+    slices,
+    string_parts,
+    text_or_empty,
+)
 from eventmart.llm.components import components
 from eventmart.session import materialize
 
@@ -98,9 +108,8 @@ def add_keys(documents: DataFrame) -> DataFrame:
                 [*columns, pa.array(keys, pa.binary())], [*batch.schema.names[:-1], "_k"]
             )
 
-    names = [name for name in documents.columns if name != "_k"]
-    rows = documents.select(*names, text_or_empty().alias("_text"))
-    fields = [f"`{name}` {rows.schema[name].dataType.simpleString()}" for name in names]
+    rows = documents.select("*", text_or_empty().alias("_text"))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
     return rows.mapInArrow(run, ", ".join([*fields, "_k binary"]))
 
 
@@ -234,7 +243,7 @@ class JaccardJoin:
         prepare(documents.sparkSession)
         self.n, self.percent = n, percent
         self.bands = band_count(percent / 100)
-        self.rows = documents.select(
+        self.rows = pick(documents, "doc_id", "text").select(
             F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")
         )
         signed = materialize(
@@ -352,9 +361,13 @@ class JaccardJoin:
         )
 
 
-def one_of_each(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without near duplicates: of each connected group the document of the
-    least id stays (one row, if it is repeated); texts without words all stay."""
+def one_of_each(
+    documents: DataFrame, n: int = 5, percent: int = 80, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``doc_id``, ``text`` and the columns in ``keep``, without near duplicates: of each
+    connected group the document of the least id stays (one row, if it is repeated); texts
+    without words all stay."""
+    documents = pick(documents, "doc_id", "text", *keep)
     heads = JaccardJoin(documents, n, percent).texts().filter("k = head")
     keyed = add_keys(documents)
     single = keyed.filter("_k IS NOT NULL").join(

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import join_rows, prepare, slices, with_variant
+from eventmart.llm.common import join_rows, pick, prepare, slices, text_or_empty, with_variant
 from eventmart.session import materialize, scratch_dir
 
 BLANK = b" \t\n\x0b\x0c\r"
@@ -227,7 +227,7 @@ class LineIndex:
         self.state = spark.createDataFrame([], STATE)
 
     def _change(self, documents: DataFrame, sign: int) -> None:
-        rows = documents.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+        rows = pick(documents, "text").select(text_or_empty().alias("text"))
         counted = rows.mapInArrow(_keys(self.min_chars), "k1 long, k2 long, docs long")
         change = (
             counted.groupBy("k1", "k2")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from eventmart.llm.bpe import LONGEST_REMEMBERED, PieceIds
-from eventmart.llm.common import mix, prepare, slices, text_or_empty
+from eventmart.llm.common import mix, pick, prepare, slices, text_or_empty
 
 DOCS_PER_GROUP = 4096
 # How the tokenizer's pre-tokenizer cuts a text (fixed value).
@@ -202,7 +202,7 @@ def pack(
     """
     prepare(documents.sparkSession)
     groups = 1 + documents.count() // DOCS_PER_GROUP
-    rows = documents.select("doc_id", text_or_empty().alias("text"))
+    rows = pick(documents, "doc_id", "text").select("doc_id", text_or_empty().alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     pieces = rows.mapInArrow(
         _cut(tokenizer_path, end_id, capacity, groups),

@@ -13,6 +13,7 @@ from eventmart.llm.common import (
     Words,
     byte_symbols,
     mix,
+    pick,
     prepare,
     repeats,
     slices,
@@ -144,7 +145,9 @@ def judge(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
                 [*kept_columns, *names, "base_failed", "kept"],
             )
 
-    rows = documents.select("doc_id", *keep, text_or_empty().alias("_text"))
+    rows = pick(documents, *dict.fromkeys(["doc_id", "text", *keep])).select(
+        "doc_id", *keep, text_or_empty().alias("_text")
+    )
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
     schema = ", ".join([*fields, *(f"{n} long" for n in names), "base_failed boolean, kept boolean"])
     return rows.mapInArrow(run, schema)

@@ -7,7 +7,7 @@ import heapq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import text_or_empty
+from eventmart.llm.common import pick, text_or_empty
 from eventmart.session import materialize
 
 BUNDLES_PER_SHARD = 1024
@@ -40,7 +40,7 @@ def assign(documents: DataFrame, shards: int = 24, overhead: int = 8) -> DataFra
     spark = documents.sparkSession
     text = text_or_empty()
     rows = materialize(
-        documents.select(
+        pick(documents, "doc_id", "text").select(
             "doc_id",
             (F.octet_length(text).cast("long") + overhead).alias("size"),
             F.crc32(text).alias("text_crc32"),

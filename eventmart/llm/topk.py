@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmart.llm.common import prepare
+from eventmart.llm.common import pick, prepare
 
 BLOCK = 4096  # rows of a candidate block and of a query block
 FIRST_DEPTH = 64
@@ -106,7 +106,7 @@ def search(
         | (F.abs(F.lit(scale) * x.cast("double")) >= 2**31),
     )
     rows = (
-        embeddings.select("vec_id", "embedding")
+        pick(embeddings, "vec_id", "embedding")
         .filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
         .filter((F.size("embedding") > 0) & fit)
         .select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("vector"))

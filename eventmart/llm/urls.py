@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventmart.llm.common import pick
+
 RULE_COLUMNS = "host string, path string, verdict string"
 PREFIX = 8  # hex digits of the digest that the join compares
 
@@ -46,7 +48,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     has characters. Rules are broadcast only if Spark finds them small; otherwise the join
     shuffles, and the expressions of a frequent host are split over tasks at run time.
     """
-    rows = pages.select("page_id", F.col("url").cast("string").alias("url"))
+    rows = pick(pages, "page_id", "url").select("page_id", F.col("url").cast("string").alias("url"))
     host, path = url_parts(F.coalesce(F.col("url"), F.lit("")))
     rows = rows.select("page_id", "url", host.alias("host"), path.alias("path"))
     rules = rules.select(
