@@ -70,10 +70,10 @@ PARTS = {
         FROM t""",
     # The feed: every event, exact copies (1) and early invalid copies (2).
     "f": """
-        SELECT *, 0 AS copy, id + 1 AS line_number FROM p
-        UNION ALL SELECT *, 1, id + 1000001 FROM p WHERE id % 31 = 0
+        SELECT *, 0 AS copy, 4 * id + 1 AS line_number FROM p
+        UNION ALL SELECT *, 1, 4 * id + 2 FROM p WHERE id % 31 = 0
         UNION ALL SELECT * REPLACE (NULL AS account_id, TIMESTAMP '2023-12-31' AS received_ts),
-                         2, id + 2000001 FROM p WHERE id % 293 = 0""",
+                         2, 4 * id + 3 FROM p WHERE id % 293 = 0""",
     # The feed as JSON lines.
     "j": """
         SELECT *, '{' || array_to_string(list_filter([
@@ -108,7 +108,7 @@ PARTS = {
               FROM f)""",
     # Lines that are no event object.
     "bad": """
-        SELECT id, source_file, id + 5000001 AS line_number,
+        SELECT id, source_file, 4 * id + 4 AS line_number,
                CASE WHEN id % 307 = 0 THEN '{not json ' || (id + 1)
                     WHEN id % 311 = 0 THEN '[' || id || ']'
                     WHEN id % 313 = 0 THEN '"' || id || '"'

@@ -54,9 +54,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """A table of fewer splits than cores, spread over all cores; a larger one as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    """A table spread over all cores; the given ones are single files."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
 
 
 def _event_name() -> Column:
@@ -169,7 +168,8 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("events_"), F.date_format(moment, "yyyy-MM-dd"), F.lit(".jsonl")).alias(
             "source_file"
         ),
-        (i + 1 + copy * 1000000).alias("line_number"),
+        # Four lines an event: itself, its two copies, and a line that is no event.
+        (4 * i + 1 + copy).alias("line_number"),
     )
     return rows.withColumn("raw_line", _json_line())
 
@@ -248,7 +248,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.col("line_number")
     values = F.array(
         F.struct(F.col("raw_line").alias("value"), line.alias("line_number")),
-        F.struct(bad.alias("value"), (line + 5000000).alias("line_number")),
+        F.struct(bad.alias("value"), (line + 3).alias("line_number")),
     )
     return (
         rows.select("id", "source_file", F.inline(values))
