@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from eventmart.functions.scalar import utc_literal
 from eventmart.functions.variant import JSON_ROOT, has_wide_misfit, with_json
-from eventmart.schemas import BRONZE_COLUMNS, EVENT_KEYS
+from eventmart.schemas import BRONZE_COLUMNS, EVENT_KEYS, PROPERTIES
 from eventmart.session import materialize
 
 EVENT_FILES = "events_*.jsonl"
@@ -114,11 +114,43 @@ def skip_blank(lines: DataFrame) -> DataFrame:
     return lines.filter(~is_blank(F.col("value")))
 
 
-def ingest_reason(value: Column, document: Column) -> Column:
+def near_limit(value: Column) -> Column:
+    """Whether a line is so large, deep or rich in digits that VARIANT may not hold it."""
+    brackets = F.length(value) - F.length(F.translate(value, "[{", ""))
+    return (
+        (F.octet_length(value) > NEAR_LIMIT_BYTES)
+        | (brackets > NEAR_LIMIT_DEPTH)
+        | value.rlike(r"\d{39}")
+    )
+
+
+def oversized_event(value: Column) -> Column:
+    """The kept members of an event object beyond the limits of VARIANT; else null.
+
+    The line is read by a schema of the promoted keys and the contract's properties, so
+    that whatever else is in it is only passed over. As in ``with_json``, it is the first
+    of two elements whose second must come out intact.
+    """
+    keys = ", ".join(f"{key}: string" for key in EVENT_KEYS)
+    members = ", ".join(f"{key}: variant" for key, _, _ in PROPERTIES)
+    mark = F.xxhash64(value).cast("string")
+    pair = F.from_json(
+        F.concat(F.lit("["), value, F.lit(',{"_mark":"'), mark, F.lit('"}]')),
+        f"array<struct<{keys}, properties: struct<{members}>, _mark: string>>",
+        {"maxNestingDepth": "2147483647", "maxNumLen": "2147483647", "maxStringLen": "2147483647"},
+    )
+    intact = (F.size(pair) == 2) & (F.get(pair, F.lit(1))["_mark"] == mark)
+    event = F.get(pair, F.lit(0))
+    kept = [event[key].alias(key) for key in EVENT_KEYS]
+    properties = F.to_variant_object(event["properties"]).alias("properties")
+    return F.when(intact & event.isNotNull(), F.struct(*kept, properties))
+
+
+def ingest_reason(value: Column, document: Column, oversized: Column) -> Column:
     """Why a line is no event object; null for a JSON object.
 
-    A line that could not be read but may be valid JSON beyond the limits of VARIANT has a
-    reason of its own.
+    A line near the limits of VARIANT that could not be read the other way either may still
+    be valid JSON, and has a reason of its own.
     Once a line is known to be valid JSON its first character tells the kind of value.
     """
     text = F.btrim(value, F.lit(" \t\r\n"))
@@ -131,14 +163,8 @@ def ingest_reason(value: Column, document: Column) -> Column:
         .when(text.rlike(r"^-?\d+$"), "int")
         .otherwise("float")
     )
-    brackets = F.length(value) - F.length(F.translate(value, "[{", ""))
-    near_limit = (
-        (F.octet_length(value) > NEAR_LIMIT_BYTES)
-        | (brackets > NEAR_LIMIT_DEPTH)
-        | value.rlike(r"\d{39}")
-    )
-    unread = F.when(near_limit, F.lit(BEYOND_LIMITS)).otherwise(F.lit("malformed_json"))
-    return F.when(document.isNull(), unread).when(
+    unread = F.when(near_limit(value), F.lit(BEYOND_LIMITS)).otherwise(F.lit("malformed_json"))
+    return F.when(document.isNull() & oversized.isNull(), unread).when(
         first != "{", F.concat(F.lit("not_a_json_object: got "), kind)
     )
 
@@ -159,12 +185,16 @@ def promoted_columns(event: str) -> list[Column]:
 def parse_lines(lines: DataFrame, ingested_at: datetime) -> DataFrame:
     """Bronze rows: one per non-blank line, parsed once, with the reason it was refused."""
     parsed = with_json(skip_blank(lines), "value", "document")
-    parsed = parsed.withColumn("event", F.try_variant_get("document", JSON_ROOT, EVENT_TYPE))
+    value = F.col("value")
+    unread = F.col("document").isNull() & near_limit(value)
+    parsed = parsed.withColumn("oversized", F.when(unread, oversized_event(value)))
+    from_variant = F.try_variant_get("document", JSON_ROOT, EVENT_TYPE)
+    parsed = parsed.withColumn("event", F.coalesce(from_variant, F.col("oversized")))
     return parsed.select(
         *promoted_columns("event"),
         has_wide_misfit(F.col("value")).alias("has_wide_misfit"),
         F.col("value").alias("raw_line"),
-        ingest_reason(F.col("value"), F.col("document")).alias("ingest_reason"),
+        ingest_reason(value, F.col("document"), F.col("oversized")).alias("ingest_reason"),
         "source_file",
         F.col("line_number").cast("long").alias("line_number"),
         utc_literal(ingested_at).alias("ingested_at"),

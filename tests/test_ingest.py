@@ -149,12 +149,21 @@ def test_file_names_are_spelled_as_in_the_file_system(spark, tmp_path, name):
 def test_large_events_are_not_malformed(spark):
     """Beyond what VARIANT holds: long text, many digits, deep nesting."""
     large = [
-        json.dumps({"event_id": "a", "properties": {"note": "x" * 25_000_000}}),
-        '{"event_id": "b", "properties": {"n": %s}}' % ("9" * 1200),
+        json.dumps({"event_id": "a", "properties": {"note": "x" * 25_000_000, "latency_ms": 5}}),
+        '{"event_id": "b", "properties": {"n": %s, "model": "m"}}' % ("9" * 1200),
         '{"event_id": "c", "properties": %s1%s}' % ('{"d":' * 1500, "}" * 1500),
     ]
-    found = rows(parse(spark, [*large, "{bad"]).select("ingest_reason"))
-    assert found == [("json_beyond_limits",)] * 3 + [("malformed_json",)]
+    unread = ['{"event_id": "d", "n": %s} x' % ("9" * 1200), "[" * 1500, "{bad"]
+    properties = F.col("properties")
+    found = parse(spark, [*large, *unread]).select(
+        "ingest_reason", "event_id", F.try_variant_get(properties, "$.latency_ms", "int"),
+        F.try_variant_get(properties, "$.model", "string"),
+    )
+    assert rows(found) == [
+        (None, "a", 5, None), (None, "b", None, "m"), (None, "c", None, None),
+        ("json_beyond_limits", None, None, None), ("json_beyond_limits", None, None, None),
+        ("malformed_json", None, None, None),
+    ]
 
 
 def ingested(spark, folder, files, name="raw"):
