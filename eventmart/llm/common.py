@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventmart.session import materialize
+
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20
 
@@ -51,7 +53,8 @@ def with_variant(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id``, ``variant``, ``text`` (null: empty) and the columns in ``keep``.
 
     ``variant`` tells apart rows of one ``doc_id`` that hold different texts: it is the
-    text's hash for such ids (null ids included) and 0 for all others.
+    text's hash for such ids (null ids included) and 0 for all others. The table of such
+    ids is written first: while it is small, and mostly it is empty, no text is shuffled.
     """
     rows = pick(documents, "doc_id", "text", *keep).select(
         F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), *keep
@@ -63,6 +66,7 @@ def with_variant(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         .filter("low <> high")
         .select(F.col("doc_id").alias("mixed_id"), F.lit(True).alias("mixed"))
     )
+    mixed = materialize(mixed, "mixed-ids")
     return rows.join(mixed, rows["doc_id"].eqNullSafe(mixed["mixed_id"]), "left").select(
         "doc_id",
         F.when(F.col("mixed"), F.xxhash64("text")).otherwise(F.lit(0)).alias("variant"),

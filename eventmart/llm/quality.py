@@ -23,10 +23,11 @@ from eventmart.llm.common import (
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 3
-# Characters inside n-grams that occur again in the text, and inside repeated lines: the
-# largest percentage of the characters in words that a kept text may have.
-MAX_GRAM_PERCENT = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
-MAX_LINE_PERCENT = 20
+# Characters inside n-grams that occur again in the text (all occurrences), and inside
+# repeated lines (without the first): the largest percentage of the characters in words
+# that a kept text may have. A short clean text with its heading line twice stays below.
+MAX_GRAM_PERCENT = {5: 30, 6: 30, 7: 30, 8: 30, 9: 30, 10: 30}
+MAX_LINE_PERCENT = 30
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_dup_line_chars")
 
 _IS_SYMBOL = np.zeros(256, bool)

@@ -63,10 +63,10 @@ def judged(text):
             seen.add(line)
     repeated = sum(again(words, 3))
     failed = len(words) < 50 or 100 * repeated > 50 * len(words)
-    kept = not failed and 100 * dup_chars <= 20 * chars
-    for n, percent in {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}.items():
+    kept = not failed and 100 * dup_chars <= 30 * chars
+    for n in range(5, 11):
         share = sum(len(w) for w, x in zip(words, again(words, n)) if x)
-        kept = kept and 100 * share <= percent * chars
+        kept = kept and 100 * share <= 30 * chars
     return len(words), chars, symbols, dup_lines, repeated, failed, kept
 
 
