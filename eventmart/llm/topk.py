@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventmart.llm.common import pick, prepare
 
-BLOCK = 4096  # rows of a candidate block and of a query block
+BLOCK, QUERY_BLOCK = 4096, 1024  # rows of a candidate block and of a query block
 FIRST_DEPTH = 64
 EXACT_IN_DOUBLE = 2**53
 
@@ -116,7 +116,7 @@ def search(
     )
     total = embeddings.count()
     row_blocks = 1 + total // BLOCK
-    query_blocks = 1 + total // every // BLOCK
+    query_blocks = 1 + total // every // QUERY_BLOCK
     spread = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     candidates = rows.withColumn("row_block", spread(row_blocks)).withColumn(
         "query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))

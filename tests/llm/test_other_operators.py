@@ -115,6 +115,7 @@ def top(vectors, every, k, scale=256):
 @pytest.mark.parametrize("block", [4096, 7])
 def test_top_k(spark, monkeypatch, block):
     monkeypatch.setattr(topk, "BLOCK", block)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", block)
     monkeypatch.setattr(topk, "FIRST_DEPTH", 2)
     random.seed(6)
     draw = lambda n: [random.uniform(-1, 1) for _ in range(n)]
