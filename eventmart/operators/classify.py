@@ -179,14 +179,18 @@ def classify_events(
 
 
 def stg_events(classified: DataFrame) -> DataFrame:
-    """The clean event stream: one row per valid event, dated by when it happened."""
+    """The clean event stream: one row per valid event, dated by when it happened.
+
+    ``event_date`` is taken as it is where the input has it already.
+    """
+    dated = "event_date" in classified.columns
     lateness = seconds_between(F.col("event_ts"), F.col("received_ts"))
     properties = [column for _, column, _ in PROPERTIES]
     after_tokens = properties.index("completion_tokens") + 1
     return classified.filter(F.col("rejection_reason").isNull()).select(
         "event_id",
         "event_ts",
-        F.to_date("event_ts").alias("event_date"),
+        "event_date" if dated else F.to_date("event_ts").alias("event_date"),
         "received_ts",
         lateness.alias("lateness_seconds"),
         is_late(lateness).alias("is_late"),

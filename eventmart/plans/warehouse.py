@@ -141,9 +141,10 @@ class Warehouse:
                 self.path("staging/repeated_events"),
             )
             outcome = F.when(F.col("rejection_reason").isNull(), CLEAN).otherwise(REJECTED)
-            self._write_partitioned(
-                classified.withColumn("outcome", outcome), "outcome", "staging/events_classified"
+            dated = classified.withColumns(
+                {"outcome": outcome, "event_date": F.to_date("event_ts")}
             )
+            self._write_partitioned(dated, "staging/events_classified", "outcome", "event_date")
             events = self.table("stg_events")
             beside.append(
                 pool.submit(self._write_by_day, marts.fact_sessions(events), "fact_sessions")
@@ -184,16 +185,17 @@ class Warehouse:
         df.write.mode("overwrite").parquet(self.path(name))
 
     def _write_by_day(self, df: DataFrame, name: str) -> None:
-        """One directory per day; the rebalance gives a large day several files."""
-        day, _ = PARTITIONED[name]
-        self._write_partitioned(df.hint("rebalance", day), day, f"marts/{name}")
+        """One directory per day."""
+        self._write_partitioned(df, f"marts/{name}", PARTITIONED[name][0])
 
-    def _write_partitioned(self, df: DataFrame, column: str, name: str) -> None:
-        """All of the table is replaced, whatever the session says of partitions."""
+    def _write_partitioned(self, df: DataFrame, name: str, *columns: str) -> None:
+        """The rebalance gives a large partition several files, and a small one just one. All
+        of the table is replaced, whatever the session says of partitions."""
         (
-            df.write.mode("overwrite")
+            df.hint("rebalance", *columns)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
-            .partitionBy(column)
+            .partitionBy(*columns)
             .parquet(self.path(name))
         )
 
@@ -204,7 +206,11 @@ class Warehouse:
 
     def classified(self, *outcomes: str) -> DataFrame:
         """The classified events of the given outcomes; only their folders are read."""
-        stored = f"{CLASSIFIED}, outcome string"
+        return self._classified(*outcomes).drop("event_date")
+
+    def _classified(self, *outcomes: str) -> DataFrame:
+        """With ``event_date``, the folder below the outcome; a filter on it prunes folders."""
+        stored = f"{CLASSIFIED}, outcome string, event_date date"
         rows = self.spark.read.schema(stored).parquet(self.path("staging/events_classified"))
         return rows.filter(F.col("outcome").isin(*outcomes)).drop("outcome")
 
@@ -215,7 +221,7 @@ class Warehouse:
         if name == "int_events_classified":
             return self.classified(CLEAN, REJECTED)
         if name == "stg_events":
-            return classify.stg_events(self.classified(CLEAN))
+            return classify.stg_events(self._classified(CLEAN))
         if name == "rejected_events":
             return classify.rejected_events(
                 self._read("staging/ingest_rejections"), self.classified(REJECTED)

@@ -174,6 +174,13 @@ def test_all_checks_pass(warehouse):
     assert [check for check in checks if check[3]] == []
 
 
+def test_a_date_filter_reads_its_folders_only(warehouse):
+    tuesday = warehouse.table("stg_events").filter(F.col("event_date") == TUESDAY)
+    assert sorted(r[0] for r in rows(tuesday.select("event_id"))) == ["n21", "n22"]
+    plan = tuesday._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan.split("PartitionFilters: ")[1].split("]")[0]
+
+
 def test_views(warehouse, spark):
     warehouse.create_views()
     assert spark.sql("SELECT count(*) FROM stg_events").first()[0] == 13
