@@ -10,7 +10,6 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from eventmart.llm.common import pick, prepare, slices, text_or_empty
 
@@ -138,9 +137,12 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.parts = PieceIds(pattern, lambda piece: np.array(self.merge(piece.encode()), "<u4").tobytes())
+        self.parts = PieceIds(pattern, self._piece_ids)
         self.encode = self.parts.encode
 
+    def _piece_ids(self, piece: str) -> bytes:
+        return np.array(self.merge(piece.encode()), "<u4").tobytes()
+
     def merge(self, piece: bytes) -> list[int]:
         """Merge the adjacent pair of lowest rank, the leftmost first, until none is left.
 

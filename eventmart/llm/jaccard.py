@@ -67,7 +67,8 @@ def band_hashes(grams: np.ndarray, first: np.ndarray, bands: int, rows: int) ->
     for band in range(bands):
         key = np.full(len(first) - 1, band + 1, np.uint64)
         for i in range(band * rows, (band + 1) * rows):
-            key = mix(key * np.uint64(31) + np.minimum.reduceat((grams ^ shift[i]) * factor[i], first[:-1]))
+            least = np.minimum.reduceat((grams ^ shift[i]) * factor[i], first[:-1])
+            key = mix(key * np.uint64(31) + least)
         found[:, band] = key
     return found
 
@@ -133,7 +134,8 @@ def _shared(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """How many n-grams each pair has in common."""
     members, inverse = np.unique(np.append(a, b), return_inverse=True)
     if len(a) < 2 * len(members):
-        return np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(a, b)])
+        pairs = ((sets[x], sets[y]) for x, y in zip(a, b))
+        return np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in pairs])
     # Many pairs of few texts: products of the incidence matrix, a block of n-grams at a
     # time. N-grams of one text alone are in no pair.
     doc = np.repeat(np.arange(len(members)), [len(sets[m]) for m in members])
@@ -341,7 +343,9 @@ class JaccardJoin:
             F.min(F.struct(F.col("first_id").isNull(), "first_id", "k")).alias("least")
         )
         return texts.join(
-            groups.select("root", F.col("least.first_id").alias("class_id"), F.col("least.k").alias("head")),
+            groups.select(
+                "root", F.col("least.first_id").alias("class_id"), F.col("least.k").alias("head")
+            ),
             "root",
         )
 
