@@ -13,14 +13,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from eventmart.llm.bpe import LONGEST_REMEMBERED, PieceIds
 from eventmart.llm.common import mix, pick, prepare, slices, text_or_empty
 
 DOCS_PER_GROUP = 4096
-# How the tokenizer's pre-tokenizer cuts a text (fixed value).
-PATTERN = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-)
+REMEMBERED = 400_000  # parts; a worker keeps the ids of twice as many at most
+LONGEST_REMEMBERED = 64
 GROUP_BITS = 24  # bins of a group are numbered below 2**24
 
 
@@ -70,15 +67,21 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
 class CachedTokenizer:
     """A byte-level tokenizer of the ``tokenizers`` library that remembers parts of texts.
 
-    New pieces of a batch are encoded as one text, a line each: a line break stays a token
-    of its own between pieces that hold none. A text that holds the string of an added
-    token is encoded as a whole.
+    A space before a character that is not white space always starts a pre-token, so a
+    text is the sum of its parts between spaces. The new parts of a batch are encoded as
+    one text with a line each: a single line break between other characters is a token of
+    its own, so the ids of the parts lie between line breaks. Other parts, and texts where
+    a space stands before white space or that hold the string of an added token, are
+    encoded on their own.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.parts = PieceIds(PATTERN, self._whole)
+        # By part with the space before it, if any; and what was known before ``known`` grew full.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}
         (self.line_break,) = self._ids("\n")
 
     def _ids(self, text: str) -> list[int]:
@@ -87,44 +90,58 @@ class CachedTokenizer:
     def _whole(self, text: str) -> bytes:
         return np.array(self._ids(text), "<u4").tobytes()
 
-    def _learn(self, texts: list[list[str]]) -> None:
-        """Remember all parts of texts; their unknown pieces are encoded in one go."""
-        parts = self.parts
-        pieces, older = parts.pieces, parts.older_pieces
-        split: dict[str, list[str]] = {}
-        unknown: set[str] = set()
-        for part in set().union(*texts).difference(parts):
-            if not part or part[0].isspace():
-                continue
-            if part in parts.older:
-                parts.remember_part(part, parts.older[part])
-                continue
-            split[part] = found = parts.split(" " + part)
-            for piece in found:
-                if piece not in pieces and piece not in older:
-                    unknown.add(piece)
-        lines = [x for x in unknown if len(x) <= LONGEST_REMEMBERED and not x.isspace()]
-        if lines:
-            ids = np.array(self._ids("\n".join(lines)), "<u4")
-            ends = np.flatnonzero(ids == self.line_break)
-            if len(ends) != len(lines) - 1:
-                raise ValueError("a line break is not a token of its own in this vocabulary")
-            blob = ids.tobytes()
-            starts = [0, *(4 * (ends + 1)).tolist()]
-            stops = [*(4 * ends).tolist(), len(blob)]
-            for piece, a, b in zip(lines, starts, stops):
-                parts.remember_piece(piece, blob[a:b])
-        for part, found in split.items():
-            parts.remember_part(part, b"".join(map(parts.piece, found)))
+    def _encoded(self, lines: list[str]) -> list[bytes]:
+        """The ids of strings, in one go as far as they can share a text."""
+        breaks = [_line_breaks(line) for line in lines]
+        joined = [line for line, n in zip(lines, breaks) if n is not None]
+        ids = np.array(self._ids("\n".join(joined)), "<u4")
+        ends = np.append(np.flatnonzero(ids == self.line_break), len(ids))
+        last = np.cumsum([n + 1 for n in breaks if n is not None], dtype=np.int64) - 1
+        if joined and last[-1] != len(ends) - 1:
+            raise ValueError("a line break is not a token of its own in this vocabulary")
+        blob, stops = ids.tobytes(), (4 * ends[last]).tolist()
+        parts = iter([blob[a:b] for a, b in zip([0, *(x + 4 for x in stops)], stops)])
+        return [self._whole(x) if n is None else next(parts) for x, n in zip(lines, breaks)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         special = {i for i, text in enumerate(texts) if any(x in text for x in self.added)}
-        cut = [[] if i in special else text.split(" ") for i, text in enumerate(texts)]
-        self._learn(cut)
-        return [
-            self._whole(text) if i in special else self.parts.encode_parts(cut[i])
-            for i, text in enumerate(texts)
-        ]
+        cut = [[""] if i in special else text.split(" ") for i, text in enumerate(texts)]
+        if len(self.known) >= REMEMBERED:
+            self.known, self.older = {}, self.known
+        if len(self.heads) >= REMEMBERED:
+            self.heads = {}
+        known, older, heads = self.known, self.older, self.heads
+        new = set().union(*(parts[1:] for parts in cut)).difference(known)
+        again = [part for part in new if part in older]
+        known.update((part, older[part]) for part in again)
+        new.difference_update(again)
+        new = [part for part in new if part and not part[0].isspace()]
+        known.update(zip(new, self._encoded([" " + part for part in new])))
+        begins = list({parts[0] for parts in cut}.difference(heads))
+        heads.update(zip(begins, self._encoded(begins)))
+        found = []
+        for i, (text, parts) in enumerate(zip(texts, cut)):
+            try:
+                if i in special:
+                    found.append(self._whole(text))
+                else:
+                    found.append(heads[parts[0]] + b"".join(map(known.__getitem__, parts[1:])))
+            except KeyError:  # a space before white space or the end
+                found.append(self._whole(text))
+        for part in [*new, *begins]:
+            if len(part) > LONGEST_REMEMBERED:
+                known.pop(part, None)
+                heads.pop(part, None)
+        return found
+
+
+def _line_breaks(line: str) -> int | None:
+    """How many line breaks a string holds, if they are all its white space but a space
+    before it, and each lies between other characters; else None."""
+    if len(line.split()) == 1 and not line[-1].isspace() and not line[1:2].isspace():
+        return 0 if line[0] == " " or not line[0].isspace() else None
+    parts = line.removeprefix(" ").split("\n")
+    return len(parts) - 1 if all(part.split() == [part] for part in parts) else None
 
 
 @cache
