@@ -1,7 +1,25 @@
-"""Texts with the odd cases that every operator on documents must take."""
+"""Texts with the odd cases that every operator on documents must take, and a fixture that
+turns texts into a table. (A conftest module here would hide that of the other tests.)"""
 
 import random
 
+import pytest
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """Turns a list of texts, or of (doc_id, text), into a documents table."""
+
+    def make(rows, partitions=3):
+        rows = [row if isinstance(row, tuple) else (i, row) for i, row in enumerate(rows)]
+        rows = [(i, text, "en", None, len(text or "")) for i, text in rows]
+        return spark.createDataFrame(rows, DOCUMENTS).repartition(partitions)
+
+    return make
+
+
 DRAW = random.Random(20)
 WORDS = [f"w{i}é" if i % 7 == 0 else f"w{i}" for i in range(600)]
 

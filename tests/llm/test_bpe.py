@@ -5,6 +5,7 @@ import random
 import public_tokenizers
 import pytest
 import tiktoken
+from cases import documents  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

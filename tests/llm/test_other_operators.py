@@ -7,7 +7,7 @@ from zlib import crc32
 
 import numpy as np
 import pytest
-from cases import rows
+from cases import documents, rows  # noqa: F401
 
 from eventmart.llm import shards, topk, urls
 

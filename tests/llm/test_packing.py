@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+from cases import documents  # noqa: F401
 from tokenizers import Tokenizer
 
 from eventmart.llm.packing import Tournament, first_fit_decreasing, pack

@@ -1,6 +1,6 @@
 """The pipeline against its stages' brute-force versions, and the registered queries."""
 
-from cases import rows
+from cases import documents, rows  # noqa: F401
 from test_packing import check
 from test_text_operators import cleaned, groups, judged, least
 

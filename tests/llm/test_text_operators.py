@@ -5,7 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from cases import rows
+from cases import documents, rows  # noqa: F401
 
 from eventmart.llm import jaccard, lines, quality, suffixes, factors, windows
 
