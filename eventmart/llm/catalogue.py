@@ -14,6 +14,7 @@ from eventmart.llm import (
     jaccard,
     lines,
     packing,
+    periodic,
     quality,
     shards,
     suffixes,
@@ -49,6 +50,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# CRC-32 in SQL: its table of 256 entries, and the value of an ASCII string by it.
+CRC_TABLE = """(SELECT list(x ORDER BY i) AS crc_table FROM (SELECT i, list_reduce(
+      [i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1
+      THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS x FROM range(256) AS r(i)))"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+      string_split({text}, ''), lambda z: ascii(z)::BIGINT)),
+      lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)"""
+
+
 @query("op1_packing")
 def op1_packing(spark, sf_dir):
     packed = packing.pack(
@@ -231,3 +244,92 @@ def op9_top_k(spark, sf_dir):
 )
 def op10_jaccard_join(spark, sf_dir):
     return jaccard.JaccardJoin(table(spark, sf_dir, "documents")).classified()
+
+
+def _period_scales(scales: int = 14) -> str:
+    """A window of 2b - 1 words that next occurs q words on, for q from b to 2b - 1, lies in a
+    stretch of smallest period q; hashes of b words are made of two hashes of half as many."""
+    parts, unions = [], []
+    for scale in range(scales):
+        b = 1 << scale
+        half = f"h{b // 2}"
+        if scale:
+            parts.append(f"""h{b} AS (SELECT doc_id, i, CASE WHEN lead(h, {b // 2}) OVER o IS NOT NULL
+                THEN hash(h, lead(h, {b // 2}) OVER o) END AS h FROM {half}
+                WINDOW o AS (PARTITION BY doc_id ORDER BY i))""")
+        unions.append(f"""SELECT doc_id, i, q, {2 * b - 1} AS size FROM (
+            SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id, h, h2 ORDER BY i) - i AS q FROM (
+              SELECT doc_id, i, h, lead(h, {b - 1}) OVER (PARTITION BY doc_id ORDER BY i) AS h2
+              FROM h{b}) WHERE h2 IS NOT NULL) WHERE q >= {b} AND q < {2 * b}""")
+    return ", ".join([*parts, f"same AS ({' UNION ALL '.join(unions)})"])
+
+
+@query(
+    "op11_periodic_runs",
+    f"""WITH c AS {CRC_TABLE},
+    d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^{BLANK}]+') AS ws,
+        {_crc32("doc_id::VARCHAR")} AS hash_ FROM documents, c),
+    a AS (SELECT doc_id, ws, len(ws) AS n, hash_ % 10 = 0 AND len(ws) > 0 AS again,
+        (hash_ // 10) % greatest(len(ws), 1) AS a, 3 + (hash_ // 10) % 8 AS f FROM d),
+    t AS (SELECT doc_id, n, CASE WHEN again THEN list_transform(range(n), lambda i: CASE
+        WHEN i < a THEN ws[i + 1] ELSE ws[a + (i - a) % (1 + (n - a) // f) + 1] END) ELSE ws END
+        AS ws FROM a),
+    w AS (SELECT doc_id, unnest(ws) AS word, unnest(range(n)) AS i FROM t),
+    h1 AS (SELECT doc_id, i, hash(word) AS h FROM w),
+    {_period_scales()},
+    s AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS stretch FROM same),
+    r AS (SELECT doc_id, min(i) AS start, max(i) - min(i) + size + q AS length, q AS period
+        FROM s GROUP BY doc_id, q, size, stretch HAVING length >= greatest(24, 3 * q)),
+    b AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY doc_id
+        ORDER BY length::DOUBLE / period DESC, start, period) = 1),
+    l AS (SELECT doc_id, count(*) AS n_runs, string_agg(
+        start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed
+        FROM r GROUP BY doc_id),
+    g AS (SELECT DISTINCT w.doc_id, i FROM w JOIN r ON w.doc_id = r.doc_id
+        AND i >= start + period AND i < start + length),
+    k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept
+        FROM w ANTI JOIN g USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period,
+        1000 * length // period AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+        sha256(coalesce(kept, '')) AS collapsed_sha256
+    FROM t LEFT JOIN l USING (doc_id) LEFT JOIN b USING (doc_id) LEFT JOIN k USING (doc_id)""",
+)
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic.collapse_runs(_repeated_tails(table(spark, sf_dir, "documents")))
+    more = lambda a, b: a["length"] * b["period"] > b["length"] * a["period"]
+    best = F.reduce(
+        "runs", F.get("runs", F.lit(0)), lambda best, x: F.when(more(x, best), x).otherwise(best)
+    )
+    listed = F.transform(
+        "runs", lambda x: F.concat(F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n"))
+    )
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
+def _repeated_tails(documents: DataFrame) -> DataFrame:
+    """The contract's input: in one document of ten the words from some place on repeat."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    cut = documents.select(
+        "doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h")
+    ).withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    placed = cut.withColumn("n", n).withColumn("a", F.when(n > 0, g % n).cast("int"))
+    period = (1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8))).cast("int")
+    tail = placed.withColumn("p", period).select(
+        "doc_id",
+        F.when(
+            F.col("n") > 0,
+            F.expr("""array_join(concat(slice(words, 1, a), slice(flatten(array_repeat(
+                slice(words, a + 1, p), cast(ceil((n - a) / p) AS int))), 1, n - a)), ' ')"""),
+        ).otherwise(F.col("text")).alias("text"),
+    )
+    return tail
