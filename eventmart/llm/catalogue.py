@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from eventmart.llm import (
     bpe,
+    conversations,
     factors,
     jaccard,
     lines,
@@ -333,3 +334,101 @@ def _repeated_tails(documents: DataFrame) -> DataFrame:
         ).otherwise(F.col("text")).alias("text"),
     )
     return tail
+
+
+def _damaged(conversations_: DataFrame) -> DataFrame:
+    """The contract's input: rows dropped, emptied, cut, repeated or of another role."""
+    space = F.lit(" ")
+    rows = conversations_.select(
+        "conv_id", "turn",
+        F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"),
+        (F.crc32(F.concat_ws(
+            ":", *(F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn"))
+        )) % 20).alias("h"),
+    )
+    return rows.filter("h <> 0").select(
+        "conv_id", "turn",
+        F.when(F.col("h") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("h") == 1, "").when(F.col("h") == 2, F.translate("text", ".!?", ""))
+        .otherwise(F.col("text")).alias("text"),
+        F.explode(F.expr("IF(h = 3, array(0, 1), array(0))")).alias("copy"),
+    ).drop("copy")
+
+
+@query(
+    "op12_conversation_repair",
+    f"""WITH RECURSIVE c AS {CRC_TABLE},
+    b AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS h
+        FROM conversations, c),
+    e AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+        CASE h WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(CASE WHEN h = 3 THEN [0, 1] ELSE [0] END) AS copy FROM b WHERE h <> 0),
+    n AS (SELECT *, row_number() OVER (PARTITION BY conv_id
+        ORDER BY turn NULLS FIRST, role, text, copy) AS i, left(role, 1) AS r,
+        rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS s FROM e),
+    f AS (SELECT conv_id, turn, role, text, i, r, CASE WHEN s = '' THEN 'blank'
+        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+        WHEN right(s, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+        lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r AS pair FROM n),
+    x(q, initials, inserts, q2) AS (VALUES (0, '', 0, 0), (0, 'I', 5, 2), (0, 'II', 10, 3),
+        (1, '', 0, 1), (1, 'I', 5, 2), (1, 'II', 10, 3), (2, '', 0, 2), (2, 'I', 5, 3),
+        (3, '', 0, 3), (3, 'I', 5, 2)),
+    k(r, q, q2) AS (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('a', 2, 3), ('u', 3, 2)),
+    g(q, q2) AS (VALUES (0, 2), (1, 2), (2, 3), (3, 2)),
+    m AS (SELECT f.conv_id, i, x.q, 'D' AS edit, inserts + 2 AS cost, initials, x.q2 AS q3
+        FROM f, x
+      UNION ALL SELECT f.conv_id, i, x.q, 'K', inserts + 5 * (fault IS NOT NULL)::INT, initials, k.q2
+        FROM f, x JOIN k ON x.q2 = k.q WHERE f.r = k.r AND (fault IS NULL OR fault = 'truncated')
+      UNION ALL SELECT f.conv_id, i, x.q, 'R', inserts + 1 + 5 * (fault IS NOT NULL)::INT, initials,
+        g.q2 FROM f, x JOIN g ON x.q2 = g.q WHERE fault IS NULL OR fault = 'truncated'),
+    p AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS q, 0 AS cost, '' AS audit FROM f
+      UNION ALL (SELECT conv_id, i, q3, cost, audit FROM (SELECT p.conv_id, m.i, m.q3,
+          p.cost + m.cost AS cost, p.audit || m.initials || m.edit AS audit
+        FROM p JOIN m ON p.conv_id IS NOT DISTINCT FROM m.conv_id AND m.i = p.i + 1 AND m.q = p.q)
+        QUALIFY row_number() OVER (PARTITION BY conv_id, q3 ORDER BY cost, audit) = 1)),
+    z AS (SELECT conv_id, max(i) AS n, sum((fault = 'blank')::INT) AS blank,
+        sum((fault = 'duplicate')::INT) AS duplicate, sum((fault = 'truncated')::INT) AS truncated,
+        sum((pair NOT IN ('su', 'ua', 'au'))::INT) AS illegal,
+        max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps FROM f GROUP BY conv_id),
+    o AS (SELECT p.conv_id, p.cost + inserts AS cost, audit || initials AS audit
+        FROM p JOIN z ON p.conv_id IS NOT DISTINCT FROM z.conv_id AND p.i = z.n
+        JOIN x ON x.q = p.q WHERE x.q2 IN (0, 3)
+        QUALIFY row_number() OVER (PARTITION BY p.conv_id ORDER BY p.cost + inserts,
+          audit || initials) = 1),
+    u AS (SELECT conv_id, unnest(string_split(audit, '')) AS edit,
+        unnest(range(length(audit))) AS pos, length(replace(audit, 'D', '')) % 2 AS odd
+        FROM o WHERE audit <> ''),
+    v AS (SELECT *, sum((edit <> 'I')::INT) OVER w AS row, sum((edit <> 'D')::INT) OVER w - 1 AS place
+        FROM u WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+    y AS (SELECT v.conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role
+          WHEN (place - odd) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' ||
+          CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY pos)) AS digest
+        FROM v LEFT JOIN f ON v.conv_id IS NOT DISTINCT FROM f.conv_id AND v.row = f.i
+        WHERE edit <> 'D' GROUP BY v.conv_id)
+    SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+      coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+      coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+      coalesce(audit, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) a
+    LEFT JOIN z ON a.conv_id IS NOT DISTINCT FROM z.conv_id
+    LEFT JOIN o ON a.conv_id IS NOT DISTINCT FROM o.conv_id
+    LEFT JOIN y ON a.conv_id IS NOT DISTINCT FROM y.conv_id""",
+)
+def op12_conversation_repair(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations")
+    repair = conversations.ConversationRepair(_damaged(given))
+    found = repair.audits().selectExpr("conv_id AS id", "* EXCEPT (conv_id)")
+    digests = repair.digests().withColumnRenamed("conv_id", "digest_id")
+    every = given.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return (
+        every.join(found, F.col("conv_id").eqNullSafe(F.col("id")), "left")
+        .join(digests, F.col("conv_id").eqNullSafe(F.col("digest_id")), "left")
+        .select(
+            "conv_id",
+            *(F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in numbers),
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )
