@@ -14,6 +14,7 @@ from eventmart.llm import (
     factors,
     jaccard,
     lines,
+    neighbours,
     packing,
     periodic,
     quality,
@@ -432,3 +433,20 @@ def op12_conversation_repair(spark, sf_dir):
             F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
         )
     )
+
+
+# Exact neighbours: at the size of the comparison a search finds all of them.
+@query(
+    "op13_neighbours",
+    """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sqrt(list_reduce(list_transform(
+        range(1, len(q.e) + 1), lambda i: (q.e[i] - c.e[i]) * (q.e[i] - c.e[i])),
+        lambda x, y: x + y)) AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INT AS rank,
+      vec_id, score FROM s QUALIFY rank <= 10""",
+)
+def op13_neighbours(spark, sf_dir):
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
