@@ -18,12 +18,15 @@ def utc_literal(moment: datetime) -> Column:
 def lenient_timestamp(text: Column) -> Column:
     """UTC timestamp of a string, null when it is not a full date or date-time.
 
-    A date alone, or a date and a time with hours and minutes at least. Spark by itself
-    also accepts a bare year, a year-month, a time of day, and a date with hours alone.
+    A date alone, or a date and a time with hours and minutes at least; hyphens or slashes
+    part a date, and its year has four digits. Spark by itself also accepts a bare year, a
+    year-month, a time of day, a date with hours alone and longer years, but no slashes.
     A zone offset in the text is applied before the zone is dropped.
     """
-    full = text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}([T ]\d{1,2}:\d{1,2}.*)?$")
-    return F.when(full, text.try_cast("timestamp")).cast("timestamp_ntz")
+    full = text.rlike(r"^\s*\d{4}([-/])\d{1,2}\1\d{1,2}([T ]\d{1,2}:\d{1,2}.*)?$")
+    slashes = F.regexp_replace(text, r"^(\s*\d{4})/(\d{1,2})/", "$1-$2-")
+    hyphened = F.when(text.contains("/"), slashes).otherwise(text)
+    return F.when(full, hyphened.try_cast("timestamp")).cast("timestamp_ntz")
 
 
 def seconds_between(start: Column, end: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.functions.scalar import (
@@ -84,62 +84,71 @@ def fact_ai_interactions(events: DataFrame, rates: DataFrame) -> DataFrame:
     )
 
 
+def session_counts() -> list[Column]:
+    """What is counted and added up per session; every buffer is of fixed width."""
+    name = F.col("event_name")
+    return [
+        F.min("event_ts").alias("started_at"),
+        F.max("event_ts").alias("ended_at"),
+        F.count("*").alias("event_count"),
+        count_event(name, "prompt_submitted").alias("prompts_submitted"),
+        count_event(name, AI_CALL).alias("ai_responses"),
+        count_event(name, "response_accepted").alias("responses_accepted"),
+        count_event(name, "response_rejected").alias("responses_rejected"),
+        count_event(name, "workflow_completed").alias("workflows_completed"),
+        count_event(name, "error_raised").alias("errors_raised"),
+        F.sum("total_tokens").alias("total_tokens"),
+        money_sum(F.col("cost_usd")).alias("cost_usd"),
+        F.bool_or(name == "session_started").alias("has_session_started"),
+        F.bool_or(name == "prompt_submitted").alias("has_prompt_submitted"),
+        F.bool_or(name == AI_CALL).alias("has_ai_response"),
+        F.bool_or(name == "response_accepted").alias("has_response_accepted"),
+        F.bool_or(name == "workflow_completed").alias("has_workflow_completed"),
+    ]
+
+
+def session_origin() -> list[Column]:
+    """The account and user of a session's earliest event, and its workflow."""
+    owner = F.min_by(F.struct("account_id", "user_id"), F.struct("event_ts", "event_id"))
+    return [owner.alias("owner"), F.max("workflow").alias("workflow")]
+
+
 def fact_sessions(events: DataFrame) -> DataFrame:
     """One row per session, owned by the account and user of its earliest event.
 
-    One aggregate with map-side partials finds the owner along with everything else.
+    The counts are a hash aggregate. Owner and workflow are strings, whose aggregate has to
+    sort; it has a few narrow columns and joins the counts where both have been shuffled.
     """
-    name = F.col("event_name")
-    owner = F.min_by(
-        F.struct("account_id", "user_id"), F.struct("event_ts", "event_id")
-    )
-    return (
-        events.filter(F.col("session_id").isNotNull())
-        .groupBy("session_id")
-        .agg(
-            owner.alias("owner"),
-            F.min("event_ts").alias("started_at"),
-            F.max("event_ts").alias("ended_at"),
-            F.max("workflow").alias("workflow"),
-            F.count("*").alias("event_count"),
-            count_event(name, "prompt_submitted").alias("prompts_submitted"),
-            count_event(name, AI_CALL).alias("ai_responses"),
-            count_event(name, "response_accepted").alias("responses_accepted"),
-            count_event(name, "response_rejected").alias("responses_rejected"),
-            count_event(name, "workflow_completed").alias("workflows_completed"),
-            count_event(name, "error_raised").alias("errors_raised"),
-            F.sum("total_tokens").alias("total_tokens"),
-            money_sum(F.col("cost_usd")).alias("cost_usd"),
-            F.bool_or(name == "session_started").alias("has_session_started"),
-            F.bool_or(name == "prompt_submitted").alias("has_prompt_submitted"),
-            F.bool_or(name == AI_CALL).alias("has_ai_response"),
-            F.bool_or(name == "response_accepted").alias("has_response_accepted"),
-            F.bool_or(name == "workflow_completed").alias("has_workflow_completed"),
-        )
-        .select(
-            "session_id",
-            "owner.account_id",
-            "owner.user_id",
-            "started_at",
-            "ended_at",
-            F.to_date("started_at").alias("session_date"),
-            "workflow",
-            "event_count",
-            "prompts_submitted",
-            "ai_responses",
-            "responses_accepted",
-            "responses_rejected",
-            "workflows_completed",
-            "errors_raised",
-            "total_tokens",
-            "cost_usd",
-            "has_session_started",
-            "has_prompt_submitted",
-            "has_ai_response",
-            "has_response_accepted",
-            "has_workflow_completed",
-            seconds_between(F.col("started_at"), F.col("ended_at")).alias("duration_seconds"),
-        )
+    inside = events.filter(F.col("session_id").isNotNull())
+    counts = inside.groupBy("session_id").agg(*session_counts())
+    origin = inside.groupBy("session_id").agg(*session_origin())
+    return session_columns(counts.join(origin, "session_id"))
+
+
+def session_columns(sessions: DataFrame) -> DataFrame:
+    return sessions.select(
+        "session_id",
+        "owner.account_id",
+        "owner.user_id",
+        "started_at",
+        "ended_at",
+        F.to_date("started_at").alias("session_date"),
+        "workflow",
+        "event_count",
+        "prompts_submitted",
+        "ai_responses",
+        "responses_accepted",
+        "responses_rejected",
+        "workflows_completed",
+        "errors_raised",
+        "total_tokens",
+        "cost_usd",
+        "has_session_started",
+        "has_prompt_submitted",
+        "has_ai_response",
+        "has_response_accepted",
+        "has_workflow_completed",
+        seconds_between(F.col("started_at"), F.col("ended_at")).alias("duration_seconds"),
     )
 
 

@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.operators import classify, marts, quality
@@ -18,12 +18,14 @@ from eventmart.sources.jsonl import EVENT_FILES
 
 # The table names.
 RAW_TABLES = ("raw_events", "raw_ingest_rejections", "raw_accounts", "raw_users")
-# Tables written in partitions: partition column and full schema. Reading them with their
-# schema works for a table without a single row, too.
+# Tables written in a folder per day: the date, the time it is of, and the full schema.
+# Reading them with their schema works for a table without a single row, too.
 PARTITIONED = {
-    "fact_ai_interactions": ("event_date", AI_INTERACTIONS),
-    "fact_sessions": ("session_date", SESSIONS),
+    "fact_ai_interactions": ("event_date", "event_ts", AI_INTERACTIONS),
+    "fact_sessions": ("session_date", "started_at", SESSIONS),
 }
+# Days that get a folder of their own; a broken clock's days share one.
+FIRST_DAY, LAST_DAY = "2000-01-01", "2099-12-31"
 CLEAN, REJECTED = "clean", "rejected"
 # The table names.
 BUILT_TABLES = (
@@ -37,6 +39,23 @@ BUILT_TABLES = (
 )
 
 
+def _folder_day(date: Column) -> Column:
+    """The date that names a row's folder; null for days that have none."""
+    first, last = (F.lit(day).cast("date") for day in (FIRST_DAY, LAST_DAY))
+    return F.when(date.between(first, last), date)
+
+
+def _with_shared_folder(stored: DataFrame, date: str, time: str) -> DataFrame:
+    """Rows by the folder of their day, and those of the shared folder by their time.
+
+    Two parts, so that a filter on the date still chooses folders.
+    """
+    own, shared = F.col(date).isNotNull(), F.col(date).isNull()
+    return stored.filter(own).unionByName(
+        stored.filter(shared).withColumn(date, F.to_date(time))
+    )
+
+
 class ChecksFailed(Exception):
     """A build that violates data-quality checks; ``violated`` has their rows."""
 
@@ -65,40 +84,45 @@ class Warehouse:
         self,
         raw_dir: str,
         ingested_at: datetime | None = None,
-        pattern: str = EVENT_FILES,
+        pattern: str | None = EVENT_FILES,
         event_names: str | None = None,
+        accounts: str | None = "accounts.csv",
+        users: str | None = "users.csv",
+        line_breaks: bool = False,
     ) -> dict[str, int]:
-        """Load event files, ``accounts.csv`` and ``users.csv``; safe to repeat.
+        """Load event files, accounts and users from a folder; safe to repeat.
 
-        ``pattern`` chooses the event files, so that one new day can be loaded alone;
-        ``event_names`` is a CSV file with the event-name contract, which replaces the
-        stored one.
+        ``pattern``, ``accounts`` and ``users`` choose the files, so that one new day can be
+        loaded alone; what is None stays as it is and counts no rows. ``line_breaks`` allows
+        them inside quotes of the metadata. ``event_names`` is a CSV file with the event-name
+        contract, which replaces the stored one.
         """
         ingested_at = ingested_at or datetime.now(timezone.utc).replace(tzinfo=None)
         raw_dir = raw_dir.rstrip("/")
-        bronze.ingest_events(
-            self.spark, raw_dir, self.path("raw/lines"), ingested_at, pattern,
-            self.path("raw/line_offsets"),
-        )
+        if pattern is not None:
+            bronze.ingest_events(
+                self.spark, raw_dir, self.path("raw/lines"), ingested_at, pattern,
+                self.path("raw/line_offsets"),
+            )
         if event_names is not None:
             self._write(
                 metadata.contract_seed(self.spark, event_names), "raw/expected_event_names"
             )
-        accounts = metadata.ingest_metadata(
-            self.spark, f"{raw_dir}/accounts.csv", self.path("raw/accounts"), ACCOUNTS, ingested_at
-        )
-        users = metadata.ingest_metadata(
-            self.spark, f"{raw_dir}/users.csv", self.path("raw/users"), USERS, ingested_at
-        )
-        loaded = self.ingest_stats().agg(
+        loaded = {
+            name: metadata.ingest_metadata(
+                self.spark, f"{raw_dir}/{files}", self.path(f"raw/{name}"), schema, ingested_at,
+                line_breaks,
+            ) if files is not None else 0
+            for name, files, schema in (("accounts", accounts, ACCOUNTS), ("users", users, USERS))
+        }
+        lines = self.ingest_stats().agg(
             F.sum("events_loaded").alias("events"), F.sum("lines_rejected").alias("rejected")
-        )
-        lines = loaded.first()
+        ).first() if pattern is not None else {"events": 0, "rejected": 0}
         return {
             "events_loaded": lines["events"],
             "lines_rejected": lines["rejected"],
-            "accounts_loaded": accounts,
-            "users_loaded": users,
+            "accounts_loaded": loaded["accounts"],
+            "users_loaded": loaded["users"],
         }
 
     def ingest_stats(self) -> DataFrame:
@@ -141,9 +165,8 @@ class Warehouse:
                 self.path("staging/repeated_events"),
             )
             outcome = F.when(F.col("rejection_reason").isNull(), CLEAN).otherwise(REJECTED)
-            dated = classified.withColumns(
-                {"outcome": outcome, "event_date": F.to_date("event_ts")}
-            )
+            day = F.when(F.col("outcome") == CLEAN, _folder_day(F.to_date("event_ts")))
+            dated = classified.withColumn("outcome", outcome).withColumn("event_date", day)
             self._write_partitioned(dated, "staging/events_classified", "outcome", "event_date")
             events = self.table("stg_events")
             beside.append(
@@ -186,7 +209,9 @@ class Warehouse:
 
     def _write_by_day(self, df: DataFrame, name: str) -> None:
         """One directory per day."""
-        self._write_partitioned(df, f"marts/{name}", PARTITIONED[name][0])
+        date = PARTITIONED[name][0]
+        dated = df.withColumn(date, _folder_day(F.col(date)))
+        self._write_partitioned(dated, f"marts/{name}", date)
 
     def _write_partitioned(self, df: DataFrame, name: str, *columns: str) -> None:
         """The rebalance gives a large partition several files, and a small one just one. All
@@ -212,7 +237,8 @@ class Warehouse:
         """With ``event_date``, the folder below the outcome; a filter on it prunes folders."""
         stored = f"{CLASSIFIED}, outcome string, event_date date"
         rows = self.spark.read.schema(stored).parquet(self.path("staging/events_classified"))
-        return rows.filter(F.col("outcome").isin(*outcomes)).drop("outcome")
+        chosen = rows.filter(F.col("outcome").isin(*outcomes)).drop("outcome")
+        return _with_shared_folder(chosen, "event_date", "event_ts")
 
     def table(self, name: str) -> DataFrame:
         """A staging view, a mart or a raw table by name."""
@@ -229,10 +255,9 @@ class Warehouse:
         if name == "expected_event_names":
             return self._contract()
         if name in PARTITIONED:
-            _, schema = PARTITIONED[name]
-            return self.spark.read.schema(schema).parquet(self.path(f"marts/{name}")).select(
-                *column_names(schema)
-            )
+            date, time, schema = PARTITIONED[name]
+            stored = self.spark.read.schema(schema).parquet(self.path(f"marts/{name}"))
+            return _with_shared_folder(stored, date, time).select(*column_names(schema))
         return self._read(f"marts/{name}")
 
     def _contract(self) -> DataFrame:

@@ -21,6 +21,7 @@ EVENT_FILES = "events_*.jsonl"
 NEAR_LIMIT_BYTES = 8 * 1024 * 1024
 NEAR_LIMIT_DEPTH = 200
 BEYOND_LIMITS = "json_beyond_limits"
+UNLIMITED = {name: "2147483647" for name in ("maxNestingDepth", "maxNumLen", "maxStringLen")}
 
 
 def list_event_files(spark: SparkSession, raw_dir: str, pattern: str = EVENT_FILES) -> DataFrame:
@@ -129,28 +130,51 @@ def oversized_event(value: Column) -> Column:
 
     The line is read by a schema of the promoted keys and the contract's properties, so
     that whatever else is in it is only passed over. As in ``with_json``, it is the first
-    of two elements whose second must come out intact.
+    of two elements whose second must come out intact. The properties are read as text
+    first, which fails for those nested too deeply to be built as VARIANT.
     """
     keys = ", ".join(f"{key}: string" for key in EVENT_KEYS)
-    members = ", ".join(f"{key}: variant" for key, _, _ in PROPERTIES)
     mark = F.xxhash64(value).cast("string")
-    pair = F.from_json(
-        F.concat(F.lit("["), value, F.lit(',{"_mark":"'), mark, F.lit('"}]')),
-        f"array<struct<{keys}, properties: struct<{members}>, _mark: string>>",
-        {"maxNestingDepth": "2147483647", "maxNumLen": "2147483647", "maxStringLen": "2147483647"},
-    )
-    intact = (F.size(pair) == 2) & (F.get(pair, F.lit(1))["_mark"] == mark)
-    event = F.get(pair, F.lit(0))
+    text = F.concat(F.lit("["), value, F.lit(',{"_mark":"'), mark, F.lit('"}]'))
+
+    def read(kind: str) -> tuple[Column, Column]:
+        members = ", ".join(f"{key}: {kind}" for key, _, _ in PROPERTIES)
+        schema = f"array<struct<{keys}, properties: struct<{members}>, _mark: string>>"
+        pair = F.from_json(text, schema, UNLIMITED)
+        intact = (F.size(pair) == 2) & (F.get(pair, F.lit(1))["_mark"] == mark)
+        return intact, F.get(pair, F.lit(0))
+
+    shallow, _ = read("string")
+    intact, event = read("variant")
     kept = [event[key].alias(key) for key in EVENT_KEYS]
     properties = F.to_variant_object(event["properties"]).alias("properties")
-    return F.when(intact & event.isNotNull(), F.struct(*kept, properties))
+    found = F.when(intact & event.isNotNull(), F.struct(*kept, properties))
+    return F.when(shallow, found)
+
+
+def is_json_of_any_size(value: Column) -> Column:
+    """Whether a text is exactly one JSON value, however large, deep or rich in digits.
+
+    The parser passes over the value of a key it is not asked for, and so checks it without
+    building it. The value stands there once on its own and once as an element, before a key
+    with its hash that must come out intact: text with a comma at its top level breaks one
+    of the two, as after it one needs a key and the other a value.
+    """
+    mark = F.xxhash64(value).cast("string")
+
+    def intact(before: str, after: str) -> Column:
+        text = F.concat(F.lit('{"_json":' + before), value, F.lit(after + ',"_mark":"'), mark, F.lit('"}'))
+        read = F.from_json(text, "_mark string", UNLIMITED)
+        return F.coalesce(read["_mark"] == mark, F.lit(False))
+
+    return intact("", "") & intact("[", "]")
 
 
 def ingest_reason(value: Column, document: Column, oversized: Column) -> Column:
     """Why a line is no event object; null for a JSON object.
 
-    A line near the limits of VARIANT that could not be read the other way either may still
-    be valid JSON, and has a reason of its own.
+    A line near the limits of VARIANT is malformed, too, unless all of it is one JSON value;
+    an object of which the kept members can't be held either has a reason of its own.
     Once a line is known to be valid JSON its first character tells the kind of value.
     """
     text = F.btrim(value, F.lit(" \t\r\n"))
@@ -163,9 +187,13 @@ def ingest_reason(value: Column, document: Column, oversized: Column) -> Column:
         .when(text.rlike(r"^-?\d+$"), "int")
         .otherwise("float")
     )
-    unread = F.when(near_limit(value), F.lit(BEYOND_LIMITS)).otherwise(F.lit("malformed_json"))
-    return F.when(document.isNull() & oversized.isNull(), unread).when(
-        first != "{", F.concat(F.lit("not_a_json_object: got "), kind)
+    unread = document.isNull() & oversized.isNull()
+    # Only the few lines that are near a limit and unread are validated again.
+    valid = F.when(unread & near_limit(value), is_json_of_any_size(value)).otherwise(False)
+    return (
+        F.when(unread & ~valid, F.lit("malformed_json"))
+        .when(first != "{", F.concat(F.lit("not_a_json_object: got "), kind))
+        .when(unread, F.lit(BEYOND_LIMITS))
     )
 
 

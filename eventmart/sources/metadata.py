@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from eventmart.functions.scalar import utc_literal
 from eventmart.schemas import EVENT_NAMES
 from eventmart.sources.bronze import replace_by_file
+from eventmart.sources.jsonl import decoded_path, list_event_files
 
 
 def read_metadata(
@@ -53,7 +54,7 @@ def read_metadata(
             else F.col(field.name)
             for field in schema
         ),
-        F.col("_metadata.file_name").alias("source_file"),
+        F.substring_index(decoded_path(F.col("_metadata.file_path")), "/", -1).alias("source_file"),
         utc_literal(ingested_at).alias("ingested_at"),
     )
 
@@ -66,18 +67,16 @@ def ingest_metadata(
     ingested_at: datetime,
     line_breaks: bool = False,
 ) -> int:
-    """Replace the rows of one metadata file in its table; returns how many it has.
+    """Replace the rows of the metadata files that match a path; returns how many they have.
 
-    A row without ``ingested_at`` marks the file, so that one with a header alone replaces
-    its earlier rows too.
+    Each file is marked by a row without ``ingested_at``, so that one with a header alone
+    replaces its earlier rows too. A path without files raises.
     """
-    source_file = csv_path.rstrip("/").rsplit("/", 1)[-1]
+    folder, _, pattern = csv_path.rstrip("/").rpartition("/")
+    files = list_event_files(spark, folder, pattern).select("source_file")
     rows = read_metadata(spark, csv_path, schema, ingested_at, line_breaks)
-    marker = spark.createDataFrame([(source_file,)], "source_file string")
-    replace_by_file(rows.unionByName(marker, allowMissingColumns=True), table_path)
-    return read_metadata_table(spark, table_path, schema).filter(
-        F.col("source_file") == source_file
-    ).count()
+    replace_by_file(rows.unionByName(files, allowMissingColumns=True), table_path)
+    return read_metadata_table(spark, table_path, schema).join(files, "source_file", "left_semi").count()
 
 
 def read_metadata_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

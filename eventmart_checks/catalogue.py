@@ -17,8 +17,8 @@ from eventmart.functions.scalar import money_sum, ratio, reason_bucket
 from eventmart.operators import classify, marts, quality
 from eventmart.operators.quantiles import histogram_quantiles
 from eventmart.plans import consumers, reports
-from eventmart.plans.warehouse import CLEAN, REJECTED
-from eventmart.schemas import ACCOUNTS, EVENT_KEYS, METRICS, USERS
+from eventmart.plans.warehouse import CLEAN, REJECTED, Warehouse
+from eventmart.schemas import EVENT_KEYS, METRICS
 from eventmart.session import materialize, scratch_dir
 from eventmart.sources import bronze, jsonl, metadata
 from eventmart_checks import feed
@@ -133,40 +133,45 @@ def raw_payload_keep(spark, sf_dir):
                    WHERE source_file >= 'events_2024-01-11') GROUP BY source_file""",
 )
 def replace_by_file(spark, sf_dir):
-    """Load all files, then load the first ten days again without their bad lines."""
-    path = scratch_dir(spark, "bronze")
+    """Load all files, then new versions of the first ten days, without their bad lines."""
+    loaded = Warehouse(spark, scratch_dir(spark, "versions"))
     lines = feed.lines(spark, sf_dir)
     early = F.col("source_file") < "events_2024-01-11"
     is_bad = F.col("line_number") % 4 == 0
-    bronze.replace_by_file(jsonl.parse_lines(lines, feed.INGESTED_AT), path)
-    bronze.replace_by_file(jsonl.parse_lines(lines.filter(early & ~is_bad), feed.INGESTED_AT), path)
-    return (
-        bronze.read_bronze(spark, path)
-        .groupBy("source_file")
-        .agg(F.count("*").alias("line_count"), F.count("ingest_reason").alias("rejected"))
+    for label, part in (("first", lines), ("second", lines.filter(early & ~is_bad))):
+        feed.ingest_daily_files(loaded, part, label)
+    return loaded.ingest_stats().select(
+        "source_file",
+        (F.col("events_loaded") + F.col("lines_rejected")).alias("line_count"),
+        F.col("lines_rejected").alias("rejected"),
     )
 
 
 @query(
     "s08_csv_metadata",
     """SELECT 'accounts' AS table_name, account_id AS key, account_name AS name, plan AS detail,
-              seat_limit, created_at FROM accounts
-       UNION ALL SELECT 'users', user_id, email, role, NULL, created_at FROM users""",
+              seat_limit, created_at, (SELECT count(*) FROM accounts) AS rows_loaded FROM accounts
+       UNION ALL SELECT 'users', user_id, email, role, NULL, created_at,
+              (SELECT count(*) FROM users) FROM users""",
 )
 def csv_metadata(spark, sf_dir):
+    """CSV files of awkward names, loaded twice; the number of rows comes from the load."""
     folder = scratch_dir(spark, "metadata")
     stamp = F.date_format("created_at", feed.CLOCK).alias("created_at")
-    read = {}
-    for name, rows, schema in (
-        ("accounts", feed.accounts(spark, sf_dir), ACCOUNTS),
-        ("users", feed.users(spark, sf_dir), USERS),
-    ):
+    for name, rows in (("accounts", feed.accounts(spark, sf_dir)), ("users", feed.users(spark, sf_dir))):
         rows = rows.select(*(c for c in rows.columns if c != "created_at"), stamp)
-        rows.write.option("header", True).csv(f"{folder}/{name}")
-        metadata.ingest_metadata(
-            spark, f"{folder}/{name}/*.csv", f"{folder}/{name}_table", schema, feed.INGESTED_AT
+        rows.write.option("header", True).csv(f"{folder}/all {name} 100%")
+    loaded = Warehouse(spark, f"{folder}/warehouse")
+    for _ in range(2):
+        counts = loaded.ingest(
+            folder, feed.INGESTED_AT, None, None, "all accounts 100%/*.csv", "all users 100%/*.csv"
+        )
+    read = {
+        name: loaded.table(f"raw_{name}").withColumn(
+            "rows_loaded", F.lit(counts[f"{name}_loaded"]).cast("long")
         )
-        read[name] = metadata.read_metadata_table(spark, f"{folder}/{name}_table", schema)
+        for name in ("accounts", "users")
+    }
     return (
         read["accounts"]
         .select(
@@ -176,6 +181,7 @@ def csv_metadata(spark, sf_dir):
             F.col("plan").alias("detail"),
             "seat_limit",
             "created_at",
+            "rows_loaded",
         )
         .unionAll(
             read["users"].select(
@@ -185,6 +191,7 @@ def csv_metadata(spark, sf_dir):
                 "role",
                 F.lit(None).cast("int"),
                 "created_at",
+                "rows_loaded",
             )
         )
     )
@@ -196,9 +203,14 @@ def csv_metadata(spark, sf_dir):
     "LEFT JOIN f ON f.event_name = names.event_name GROUP BY names.event_name",
 )
 def contract_seed(spark, sf_dir):
+    """The contract as a file, stored by the warehouse and read back from it."""
+    folder = scratch_dir(spark, "contract")
+    metadata.contract_seed(spark).write.option("header", True).csv(f"{folder}/names.csv")
+    loaded = Warehouse(spark, f"{folder}/warehouse")
+    loaded.ingest(folder, None, None, f"{folder}/names.csv", None, None)
     counts = feed.feed(spark, sf_dir).groupBy("event_name").agg(F.count("*").alias("events"))
     return (
-        metadata.contract_seed(spark)
+        loaded.table("expected_event_names")
         .join(counts, "event_name", "left")
         .select("event_name", F.coalesce("events", F.lit(0)).cast("long").alias("events"))
     )

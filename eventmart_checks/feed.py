@@ -277,6 +277,26 @@ def write_files(spark: SparkSession, sf_dir: str, label: str) -> str:
     return folder
 
 
+def ingest_daily_files(loaded: Warehouse, rows: DataFrame, label: str) -> None:
+    """Lines written as one text file per day and ingested under the days' own file names."""
+    spark = loaded.spark
+    folder = scratch_dir(spark, label)
+    (
+        rows.select(F.col("source_file").alias("day"), "line_number", "value")
+        .repartition("day")
+        .sortWithinPartitions("day", "line_number")
+        .select("day", "value")
+        .write.partitionBy("day")
+        .text(folder)
+    )
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for part in files.globStatus(path(f"{folder}/day=*/*.txt")):  # Spark chose their names
+        day = part.getPath().getParent().getName().removeprefix("day=")
+        files.rename(part.getPath(), path(folder, day))
+    loaded.ingest(folder, INGESTED_AT, accounts=None, users=None)
+
+
 FILES = "file=*/*.txt"
 
 

@@ -2,6 +2,7 @@
 
 import json
 import random
+from datetime import datetime
 
 import pytest
 from conftest import INGESTED_AT, event_line, rows
@@ -346,7 +347,11 @@ def test_last_of_repeated_keys_counts(spark):
         ("2025-03", False),
         ("2025", False),
         ("08:00:00", False),
-        ("2025/03/10", False),
+        ("2025/03/10", True),
+        ("2025/3/1T08:00:00Z", True),
+        ("2025-03-10 08:00:00 Europe/Berlin", True),
+        ("2025-03/10", False),
+        ("2025/02/30", False),
         ("12025-03-10", False),
         ("2025-02-30", False),
         ("", False),
@@ -359,6 +364,12 @@ def test_timestamp_forms(spark, text, accepted):
     assert found.first()[0] is accepted
 
 
+def test_slashes_part_a_date_as_hyphens_do(spark):
+    texts = [("2025/03/10",), ("2025/3/1 08:00:00+02:00",)]
+    found = spark.createDataFrame(texts, "t string").select(scalar.lenient_timestamp(F.col("t")))
+    assert rows(found) == [(datetime(2025, 3, 10),), (datetime(2025, 3, 1, 6),)]
+
+
 def test_rows_without_a_valid_id_do_not_meet_in_the_duplicate_join(spark):
     """A third of all rows with null and empty ids, joined without a broadcast."""
     lines = [

@@ -153,19 +153,46 @@ def test_large_events_are_not_malformed(spark):
         '{"event_id": "b", "properties": {"n": %s, "model": "m"}}' % ("9" * 1200),
         '{"event_id": "c", "properties": %s1%s}' % ('{"d":' * 1500, "}" * 1500),
     ]
-    unread = ['{"event_id": "d", "n": %s} x' % ("9" * 1200), "[" * 1500, "{bad"]
     properties = F.col("properties")
-    found = parse(spark, [*large, *unread]).select(
+    found = parse(spark, large).select(
         "ingest_reason", "event_id", F.try_variant_get(properties, "$.latency_ms", "int"),
         F.try_variant_get(properties, "$.model", "string"),
     )
     assert rows(found) == [
         (None, "a", 5, None), (None, "b", None, "m"), (None, "c", None, None),
-        ("json_beyond_limits", None, None, None), ("json_beyond_limits", None, None, None),
-        ("malformed_json", None, None, None),
     ]
 
 
+DIGITS, DEEP = "9" * 1200, 1500
+
+
+@pytest.mark.parametrize(
+    ("line", "reason"),
+    [
+        ('{"event_id": "d", "n": %s} x' % DIGITS, "malformed_json"),
+        ('{"event_id": "d", "n": %sx}' % DIGITS, "malformed_json"),
+        ('{"event_id": "e", "n": ' + "[" * 250, "malformed_json"),
+        ('{"event_id": "e", "n": %s%s}' % ("[" * 250, "]" * 249), "malformed_json"),
+        ("[" * DEEP, "malformed_json"),
+        ("[" * DEEP + "1" + "]" * DEEP + "]", "malformed_json"),
+        (DIGITS + ',"_mark":"1"', "malformed_json"),
+        (DIGITS + ",2", "malformed_json"),
+        (DIGITS + '],"a":[2', "malformed_json"),
+        (DIGITS + '},{"a":2', "malformed_json"),
+        ('"%s' % ("x" * 9_000_000), "malformed_json"),
+        ("-0" + DIGITS, "malformed_json"),
+        ("[" * DEEP + "1" + "]" * DEEP, "not_a_json_object: got list"),
+        (f" [{DIGITS}, 2] ", "not_a_json_object: got list"),
+        (DIGITS, "not_a_json_object: got int"),
+        (f"-{DIGITS}.5e-3", "not_a_json_object: got float"),
+        ('"%s"' % ("x" * 25_000_000), "not_a_json_object: got str"),
+        ('{"properties": {"model": %s1%s}}' % ('{"d":' * DEEP, "}" * DEEP), "json_beyond_limits"),
+    ],
+)
+def test_reasons_beyond_the_limits_of_variant(spark, line, reason):
+    assert rows(parse(spark, [line, "{}"]).select("ingest_reason")) == [(reason,), (None,)]
+
+
 def ingested(spark, folder, files, name="raw"):
     warehouse = Warehouse(spark, str(folder / "warehouse"))
     stats = warehouse.ingest(write_raw(folder / name, files), INGESTED_AT)

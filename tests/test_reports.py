@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from eventmart.functions import scalar
-from eventmart.operators import marts, quality
+from eventmart.operators import marts, quality, quantiles
 from eventmart.operators.quantiles import histogram_quantiles
 from eventmart.plans import consumers, reports
 from eventmart.schemas import AI_INTERACTIONS, SESSIONS
@@ -149,7 +149,9 @@ def test_money_adds_up_the_same_in_any_order(spark):
     assert none.agg(scalar.money_sum(F.col("cost"))).first()[0] is None
 
 
-def test_quantiles_against_brute_force(spark):
+@pytest.mark.parametrize("width", [1, 8, 1 << 16])
+def test_quantiles_against_brute_force(spark, monkeypatch, width):
+    monkeypatch.setattr(quantiles, "PART_WIDTH", width)
     pick = random.Random(5)
     values = [
         (group, pick.choice([None, *range(40)]) if group != "empty" else None)
@@ -157,6 +159,7 @@ def test_quantiles_against_brute_force(spark):
     ]
     values.append(("pair", 10))
     values.append(("pair", 20))
+    values += [(None, n) for n in (-2147483648, -9, -8, 0, 2147483647)]
     histogram = (
         spark.createDataFrame(values, "g string, v int").groupBy("g", "v").agg(F.count("*").alias("n"))
     )
@@ -181,6 +184,17 @@ def test_quantiles_against_brute_force(spark):
             assert result == (wanted if wanted is None else pytest.approx(wanted))
 
 
+def test_quantiles_rank_the_parts_they_need(spark):
+    """A group of very many values: all but a few are gone before the values are sorted."""
+    histogram = spark.range(2_000_000).selectExpr("'hot' AS g", "CAST(id * 7 AS INT) AS v", "1L AS n")
+    found = histogram_quantiles(histogram, "g", "v", "n", {"median": 0.5, "p95": 0.95})
+    ((group, median, p95),) = rows(found)
+    assert (group, median, p95) == ("hot", 6999996.5, pytest.approx(13299993.35))
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    ranking = [line for line in plan if "Window [" in line and "_value#" in line]
+    assert len(ranking) == 1 and "windowspecdefinition(_held#" in ranking[0]
+
+
 def test_reports_without_any_event(spark):
     sessions = spark.createDataFrame([], SESSIONS)
     calls = spark.createDataFrame([], AI_INTERACTIONS)

@@ -213,6 +213,66 @@ def test_rebuild_leaves_nothing_old(spark, tmp_path):
     assert files_below(tmp_path) == {"raw", "again", "warehouse"}
 
 
+def test_days_of_a_broken_clock_share_a_folder(spark, tmp_path):
+    days = ["1970-01-01", "1999-12-31", "2000-01-01", "2099-12-31", "2100-01-01", "9999-12-31"]
+    lines = [
+        event_line(f"d{i}", "ai_response_generated", day=day, session_id=f"s{i}")
+        for i, day in enumerate(days)
+    ]
+    lines += [event_line(f"r{i}", "no_such_event", day=f"20{i + 10}-01-01") for i in range(20)]
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    warehouse.ingest(write_raw(tmp_path / "raw", {DAY_FILE: lines}), INGESTED_AT)
+    warehouse.build(check=False)  # the calls have no model
+    root = tmp_path / "warehouse"
+    own = {"event_date=2000-01-01", "event_date=2099-12-31"}
+    shared = "event_date=__HIVE_DEFAULT_PARTITION__"
+    assert files_below(root / "staging/events_classified/outcome=clean") == {shared, *own}
+    assert files_below(root / "staging/events_classified/outcome=rejected") == {shared}
+    for name, date in (("fact_ai_interactions", "event_date"), ("fact_sessions", "session_date")):
+        folders = [f for f in files_below(root / "marts" / name) if f.startswith(date)]
+        assert len(folders) == 3
+        found = warehouse.table(name).selectExpr(f"CAST({date} AS string)")
+        assert sorted(r[0] for r in rows(found)) == days
+    events = warehouse.table("stg_events")
+    assert sorted(r[0] for r in rows(events.selectExpr("CAST(event_date AS string)"))) == days
+    assert rows(events.filter("event_date = DATE'2100-01-01'").select("event_id")) == [("d4",)]
+    assert warehouse.table("rejected_events").count() == 20
+
+
+def test_chosen_metadata(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    raw_dir = write_raw(tmp_path / "raw", {DAY_FILE: fixture_lines()})
+    first = warehouse.ingest(raw_dir, INGESTED_AT)
+    only_lines = warehouse.ingest(raw_dir, INGESTED_AT, accounts=None, users=None)
+    assert only_lines == {**first, "accounts_loaded": 0, "users_loaded": 0}
+    assert warehouse.table("raw_accounts").count() == first["accounts_loaded"]
+    header, *people = (tmp_path / "raw" / "users.csv").read_text().splitlines()
+    names = ["more users 50%.csv", "a+b.csv"]
+    for name, person in zip(names, people):
+        (tmp_path / "raw" / name).write_text(f"{header}\n{person.replace(',', 'x,', 1)}\n")
+    added = warehouse.ingest(raw_dir, pattern=None, accounts=None, users="*[%+]*.csv")
+    assert added == {"events_loaded": 0, "lines_rejected": 0, "accounts_loaded": 0, "users_loaded": 2}
+    found = warehouse.table("raw_users")
+    assert found.count() == first["users_loaded"] + 2
+    assert {r[0] for r in rows(found.select("source_file"))} == {"users.csv", *names}
+    (tmp_path / "raw" / names[0]).write_text(header + "\n")
+    assert warehouse.ingest(raw_dir, pattern=None, accounts=None, users=names[0])["users_loaded"] == 0
+    assert {r[0] for r in rows(warehouse.table("raw_users").select("source_file"))} == {"users.csv", "a+b.csv"}
+    with pytest.raises(FileNotFoundError):
+        warehouse.ingest(raw_dir, pattern=None, accounts=None, users="absent.csv")
+
+
+def test_line_breaks_in_metadata(spark, tmp_path):
+    raw_dir = write_raw(tmp_path / "raw", {DAY_FILE: fixture_lines()})
+    accounts = tmp_path / "raw" / "accounts.csv"
+    header, first, *others = accounts.read_text().splitlines()
+    name = first.split(",")[1]
+    accounts.write_text("\n".join([header, first.replace(name, '"two\nlines"'), *others]) + "\n")
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
+    warehouse.ingest(raw_dir, INGESTED_AT, line_breaks=True)
+    assert "two\nlines" in {r[0] for r in rows(warehouse.table("raw_accounts").select("account_name"))}
+
+
 def test_one_day_into_a_filled_warehouse(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "warehouse"))
     raw_dir = write_raw(tmp_path / "raw", {DAY_FILE: fixture_lines(), NEXT_FILE: next_lines()})
