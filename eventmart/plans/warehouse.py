@@ -129,15 +129,15 @@ class Warehouse:
         return bronze.ingest_stats(bronze.read_bronze(self.spark, self.path("raw/lines")))
 
     def _raw_tables(self) -> dict[str, DataFrame]:
+        return {name: self._raw_table(name) for name in RAW_TABLES}
+
+    def _raw_table(self, name: str) -> DataFrame:
+        for stored, schema in (("accounts", ACCOUNTS), ("users", USERS)):
+            if name == f"raw_{stored}":
+                return metadata.read_metadata_table(self.spark, self.path(f"raw/{stored}"), schema)
         lines = bronze.read_bronze(self.spark, self.path("raw/lines"))
-        return {
-            "raw_events": bronze.raw_events(lines),
-            "raw_ingest_rejections": bronze.raw_ingest_rejections(lines),
-            "raw_accounts": metadata.read_metadata_table(
-                self.spark, self.path("raw/accounts"), ACCOUNTS
-            ),
-            "raw_users": metadata.read_metadata_table(self.spark, self.path("raw/users"), USERS),
-        }
+        of_lines = {"raw_events": bronze.raw_events, "raw_ingest_rejections": bronze.raw_ingest_rejections}
+        return of_lines[name](lines)
 
     # -- build ---------------------------------------------------------------------
 
@@ -243,7 +243,7 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         """A staging view, a mart or a raw table by name."""
         if name in RAW_TABLES:
-            return self._raw_tables()[name]
+            return self._raw_table(name)
         if name == "int_events_classified":
             return self.classified(CLEAN, REJECTED)
         if name == "stg_events":
