@@ -169,12 +169,16 @@ def classify_events(
 ) -> DataFrame:
     """One row per raw event with its rejection reason, null for the clean ones.
 
-    Runs a job for the repeated events, whose table is written to ``scratch`` (or a new
-    folder of the shared scratch space). ``accounts`` and ``users`` must have unique keys
-    (``Warehouse.build`` checks this).
+    The events are typed and validated in one pass, whose rows are written below ``scratch``
+    (or in new folders of the shared scratch space). Repeated ids are found from a few
+    columns of that table, and the duplicates marked as it is read again. ``accounts`` and
+    ``users`` must have unique keys (``Warehouse.build`` checks this).
     """
-    validated = validate_events(raw_events, accounts, users, event_names)
-    repeated = materialize(repeated_events(validated), "repeated", scratch)
+    stored, again = (scratch and f"{scratch}/{name}" for name in ("validated", "repeated"))
+    validated = materialize(
+        validate_events(raw_events, accounts, users, event_names), "validated", stored
+    )
+    repeated = materialize(repeated_events(validated), "repeated", again)
     return mark_duplicates(validated, repeated)
 
 

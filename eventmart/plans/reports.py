@@ -1,13 +1,16 @@
-"""The nine analytic reports. Each takes the marts it reads and returns an ordered DataFrame."""
+"""The analytic reports. Each takes the marts it reads and returns an ordered DataFrame."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from eventmart.functions.scalar import count_event, money_sum, percent, ratio
 from eventmart.operators.quantiles import histogram_quantiles
+from eventmart.plans import monitoring
 from eventmart.schemas import FUNNEL_STAGES
 
 MIN_EVENTS_FOR_ERROR_RATE = 10
@@ -109,6 +112,42 @@ def session_funnel(sessions: DataFrame) -> DataFrame:
     )
 
 
+def ordered_funnel_stages(events: DataFrame) -> DataFrame:
+    """``(stage_order, stage, sessions)`` with the stages in the order of time.
+
+    A session is at a stage if events of all stages up to it follow each other strictly;
+    events of one time follow each other by their id. The earliest chain decides: the next
+    stage's first event after it. Each step joins the events of one stage with one row per
+    session and takes minima with map-side partials, so a session of very many events is
+    spread over tasks and never held.
+    """
+    moments = events.filter(F.col("session_id").isNotNull()).select(
+        "session_id", "event_name", F.struct("event_ts", "event_id").alias("moment")
+    )
+    chains, chain = [], None
+    for order, stage in enumerate(FUNNEL_STAGES, start=1):
+        rows = moments.filter(F.col("event_name") == stage).drop("event_name")
+        if chain is not None:
+            rows = rows.join(chain, "session_id").filter(F.col("moment") > F.col("reached"))
+        chain = rows.groupBy("session_id").agg(F.min("moment").alias("reached"))
+        chains.append(
+            chain.agg(F.count("*").alias("sessions")).select(
+                F.lit(order).alias("stage_order"), F.lit(stage).alias("stage"), "sessions"
+            )
+        )
+    return reduce(DataFrame.unionByName, chains)
+
+
+def ordered_session_funnel(events: DataFrame) -> DataFrame:
+    """The funnel of stages in order, with each stage's share of the first."""
+    first = F.first_value("sessions").over(Window.orderBy("stage_order"))
+    return (
+        ordered_funnel_stages(events)
+        .withColumn("pct_of_started", percent(F.col("sessions"), first, 1))
+        .orderBy("stage_order")
+    )
+
+
 def rejected_by_account(events: DataFrame, accounts: DataFrame) -> DataFrame:
     """Share of rejections among the explicit accept and reject decisions of an account."""
     name = F.col("event_name")
@@ -253,4 +292,7 @@ REPORTS = {
     "high_error_users": (high_error_users, ("stg_events",)),
     "usage_growth": (usage_growth, ("daily_account_metrics",)),
     "acceptance_by_model": (acceptance_by_model, ("fact_ai_interactions",)),
+    "ordered_session_funnel": (ordered_session_funnel, ("stg_events",)),
+    "volume_anomalies": (monitoring.volume_anomalies, ("stg_events", "rejected_events")),
+    "cost_anomalies": (monitoring.cost_anomalies, ("fact_ai_interactions",)),
 }

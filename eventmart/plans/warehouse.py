@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from eventmart.operators import classify, marts, quality
 from eventmart.plans.reports import REPORTS
 from eventmart.schemas import ACCOUNTS, AI_INTERACTIONS, CLASSIFIED, SESSIONS, USERS, column_names
-from eventmart.session import configure
-from eventmart.sources import bronze, metadata
+from eventmart.session import configure, materialize
+from eventmart.sources import bronze, jsonl, manifest, metadata
 from eventmart.sources.jsonl import EVENT_FILES
 
 # The table names.
@@ -24,6 +24,7 @@ PARTITIONED = {
     "fact_ai_interactions": ("event_date", "event_ts", AI_INTERACTIONS),
     "fact_sessions": ("session_date", "started_at", SESSIONS),
 }
+NO_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # Spark's name of the folder for null
 # Days that get a folder of their own; a broken clock's days share one.
 FIRST_DAY, LAST_DAY = "2000-01-01", "2099-12-31"
 CLEAN, REJECTED = "clean", "rejected"
@@ -39,7 +40,7 @@ BUILT_TABLES = (
 )
 
 
-def _folder_day(date: Column) -> Column:
+def folder_day(date: Column) -> Column:
     """The date that names a row's folder; null for days that have none."""
     first, last = (F.lit(day).cast("date") for day in (FIRST_DAY, LAST_DAY))
     return F.when(date.between(first, last), date)
@@ -100,10 +101,12 @@ class Warehouse:
         ingested_at = ingested_at or datetime.now(timezone.utc).replace(tzinfo=None)
         raw_dir = raw_dir.rstrip("/")
         if pattern is not None:
+            files = jsonl.list_event_files(self.spark, raw_dir, pattern)
             bronze.ingest_events(
                 self.spark, raw_dir, self.path("raw/lines"), ingested_at, pattern,
                 self.path("raw/line_offsets"),
             )
+            self._record(files, ingested_at)
         if event_names is not None:
             self._write(
                 metadata.contract_seed(self.spark, event_names), "raw/expected_event_names"
@@ -125,6 +128,56 @@ class Warehouse:
             "users_loaded": loaded["users"],
         }
 
+    def ingest_changed(
+        self, raw_dir: str, ingested_at: datetime | None = None, pattern: str = EVENT_FILES
+    ) -> int:
+        """Load the event files that are new or were changed since they were loaded.
+
+        The manifest tells them by length and time of change. Returns how many they are.
+        """
+        files = jsonl.list_event_files(self.spark, raw_dir, pattern)
+        changed = materialize(
+            manifest.not_loaded(files, self._manifest()), "files", self.path("raw/changed_files")
+        )
+        self.load_files(
+            changed, pattern, ingested_at or datetime.now(timezone.utc).replace(tzinfo=None)
+        )
+        return changed.count()
+
+    def load_files(self, files: DataFrame, pattern: str, ingested_at: datetime) -> None:
+        """Load files as ``list_event_files`` lists them, best a written table."""
+        if files.isEmpty():
+            return
+        bronze.ingest_files(
+            self.spark, files, self.path("raw/lines"), ingested_at, pattern,
+            self.path("raw/line_offsets"),
+        )
+        self._record(files, ingested_at)
+
+    def _record(self, files: DataFrame, ingested_at: datetime) -> None:
+        """Enter loaded files into the index of users and then the manifest."""
+        lines = self.path("raw/lines")
+        manifest.record_users(self.spark, files, lines, self.path("raw/user_files"))
+        manifest.record_files(self.spark, files, lines, self.path("raw/manifest"), ingested_at)
+
+    def record_again(self, files: DataFrame) -> None:
+        """Enter files whose lines were changed in the bronze table itself."""
+        known = self._manifest().join(files, "source_file", "left_semi")
+        loaded_at = known.agg(F.max("loaded_at")).first()[0]
+        if loaded_at is not None:
+            kept = known.select("source_file", "length", "modified")
+            self._record(
+                materialize(kept, "files", self.path("staging/erasure/manifest")), loaded_at
+            )
+
+    def _manifest(self) -> DataFrame:
+        return manifest.read_manifest(self.spark, self.path("raw/manifest"))
+
+    def loaded_files(self) -> DataFrame:
+        """``source_file`` of every file in the bronze table."""
+        lines = bronze.read_bronze(self.spark, self.path("raw/lines"))
+        return lines.filter(F.col("ingest_reason") == bronze.FILE_MARKER).select("source_file")
+
     def ingest_stats(self) -> DataFrame:
         return bronze.ingest_stats(bronze.read_bronze(self.spark, self.path("raw/lines")))
 
@@ -148,11 +201,14 @@ class Warehouse:
         that violates a data-quality check raises ``ChecksFailed``, unless ``check`` is
         false; its tables stay for inspection.
         """
+        self.record_build(None)
+        as_loaded = raw is None
         raw = raw or self._raw_tables()
         accounts, users = raw["raw_accounts"], raw["raw_users"]
         self._require_unique_keys(accounts, users)
         # What needs no classified events, and later the sessions, runs beside the main line.
         with ThreadPoolExecutor(max_workers=4) as pool:
+            inputs = pool.submit(self.build_inputs) if as_loaded else None
             beside = [
                 pool.submit(
                     self._write, raw["raw_ingest_rejections"], "staging/ingest_rejections"
@@ -162,10 +218,10 @@ class Warehouse:
             ]
             classified = classify.classify_events(
                 raw["raw_events"], accounts, users, self.event_names(),
-                self.path("staging/repeated_events"),
+                self.path("staging/classification"),
             )
             outcome = F.when(F.col("rejection_reason").isNull(), CLEAN).otherwise(REJECTED)
-            day = F.when(F.col("outcome") == CLEAN, _folder_day(F.to_date("event_ts")))
+            day = F.when(F.col("outcome") == CLEAN, folder_day(F.to_date("event_ts")))
             dated = classified.withColumn("outcome", outcome).withColumn("event_date", day)
             self._write_partitioned(dated, "staging/events_classified", "outcome", "event_date")
             events = self.table("stg_events")
@@ -185,10 +241,53 @@ class Warehouse:
             )
             for job in beside:
                 job.result()
+            self.record_build(inputs.result() if inputs else None)
         if check:
-            violated = self.checks(raw).filter("violations > 0").collect()
-            if violated:
-                raise ChecksFailed(violated)
+            self.require_checks(raw)
+
+    def require_checks(self, raw: dict[str, DataFrame] | None = None) -> None:
+        violated = self.checks(raw).filter("violations > 0").collect()
+        if violated:
+            raise ChecksFailed(violated)
+
+    def build_inputs(self) -> DataFrame:
+        """``(kind, name, checksum)`` of what a build reads: event files, metadata, contract."""
+        files = self._manifest().select(F.lit("file").alias("kind"), F.col("source_file").alias("name"), "checksum")
+        others = [
+            (name, self.table(name).drop("ingested_at", "source_file"))
+            for name in ("raw_accounts", "raw_users", "expected_event_names")
+        ]
+        for name, rows in others:
+            own = F.xxhash64(*rows.columns)
+            checksum = F.concat_ws("-", F.hex(F.bit_xor(own)), F.count("*").cast("string"))
+            files = files.unionByName(
+                rows.agg(checksum.alias("checksum")).select(
+                    F.lit("table").alias("kind"), F.lit(name).alias("name"), "checksum"
+                )
+            )
+        return materialize(files, "build-inputs", self.path("staging/build_inputs_next"))
+
+    def built_inputs(self) -> DataFrame | None:
+        """The inputs of the tables as they are; None if a build has not been completed."""
+        try:
+            stored = self._read("staging/build_inputs")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return None if stored.isEmpty() else stored
+
+    def refresh(self, check: bool = True) -> int | None:
+        """Bring the tables up to date with the loaded files; see ``plans.refresh``."""
+        from eventmart.plans.refresh import refresh
+
+        return refresh(self, check)
+
+    def record_build(self, inputs: DataFrame | None) -> None:
+        """Note what the tables were built from; without it, that they are in the making."""
+        if inputs is None:
+            inputs = self.spark.createDataFrame([], "kind string, name string, checksum string")
+        self._write(inputs, "staging/build_inputs")
 
     def event_names(self) -> list[str]:
         """The contract's names; a short list, which validation compares with."""
@@ -210,9 +309,29 @@ class Warehouse:
     def _write_by_day(self, df: DataFrame, name: str) -> None:
         """One directory per day."""
         date = PARTITIONED[name][0]
-        dated = df.withColumn(date, _folder_day(F.col(date)))
+        dated = df.withColumn(date, folder_day(F.col(date)))
         self._write_partitioned(dated, f"marts/{name}", date)
 
+    def replace_folders(
+        self, rows: DataFrame, folders: DataFrame, name: str, *columns: str
+    ) -> None:
+        """Give some folders of a partitioned table these rows, and remove those that get none.
+
+        Both are best written tables; ``folders`` are collected, as their number is that of
+        outcomes times days.
+        """
+        path = self.path(name)
+        rows.hint("rebalance", *columns).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(*columns).parquet(path)
+        left = rows.select(*(F.col(c).cast("string") for c in columns)).distinct().collect()
+        given = folders.select(*(F.col(c).cast("string") for c in columns)).distinct().collect()
+        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path
+        files = hadoop_path(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for row in {tuple(r) for r in given} - {tuple(r) for r in left}:
+            parts = (f"{c}={NO_FOLDER if v is None else v}" for c, v in zip(columns, row))
+            files.delete(hadoop_path("/".join((path, *parts))), True)
+
     def _write_partitioned(self, df: DataFrame, name: str, *columns: str) -> None:
         """The rebalance gives a large partition several files, and a small one just one. All
         of the table is replaced, whatever the session says of partitions."""
@@ -233,10 +352,18 @@ class Warehouse:
         """The classified events of the given outcomes; only their folders are read."""
         return self._classified(*outcomes).drop("event_date")
 
+    def stored_rejections(self) -> DataFrame:
+        """The refused lines as of the last build."""
+        return self._read("staging/ingest_rejections")
+
+    def stored_events(self) -> DataFrame:
+        """The classified events with the ``outcome`` and ``event_date`` of their folders."""
+        stored = f"{CLASSIFIED}, outcome string, event_date date"
+        return self.spark.read.schema(stored).parquet(self.path("staging/events_classified"))
+
     def _classified(self, *outcomes: str) -> DataFrame:
         """With ``event_date``, the folder below the outcome; a filter on it prunes folders."""
-        stored = f"{CLASSIFIED}, outcome string, event_date date"
-        rows = self.spark.read.schema(stored).parquet(self.path("staging/events_classified"))
+        rows = self.stored_events()
         chosen = rows.filter(F.col("outcome").isin(*outcomes)).drop("outcome")
         return _with_shared_folder(chosen, "event_date", "event_ts")
 
@@ -249,9 +376,7 @@ class Warehouse:
         if name == "stg_events":
             return classify.stg_events(self._classified(CLEAN))
         if name == "rejected_events":
-            return classify.rejected_events(
-                self._read("staging/ingest_rejections"), self.classified(REJECTED)
-            )
+            return classify.rejected_events(self.stored_rejections(), self.classified(REJECTED))
         if name == "expected_event_names":
             return self._contract()
         if name in PARTITIONED:

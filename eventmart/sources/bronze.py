@@ -14,6 +14,7 @@ from eventmart.sources.jsonl import (
     EVENT_FILES,
     list_event_files,
     parse_lines,
+    read_chosen_lines,
     read_lines,
 )
 
@@ -64,7 +65,29 @@ def ingest_events(
 ) -> None:
     """Load the event files of a directory into the bronze table. Safe to repeat."""
     lines = read_lines(spark, raw_dir, pattern, scratch)
-    markers = file_markers(list_event_files(spark, raw_dir, pattern), ingested_at)
+    replace_lines(lines, list_event_files(spark, raw_dir, pattern), path, ingested_at)
+
+
+def ingest_files(
+    spark: SparkSession,
+    files: DataFrame,
+    path: str,
+    ingested_at: datetime,
+    pattern: str = EVENT_FILES,
+    scratch: str | None = None,
+) -> None:
+    """Load files as ``list_event_files`` lists them; their names reach the driver."""
+    paths = [row.path for row in files.filter("length > 0").select("path").collect()]
+    if paths:
+        lines = read_chosen_lines(spark, paths, pattern, scratch)
+    else:
+        lines = spark.createDataFrame([], "value string, source_file string, line_number bigint")
+    replace_lines(lines, files, path, ingested_at)
+
+
+def replace_lines(lines: DataFrame, files: DataFrame, path: str, ingested_at: datetime) -> None:
+    """Parse the lines of some files and replace those files in the bronze table."""
+    markers = file_markers(files, ingested_at)
     replace_by_file(
         parse_lines(lines, ingested_at).unionByName(markers, allowMissingColumns=True), path
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -25,7 +26,10 @@ UNLIMITED = {name: "2147483647" for name in ("maxNestingDepth", "maxNumLen", "ma
 
 
 def list_event_files(spark: SparkSession, raw_dir: str, pattern: str = EVENT_FILES) -> DataFrame:
-    """``(source_file, length)`` per event file; raises if there is none. Reads no content."""
+    """``(path, source_file, length, modified)`` per event file; raises if there is none.
+
+    Reads no content.
+    """
     path = f"{raw_dir.rstrip('/')}/{pattern}"
     try:
         found = spark.read.format("binaryFile").load(path)
@@ -33,21 +37,30 @@ def list_event_files(spark: SparkSession, raw_dir: str, pattern: str = EVENT_FIL
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no event files match {path}") from error
         raise
-    # Spark's scans pass over empty files, so these come from the file system itself.
-    empty = spark.createDataFrame(
-        [(name, 0) for name in _empty_files(spark, path)], "path string, length bigint"
-    )
-    return (
-        found.select("path", "length")
-        .unionAll(empty)
-        .select(_source_file(F.col("path"), pattern).alias("source_file"), "length")
+    return named_files(
+        found.select("path", "length", F.col("modificationTime").alias("modified")).unionAll(
+            empty_files(spark, path)
+        ),
+        pattern,
     )
 
 
-def _empty_files(spark: SparkSession, path: str) -> list[str]:
+def named_files(files: DataFrame, pattern: str) -> DataFrame:
+    named = source_file(F.col("path"), pattern).alias("source_file")
+    return files.select("path", named, "length", "modified")
+
+
+def empty_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files without a byte that match a path; Spark's scans pass over them."""
     glob = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob)
-    return [file.getPath().toString() for file in files if file.getLen() == 0 and file.isFile()]
+    files = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob) or []
+    empty = [
+        (file.getPath().toString(), 0, file.getModificationTime())
+        for file in files
+        if file.getLen() == 0 and file.isFile()
+    ]
+    listed = spark.createDataFrame(empty, "path string, length bigint, millis bigint")
+    return listed.select("path", "length", F.timestamp_millis("millis").alias("modified"))
 
 
 def read_lines(
@@ -61,7 +74,22 @@ def read_lines(
     it small, and by their split otherwise.
     """
     list_event_files(spark, raw_dir, pattern)
-    lines = spark.read.text(f"{raw_dir.rstrip('/')}/{pattern}").select(
+    text = spark.read.text(f"{raw_dir.rstrip('/')}/{pattern}")
+    return number_lines(text, pattern, scratch)
+
+
+def read_chosen_lines(
+    spark: SparkSession, files: list[str], pattern: str = EVENT_FILES, scratch: str | None = None
+) -> DataFrame:
+    """The lines of files given by their full paths, which are no patterns."""
+    literal = [re.sub(r"([\\*?\[\]{}])", r"\\\1", file) for file in files]
+    text = spark.read.schema("value string").text(literal)
+    return number_lines(text, pattern, scratch)
+
+
+def number_lines(text: DataFrame, pattern: str, scratch: str | None = None) -> DataFrame:
+    """Lines of text files with their file and their number in it, as ``read_lines`` has them."""
+    lines = text.select(
         "value",
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("split_start"),
@@ -88,12 +116,12 @@ def read_lines(
     offsets = materialize(offsets, "line-offsets", scratch)
     return lines.join(offsets, ["file_path", "split_start"]).select(
         "value",
-        _source_file(decoded_path(F.col("file_path")), pattern).alias("source_file"),
+        source_file(decoded_path(F.col("file_path")), pattern).alias("source_file"),
         (F.col("position") + F.col("shift")).alias("line_number"),
     )
 
 
-def _source_file(path: Column, pattern: str) -> Column:
+def source_file(path: Column, pattern: str) -> Column:
     """The path below the raw directory: as many components as the pattern has."""
     return F.substring_index(path, "/", -(pattern.count("/") + 1))
 

@@ -80,6 +80,11 @@ def ingest_metadata(
 
 
 def read_metadata_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return read_stored(spark, path, schema).filter(F.col("ingested_at").isNotNull())
+
+
+def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """With the rows that only mark a file."""
     stored = T.StructType(
         [
             *schema.fields,
@@ -87,7 +92,7 @@ def read_metadata_table(spark: SparkSession, path: str, schema: T.StructType) ->
             T.StructField("source_file", T.StringType()),
         ]
     )
-    return spark.read.schema(stored).parquet(path).filter(F.col("ingested_at").isNotNull())
+    return spark.read.schema(stored).parquet(path)
 
 
 def contract_seed(spark: SparkSession, csv_path: str | None = None) -> DataFrame:

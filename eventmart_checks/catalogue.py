@@ -16,11 +16,13 @@ from eventmart.functions import scalar
 from eventmart.functions.scalar import money_sum, ratio, reason_bucket
 from eventmart.operators import classify, marts, quality
 from eventmart.operators.quantiles import histogram_quantiles
-from eventmart.plans import consumers, reports
+from eventmart.plans import consumers, monitoring, reports
 from eventmart.plans.warehouse import CLEAN, REJECTED, Warehouse
-from eventmart.schemas import EVENT_KEYS, METRICS
+from eventmart.schemas import EVENT_KEYS, FUNNEL_STAGES, METRICS
 from eventmart.session import materialize, scratch_dir
 from eventmart.sources import bronze, jsonl, metadata
+from eventmart.streaming import costs
+from eventmart.streaming import ingest as stream
 from eventmart_checks import feed
 from eventmart_checks.expected import sql
 
@@ -762,7 +764,7 @@ def having_count(spark, sf_dir):
     "WHERE coalesce(rejection_reason, 'duplicate_event_id') = 'duplicate_event_id'",
 )
 def dedup_first_received(spark, sf_dir):
-    validated = feed.validated(spark, sf_dir)
+    validated = materialize(feed.validated(spark, sf_dir), "validated")
     repeated = materialize(classify.repeated_events(validated), "repeated")
     marked = classify.mark_duplicates(validated, repeated)
     reason = F.col("rejection_reason")
@@ -1189,3 +1191,121 @@ def reject_reason_counts(spark, sf_dir):
 )
 def reject_listing(spark, sf_dir):
     return consumers.reject_listing(mart(spark, sf_dir, "rejected_events"))
+
+
+# -- beyond the batch: streams, alerts, ordered funnel ----------------------------------------------
+
+
+@query(
+    "x01_stream_ingest",
+    """SELECT source_file, count(*) - count(reason) AS events_loaded,
+              count(reason) AS lines_rejected, 0::BIGINT AS lines_beyond_limits
+       FROM (SELECT source_file, NULL AS reason FROM f
+             UNION ALL SELECT source_file, reason FROM bad) GROUP BY source_file""",
+)
+def stream_ingest(spark, sf_dir):
+    """The feed's daily files through the stream, seven files a micro-batch."""
+    loaded = Warehouse(spark, scratch_dir(spark, "stream"))
+    folder = feed.write_daily_files(spark, feed.lines(spark, sf_dir), "stream-files")
+    stream.ingest_available(loaded, folder, files_per_batch=7, clock=lambda: feed.INGESTED_AT)
+    return loaded.ingest_stats()
+
+
+@query(
+    "x02_hourly_costs",
+    """SELECT date_trunc('hour', event_ts) AS hour, account_id, model, count(*) AS calls,
+              count(*) - count(cost_usd) AS uncosted_calls,
+              sum(total_tokens)::BIGINT AS total_tokens,
+              sum(cost_usd::DECIMAL(18, 6))::DOUBLE AS cost_usd
+       FROM i GROUP BY ALL""",
+)
+def hourly_costs(spark, sf_dir):
+    """Costs kept up to date by a stream; nothing is late, as the ids of all days are held."""
+    loaded = Warehouse(spark, scratch_dir(spark, "stream"))
+    for name, rows in (("accounts", feed.accounts(spark, sf_dir)), ("users", feed.users(spark, sf_dir))):
+        feed.store_metadata(loaded, name, rows)
+    folder = feed.write_daily_files(spark, feed.lines(spark, sf_dir), "stream-files")
+    costs.cost_stream(loaded, folder, late="400 days", files_per_batch=11).awaitTermination()
+    return costs.hourly_costs(loaded)
+
+
+SIGNALS = """
+    l AS (SELECT regexp_extract(source_file, '[0-9-]{10}')::DATE AS day, event_name, NULL AS reason
+          FROM s UNION ALL SELECT regexp_extract(source_file, '[0-9-]{10}')::DATE, event_name,
+          rejection_reason FROM rejected),
+    signals AS (SELECT 'volume' AS signal, event_name AS key, day, count(*) AS value FROM l
+          WHERE event_name IS NOT NULL GROUP BY ALL
+          UNION ALL SELECT 'reject_rate', reason, day, 1000000 * count(*) // any_value(total)
+          FROM l JOIN (SELECT day, count(*) AS total FROM l GROUP BY day) USING (day)
+          WHERE reason IS NOT NULL GROUP BY reason, day),
+    days AS (SELECT signal, key, unnest(generate_series(lo, hi, INTERVAL 1 DAY))::DATE AS day
+          FROM (SELECT DISTINCT signal, key FROM signals),
+               (SELECT min(day)::TIMESTAMP AS lo, max(day)::TIMESTAMP AS hi FROM signals)),
+    filled AS (SELECT signal, key, day, coalesce(value, 0)::BIGINT AS value
+          FROM days LEFT JOIN signals USING (signal, key, day)),
+    judged AS (SELECT *, count(*) OVER w AS n, avg(value) OVER w AS mean, sum(value) OVER w AS total,
+          sum(value::HUGEINT * value) OVER w AS squares FROM filled WINDOW w AS (
+          PARTITION BY signal, key ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))"""
+
+
+@query(
+    "x03_volume_anomalies",
+    f"""SELECT signal, key, day, value, round(mean, 3) AS baseline,
+              abs(7 * value - total) > 140
+              AND (7 * value - total) ** 2 > 9 * (7 * squares - total ** 2) AS is_anomaly
+        FROM (WITH {SIGNALS} SELECT * FROM judged) WHERE n = 7""",
+)
+def volume_anomalies(spark, sf_dir):
+    built = feed.warehouse(spark, sf_dir)
+    signals = monitoring.daily_signals(built.table("stg_events"), built.table("rejected_events"))
+    return monitoring.signal_anomalies(signals)
+
+
+@query(
+    "x04_cost_anomalies",
+    """SELECT account_id, model, day::DATE AS event_date, round(value / 1000000, 6) AS cost_usd,
+              round(middle2 / 2000000, 6) AS median_usd, round(spread4 / 4000000, 6) AS deviation_usd,
+              change2 > 20000 AND 2 * change2 > 5 * spread4 AS is_anomaly
+       FROM (SELECT *, abs(2 * value - middle2) AS change2,
+                    list_sort(list_transform(past, lambda x: abs(2 * x - middle2))) AS apart,
+                    apart[(len(past) + 1) // 2] + apart[len(past) // 2 + 1] AS spread4
+             FROM (SELECT *, list_sort(past) AS ordered,
+                          ordered[(len(past) + 1) // 2] + ordered[len(past) // 2 + 1] AS middle2
+                   FROM (SELECT account_id, model, day, value, list(value) OVER (
+                           PARTITION BY account_id, model ORDER BY day
+                           ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING) AS past
+                         FROM (SELECT account_id, model, day, coalesce(value, 0) AS value FROM (
+                             SELECT account_id, model, unnest(generate_series(min(event_date)::TIMESTAMP,
+                               (SELECT max(event_date)::TIMESTAMP FROM i), INTERVAL 1 DAY)) AS day
+                             FROM i GROUP BY account_id, model)
+                           LEFT JOIN (SELECT account_id, model, event_date::TIMESTAMP AS day,
+                               sum(round(cost_usd_estimated::DECIMAL(30, 15) * 1000000))::BIGINT AS value
+                             FROM i GROUP BY ALL) USING (account_id, model, day)))
+                   WHERE len(past) >= 7))""",
+)
+def cost_anomalies(spark, sf_dir):
+    return monitoring.cost_baselines(
+        monitoring.daily_costs(mart(spark, sf_dir, "fact_ai_interactions"))
+    )
+
+
+def _chain(order: int) -> str:
+    """The earliest event of a stage after the chain so far, as SQL."""
+    stage = FUNNEL_STAGES[order - 1]
+    if order == 1:
+        return f"""t1 AS (SELECT session_id, min((event_ts, event_id)) AS m FROM s
+            WHERE session_id IS NOT NULL AND event_name = '{stage}' GROUP BY session_id)"""
+    return f"""t{order} AS (SELECT session_id, min((event_ts, event_id)) AS m FROM s
+        JOIN t{order - 1} USING (session_id) WHERE event_name = '{stage}'
+        AND (event_ts, event_id) > t{order - 1}.m GROUP BY session_id)"""
+
+
+@query(
+    "x05_ordered_funnel",
+    f"""SELECT stage_order::INTEGER AS stage_order, stage, sessions,
+              round(100.0 * sessions / max(sessions) OVER (), 1)::DOUBLE AS pct_of_started
+        FROM (WITH {', '.join(map(_chain, range(1, 6)))}
+              {' UNION ALL '.join(f"SELECT {k} AS stage_order, '{FUNNEL_STAGES[k - 1]}' AS stage, count(*) AS sessions FROM t{k}" for k in range(1, 6))})""",
+)
+def ordered_funnel(spark, sf_dir):
+    return feed.warehouse(spark, sf_dir).report("ordered_session_funnel")

@@ -277,9 +277,8 @@ def write_files(spark: SparkSession, sf_dir: str, label: str) -> str:
     return folder
 
 
-def ingest_daily_files(loaded: Warehouse, rows: DataFrame, label: str) -> None:
-    """Lines written as one text file per day and ingested under the days' own file names."""
-    spark = loaded.spark
+def write_daily_files(spark: SparkSession, rows: DataFrame, label: str) -> str:
+    """Lines as one text file per day under the days' own file names; returns the folder."""
     folder = scratch_dir(spark, label)
     (
         rows.select(F.col("source_file").alias("day"), "line_number", "value")
@@ -294,6 +293,11 @@ def ingest_daily_files(loaded: Warehouse, rows: DataFrame, label: str) -> None:
     for part in files.globStatus(path(f"{folder}/day=*/*.txt")):  # Spark chose their names
         day = part.getPath().getParent().getName().removeprefix("day=")
         files.rename(part.getPath(), path(folder, day))
+    return folder
+
+
+def ingest_daily_files(loaded: Warehouse, rows: DataFrame, label: str) -> None:
+    folder = write_daily_files(loaded.spark, rows, label)
     loaded.ingest(folder, INGESTED_AT, accounts=None, users=None)
 
 
@@ -327,17 +331,20 @@ def load(spark: SparkSession, sf_dir: str, root: str) -> Warehouse:
     by_file = lines(spark, sf_dir).hint("rebalance", "source_file")
     bronze.replace_by_file(parse_lines(by_file, INGESTED_AT), loaded.path("raw/lines"))
     for name, rows in (("accounts", accounts(spark, sf_dir)), ("users", users(spark, sf_dir))):
-        bronze.replace_by_file(
-            rows.select(
-                "*",
-                utc_literal(INGESTED_AT).alias("ingested_at"),
-                F.lit(f"{name}.csv").alias("source_file"),
-            ),
-            loaded.path(f"raw/{name}"),
-        )
+        store_metadata(loaded, name, rows)
     return loaded
 
 
+def store_metadata(loaded: Warehouse, name: str, rows: DataFrame) -> None:
+    """Rows in the raw layer, as if read from ``<name>.csv``."""
+    stored = rows.select(
+        "*",
+        utc_literal(INGESTED_AT).alias("ingested_at"),
+        F.lit(f"{name}.csv").alias("source_file"),
+    )
+    bronze.replace_by_file(stored, loaded.path(f"raw/{name}"))
+
+
 _built: dict[tuple[str, str], Warehouse] = {}
 _building = threading.Lock()
 
