@@ -44,8 +44,11 @@ from eventmart.session import materialize
 CHUNK_RUNS = 500_000
 HEAVY = 1 / 2000  # of a task's runs
 HEAVY_LEAST = 16
-MANY, PASSED = 1 << 16, 1 << 17  # bits of a run's shape above its length and anchor place
-RUNS = "h long, c long, shape int, doc_id long, variant long, pos long"
+# A run's shape: its length in the low half, its anchor's place in the high one, two flags.
+HALF = 30
+LOW = (1 << HALF) - 1
+MANY, PASSED = 1 << 2 * HALF, 1 << 2 * HALF + 1
+RUNS = "h long, c long, shape long, doc_id long, variant long, pos long"
 MARKS = "doc_id long, variant long, pos long, count int, place int, h long"
 CONTEXTS = "h long, doc_id long, variant long, pos long, count int, place int, context binary"
 SPANS = "doc_id long, variant long, start long, stop long"
@@ -153,7 +156,7 @@ class _Chunk:
     def add(self, batch: pa.RecordBatch, runs: Runs) -> None:
         ids, null = _ids(batch.column("doc_id"))
         variant = batch.column("variant").to_numpy()
-        shape = runs.count | runs.place << 8
+        shape = runs.count.astype(np.int64) | runs.place.astype(np.int64) << HALF
         doc = runs.doc
         self.parts.append(
             (runs.h, runs.c, shape, ids[doc], null[doc], variant[doc], runs.pos)
@@ -185,7 +188,7 @@ def _one_of_each(columns: list[np.ndarray]) -> pa.RecordBatch:
     h = np.where(passed, mix(h + ids.astype(np.uint64) + pos.astype(np.uint64)), h)
     return pa.RecordBatch.from_arrays(
         [pa.array(h.view(np.int64)[kept]), pa.array(c.view(np.int64)[kept]),
-         pa.array(shape[kept].astype(np.int32)), pa.array(ids[kept], mask=null[kept]),
+         pa.array(shape[kept]), pa.array(ids[kept], mask=null[kept]),
          pa.array(variant[kept]), pa.array(pos[kept].astype(np.int64))],
         ["h", "c", "shape", "doc_id", "variant", "pos"],
     )
@@ -301,8 +304,8 @@ def _marks(spec: Spec):
             anchors = pa.array(h[chosen], mask=np.arange(len(chosen)) < len(chosen) - len(asked))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[chosen], mask=null[chosen]), pa.array(variant[chosen]),
-                 pa.array(pos[chosen]), pa.array((shape[chosen] & 0xFF).astype(np.int32)),
-                 pa.array((shape[chosen] >> 8 & 0xFF).astype(np.int32)), anchors],
+                 pa.array(pos[chosen]), pa.array((shape[chosen] & LOW).astype(np.int32)),
+                 pa.array((shape[chosen] >> HALF & LOW).astype(np.int32)), anchors],
                 ["doc_id", "variant", "pos", "count", "place", "h"],
             )
 
