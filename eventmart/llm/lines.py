@@ -18,6 +18,7 @@ BLANK = b" \t\n\x0b\x0c\r"
 SLOTS = 4
 KICKS = 500
 DOCS_PER_SHARD = 1000
+STEPS = 2
 STATE = "shard int, k1 long, k2 long, docs long, filter binary"
 
 
@@ -283,8 +284,16 @@ class LineIndex:
 def drop_frequent_lines(
     documents: DataFrame, min_docs: int = 10, min_chars: int = 1, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """``LineIndex.clean`` of the documents against an index of themselves."""
+    """``LineIndex.clean`` of the documents against an index of themselves.
+
+    The index grows in ``STEPS`` insertions of documents chosen by a hash, so the later ones
+    ask the filters which of their keys the earlier ones brought.
+    """
     spark = documents.sparkSession
     shards = 1 + documents.count() // DOCS_PER_SHARD
-    index = LineIndex(spark, shards, min_docs, min_chars).insert(documents)
+    index = LineIndex(spark, shards, min_docs, min_chars)
+    texts = pick(documents, "doc_id", "text")
+    step = F.pmod(F.xxhash64("doc_id"), F.lit(STEPS))
+    for number in range(STEPS):
+        index.insert(texts.filter(step == number))
     return index.clean(documents, keep)
