@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,17 +11,40 @@ from pyspark.sql import functions as F
 from eventmart.llm.common import pick, text_or_empty
 from eventmart.session import materialize
 
-BUNDLES_PER_SHARD = 1024
+SALTS = 64
 
 
-def schedule(sizes: list[tuple[int, tuple]], shards: int) -> dict[tuple, int]:
-    """Longest first, each to the shard with the least load (ties: smaller shard)."""
+def schedule(sizes: list[tuple[int, int]], shards: int) -> dict[int, list[int]]:
+    """How many groups of each size each shard gets, from (size, number of groups).
+
+    Longest first, each group to the shard with the least load (ties: smaller shard). Of
+    very many groups of one size, those that fill the shards up to a common level are
+    counted out at once; the last ones go through the heap one by one, as do all of few.
+    """
     heap = [(0, shard) for shard in range(shards)]
     placed = {}
-    for size, name in sorted(sizes, key=lambda x: (-x[0], x[1])):
-        load, shard = heap[0]
-        heapq.heapreplace(heap, (load + size, shard))
-        placed[name] = shard
+    for size, groups in sorted(sizes, reverse=True):
+        given = [0] * shards
+        if not size:
+            given[heap[0][1]], groups = groups, 0
+        if groups > shards:
+            low, high = heap[0][0], heap[0][0] + groups * size
+            while low < high:  # the highest level that the groups can fill the shards to
+                level = (low + high + 1) // 2
+                if sum(max(0, -(-(level - load) // size)) for load, _ in heap) <= groups:
+                    low = level
+                else:
+                    high = level - 1
+            for load, shard in heap:
+                given[shard] = max(0, -(-(low - load) // size))
+            heap = [(load + given[shard] * size, shard) for load, shard in heap]
+            heapq.heapify(heap)
+            groups -= sum(given)
+        for _ in range(groups):
+            load, shard = heap[0]
+            heapq.heapreplace(heap, (load + size, shard))
+            given[shard] += 1
+        placed[size] = given
     return placed
 
 
@@ -28,14 +52,14 @@ def assign(documents: DataFrame, shards: int = 24, overhead: int = 8) -> DataFra
     """``doc_id``, ``size``, ``text_crc32``, ``shard`` and ``slot`` of every document.
 
     ``size`` is the UTF-8 length of the text plus ``overhead``. Documents of equal text
-    form a group, which stays together. Groups above a share of 1/(1024 * shards) of all
-    bytes are scheduled one by one; there can be no more than 1024 * shards of them. The
-    others are first tied into as many bundles by their hash, so the schedule on the
-    driver has a bounded number of entries at any input size; the loads differ by about
-    one bundle, a thousandth of a shard. ``slot`` counts from 0 in each shard without gaps.
+    form a group, which stays together. The schedule needs the groups' sizes only: how many
+    groups there are of each size goes to the driver, one row per distinct size, and comes
+    back as the number of them for each shard. Groups of one size take their places in the
+    order of their texts' hashes. ``slot`` counts from 0 in each shard without gaps.
 
-    A null text counts as an empty one; null or repeated ids are rows like any other;
-    an empty table gives an empty result; other columns are ignored.
+    A null text counts as an empty one; null or repeated ids are rows like any other, and
+    keep no order among equal texts; an empty table gives an empty result; other columns
+    are ignored. Texts are measured and hashed whole.
     """
     spark = documents.sparkSession
     text = text_or_empty()
@@ -49,33 +73,31 @@ def assign(documents: DataFrame, shards: int = 24, overhead: int = 8) -> DataFra
         "shard-rows",
     )
     key = ["text_hash", "text_crc32", "size"]
-    limit = shards * BUNDLES_PER_SHARD
+    groups = rows.groupBy(*key).agg((F.count("*") * F.col("size")).alias("bytes"))
     groups = materialize(
-        rows.groupBy(*key).agg((F.count("*") * F.col("size")).alias("bytes")), "shard-groups"
+        groups.withColumn("salt", F.pmod("text_hash", F.lit(SALTS)).cast("int")), "shard-groups"
     )
-    total = groups.agg(F.sum("bytes")).first()[0] or 0
-    large = F.col("bytes") * limit > total
-    bundle = F.pmod("text_hash", F.lit(limit)).cast("int")
-    sizes = [(r.bytes, (r.text_hash, r.text_crc32, r.size)) for r in
-             groups.filter(large).select(*key, "bytes").collect()]
-    sizes += [(r.bytes, (r.bundle,)) for r in
-              groups.filter(~large).groupBy(bundle.alias("bundle"))
-              .agg(F.sum("bytes").alias("bytes")).collect()]
-    placed = schedule(sizes, shards)
-    singles = spark.createDataFrame(
-        [(*name, shard) for name, shard in placed.items() if len(name) == 3],
-        "text_hash long, text_crc32 long, size long, single int",
+    sizes = groups.groupBy("bytes").agg(F.count("*").alias("n")).collect()
+    placed = schedule([(r.bytes, r.n) for r in sizes], shards)
+    ends = spark.createDataFrame(
+        [(size, list(accumulate(given))) for size, given in placed.items()],
+        "bytes long, ends array<long>",
     )
-    bundles = spark.createDataFrame(
-        [(*name, shard) for name, shard in placed.items() if len(name) == 1],
-        "bundle int, bundled int",
+    # A group's place among those of its size: its place in its salt, after the other salts.
+    by_salt = groups.groupBy("bytes", "salt").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("bytes").orderBy("salt")
+    before = by_salt.select("bytes", "salt", (F.sum("n").over(earlier) - F.col("n")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("bytes", "salt").orderBy("text_hash", "text_crc32"))
+    rank = F.col("before") + F.col("place") - 1
+    group_shards = materialize(
+        groups.withColumn("place", place)
+        .join(before, ["bytes", "salt"])
+        .join(ends, "bytes")
+        .select(*key, F.size(F.filter("ends", lambda end: end <= rank)).alias("shard")),
+        "group-shards",
     )
-    # Both tables have at most 1024 entries per shard.
     placed_rows = materialize(
-        rows.withColumn("bundle", bundle)
-        .join(F.broadcast(bundles), "bundle", "left")
-        .join(F.broadcast(singles), key, "left")
-        .select("doc_id", "size", "text_crc32", F.coalesce("single", "bundled").alias("shard")),
+        rows.join(group_shards, key).select("doc_id", "size", "text_crc32", "shard"),
         "shard-places",
     )
     # A slot is the place in a written file plus the rows of the shard in earlier files,
