@@ -3,6 +3,7 @@
 import math
 import random
 from collections import Counter, defaultdict
+from fractions import Fraction
 from zlib import crc32
 
 import numpy as np
@@ -55,22 +56,29 @@ def test_url_rules(spark):
     assert urls.judge(table.limit(0), urls.rule_table(spark, RULES)).count() == 0
 
 
-def test_schedule_is_longest_first():
-    assert schedule_loads([7, 6, 5, 4, 3], 2) == [14, 11]  # 7+4+3, 6+5
-    random.seed(2)
-    sizes = [random.randrange(1, 1000) for _ in range(500)]
-    loads = schedule_loads(sizes, 24)
-    assert max(loads) - min(loads) <= min(sizes) + 40
-
-
-def schedule_loads(sizes, count):
-    placed = shards.schedule([(size, (i,)) for i, size in enumerate(sizes)], count)
+def longest_first(sizes, count):
     loads = [0] * count
-    for (i,), shard in placed.items():
-        loads[shard] += sizes[i]
+    for size in sorted(sizes, reverse=True):
+        loads[loads.index(min(loads))] += size
     return loads
 
 
+def scheduled(sizes, count):
+    placed = shards.schedule(list(Counter(sizes).items()), count)
+    assert {size: sum(given) for size, given in placed.items()} == Counter(sizes)
+    return [sum(size * given[i] for size, given in placed.items()) for i in range(count)]
+
+
+def test_schedule_is_longest_first():
+    assert scheduled([7, 6, 5, 4, 3], 2) == [14, 11]  # 7+4+3, 6+5
+    random.seed(2)
+    for most, number in ((1000, 500), (5, 900), (3, 40), (10**9, 30)):
+        sizes = [random.randrange(most) for _ in range(number)]
+        for count in (1, 2, 24):
+            assert scheduled(sizes, count) == longest_first(sizes, count)
+    assert sum(scheduled([8] * 10**6 + [9] * 10**6, 24)) == 17 * 10**6
+
+
 def test_sharding(spark, documents):
     made = rows() + [(1000 + i, "copy " * 30) for i in range(90)]
     table = documents(made).selectExpr("*", "1 AS size", "2 AS shard", "3 AS file", "4 AS `Text`")
@@ -87,13 +95,20 @@ def test_sharding(spark, documents):
     assert shards.assign(documents([]), 6).count() == 0
 
 
-def test_shards_are_nearly_equal(documents):
+def test_loads_are_those_of_longest_first(documents):
+    """One rule for large groups, groups of copies, and very many groups of one size."""
     random.seed(4)
-    table = documents([(i, "t" * random.randrange(2000) + str(i)) for i in range(3000)])
-    loads = Counter()
-    for r in shards.assign(table, 24).collect():
-        loads[r.shard] += r.size
-    assert max(loads.values()) <= 1.005 * min(loads.values())
+    made = [(i, "t" * random.randrange(300) + str(i)) for i in range(1500)]
+    made += [(2000 + i, f"{i:04d}") for i in range(1500)] + [(4000 + i, "copy") for i in range(300)]
+    made += [(5000 + i, "long " * 2000) for i in range(3)]
+    for count in (3, 24):
+        loads = Counter()
+        for r in shards.assign(documents(made), count).collect():
+            loads[r.shard] += r.size
+        sizes = Counter()
+        for _, text in made:
+            sizes[text] += len(text) + 8
+        assert [loads[i] for i in range(count)] == longest_first(sizes.values(), count)
 
 
 def top(vectors, every, k, scale=256):
@@ -101,12 +116,13 @@ def top(vectors, every, k, scale=256):
     for i, v in vectors:
         if i is None or not v or any(x is None or not math.isfinite(x) for x in v):
             continue
-        v = [math.floor(scale * x) for x in v]
         best[i] = min(best.get(i, v), v)
+    best = {i: [math.floor(scale * Fraction(x)) for x in v] for i, v in best.items()}
+    longest = 2**63 - 1
     for q, a in best.items():
         if q % every == 0:
             scores = sorted(
-                (-sum(x * y for x, y in zip(a, b)), i)
+                (-max(-longest - 1, min(longest, sum(x * y for x, y in zip(a, b)))), i)
                 for i, b in best.items() if i != q and len(b) == len(a)
             )
             yield from ((q, rank, i, -s) for rank, (s, i) in enumerate(scores[:k], 1))
@@ -123,7 +139,9 @@ def test_top_k(spark, monkeypatch, block):
     vectors = [(i, draw(8)) for i in range(60)] + [(100 + i, same) for i in range(15)]
     vectors += [(200, None), (201, []), (202, [1.0, None]), (203, [math.nan] * 8), (None, same)]
     vectors += [(204, [math.inf] * 8), (0, draw(8)), (5, same), (5, same), (210, [0.5, -0.5]),
-                (215, [0.25, 1.0]), (220, [0.0] * 8), (-5, draw(8)), (230, [1e6] * 8)]
+                (215, [0.25, 1.0]), (220, [0.0] * 8), (-5, draw(8)), (230, [1e6] * 8),
+                (231, [1e7, 0.0] * 4), (232, [-1e7] + [0.0] * 7), (235, [3e7] + [0.25] * 7),
+                (236, [1e300] * 8), (240, [-1e308, 1.0] * 4), (245, [2.0**55, 0.5] * 4)]
     table = spark.createDataFrame(
         [(i, v, 0, 1) for i, v in vectors], "vec_id long, embedding array<double>, rank int, dims int"
     )
@@ -134,9 +152,28 @@ def test_top_k(spark, monkeypatch, block):
 
 def test_block_with_sums_beyond_doubles():
     rng = np.random.default_rng(1)
-    rows_ = rng.integers(-(2**29), 2**29, (40, 4))
-    ids = np.arange(40)
-    query, row, score = topk.block_top_k(rows_[:3], ids[:3], rows_, ids, 5)
-    for q in range(3):
-        exact = sorted((-sum(int(x) * int(y) for x, y in zip(rows_[q], rows_[i])), i) for i in range(40) if i != q)[:5]
-        assert [(-int(s), int(i)) for s, i in zip(score[query == q], row[query == q])] == exact
+    for most in (2**29, 2**40):
+        rows_ = rng.integers(-most, most, (40, 4)).astype(object)
+        ids = np.arange(40)
+        query, row, score = topk.block_top_k(rows_[:3], ids[:3], rows_, ids, 5)
+        for q in range(3):
+            exact = sorted(
+                (-max(-(2**63), min(2**63 - 1, sum(x * y for x, y in zip(rows_[q], rows_[i])))), i)
+                for i in range(40) if i != q
+            )[:5]
+            assert [(-int(s), int(i)) for s, i in zip(score[query == q], row[query == q])] == exact
+
+
+def test_lists_are_read_until_outsiders_cannot_qualify():
+    """Rows of very uneven size: the best lie in front of all lists. Alike rows: all is read."""
+    rng = np.random.default_rng(2)
+    alike = np.abs(np.floor(256 * rng.normal(size=(4096, 32))))
+    uneven = np.floor(alike * (1 + rng.pareto(1.0, (4096, 1))))
+    ids = np.arange(4096)
+    for rows_, least, most in ((alike, 0.3, 1.0), (uneven, 0.0, 0.1)):
+        read = []
+        query, row, score = topk.block_top_k(alike[:64], ids[:64], rows_, ids, 5, read)
+        assert least <= sum(read) / (64 * 4096 * 32) <= most
+        exact = alike[:64] @ rows_.T
+        exact[np.arange(64), np.arange(64)] = -1
+        assert (np.sort(exact, axis=1)[:, :-6:-1].ravel() == score).all()

@@ -1,11 +1,12 @@
 """Quality, line dedup, suffix dedup, substring dedup and the Jaccard join against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
 import pytest
-from cases import documents, rows  # noqa: F401
+from cases import WORDS, documents, rows  # noqa: F401
 
 from eventmart.llm import jaccard, lines, quality, suffixes, factors, windows
 
@@ -119,6 +120,34 @@ def test_deleted_documents_leave_the_line_index_as_it_was(spark, documents):
     assert index.delete(first).counts().count() == 0
 
 
+def test_the_index_asks_its_filter(monkeypatch):
+    """Keys that the filter does not hold are not looked up; those it holds are added to."""
+    import pandas as pd
+
+    asked = []
+    may_hold = lines.CuckooFilter.may_hold
+
+    def watched(self, k1, k2):
+        answer = may_hold(self, k1, k2)
+        asked.append(int(answer.sum()))
+        return answer
+
+    monkeypatch.setattr(lines.CuckooFilter, "may_hold", watched)
+    keys = [lines.digest(b"%d" % i) for i in range(3000)]
+
+    def change(part, docs):
+        return pd.DataFrame([(0, *key, docs) for key in part], columns=["shard", "k1", "k2", "docs"])
+
+    state = pd.DataFrame({"shard": [], "k1": [], "k2": [], "docs": [], "filter": []})
+    for part, docs in ((keys[:2000], 2), (keys[1500:], 3), (keys[:100], -2)):
+        state = lines._merge(state, change(part, docs))
+    counts = state[state["filter"].isna()]
+    left = {(r.k1, r.k2): r.docs for r in counts.itertuples()}
+    expected = {key: 2 * (i < 2000) + 3 * (i >= 1500) for i, key in enumerate(keys) if i >= 100}
+    assert left == expected
+    assert asked[0] == 0 and 500 <= asked[1] <= 520 and asked[2] == 100
+
+
 def test_cuckoo_filter_holds_what_was_added():
     import numpy as np
 
@@ -186,6 +215,35 @@ def test_suffix_dedup(docs, none, heavy, size):
     assert suffixes.remove_repeats(none, size).count() == 0
 
 
+def shifted(words):
+    """Texts that share stretches of a long passage, at other places and to other ends."""
+    draw = random.Random(12)
+    line = [draw.choice(WORDS) for _ in range(words)]
+    made = []
+    for i in range(14):
+        first, last = sorted(draw.sample(range(words + 1), 2))
+        made.append((i, " ".join([f"begin{i}", *line[first:last], f"end{i}", *line[:i]])))
+    return made
+
+
+@pytest.mark.parametrize("window", [384, 600])
+def test_long_windows_of_bytes(documents, window):
+    made = shifted(700)
+    expected = dict(without_later(made, window))
+    result = suffixes.remove_repeats(documents(made), window)
+    assert found(result, "doc_id", "n_bytes", "n_removed", "n_spans", "kept") == Counter(
+        (row[0], *expected[row]) for row in made
+    )
+
+
+@pytest.mark.parametrize("window", [340, 400])
+def test_long_windows_of_words(documents, window):
+    made = shifted(2500)
+    result = factors.remove_repeats(documents(made), window)
+    expected = Counter(without_repeats(made, window))
+    assert found(result, "doc_id", "n_words", "n_removed", "text") == expected
+
+
 def test_suffix_dedup_as_text_drops_whole_characters(documents):
     texts = ["é" * 60 + "ab" + "ü" * 60, "x" + "é" * 59 + "yé" + "é" * 60]
     kept = found(suffixes.remove_repeats(documents(texts), 100, as_text=True), "doc_id", "text")
