@@ -147,8 +147,8 @@ def cost_baselines(
         *pair,
         F.col("day").alias("event_date"),
         F.round(F.col("value") / MILLION, 6).alias("cost_usd"),
-        F.round(F.col("median2") / (2 * MILLION), 6).alias("median_usd"),
-        F.round(F.col("spread4") / (4 * MILLION), 6).alias("deviation_usd"),
+        F.round(F.col("median2") / (2 * MILLION), 7).alias("median_usd"),
+        F.round(F.col("spread4") / (4 * MILLION), 8).alias("deviation_usd"),
         ((change2 > 2 * least_change) & (2 * change2 > deviations * F.col("spread4"))).alias(
             "is_anomaly"
         ),

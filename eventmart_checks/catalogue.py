@@ -1264,7 +1264,7 @@ def volume_anomalies(spark, sf_dir):
 @query(
     "x04_cost_anomalies",
     """SELECT account_id, model, day::DATE AS event_date, round(value / 1000000, 6) AS cost_usd,
-              round(middle2 / 2000000, 6) AS median_usd, round(spread4 / 4000000, 6) AS deviation_usd,
+              round(middle2 / 2000000, 7) AS median_usd, round(spread4 / 4000000, 8) AS deviation_usd,
               change2 > 20000 AND 2 * change2 > 5 * spread4 AS is_anomaly
        FROM (SELECT *, abs(2 * value - middle2) AS change2,
                     list_sort(list_transform(past, lambda x: abs(2 * x - middle2))) AS apart,
