@@ -210,7 +210,10 @@ def encode_decode(documents: DataFrame, ranks_path: str, pattern: str) -> DataFr
     """``doc_id``, ``ids`` (little-endian unsigned 32-bit integers) and ``decoded`` (bytes).
 
     A null text counts as an empty one, which has no ids; null and repeated ids are rows
-    like any other; other columns are ignored. ``ranks_path`` must exist on every worker.
+    like any other, and equal texts get equal ids; an empty table gives an empty one; other
+    columns are ignored. A very long text is encoded whole, by itself, in memory in
+    proportion to it; a very long piece of it takes time in proportion to its length.
+    ``ranks_path`` must exist on every worker.
     """
     prepare(documents.sparkSession)
 

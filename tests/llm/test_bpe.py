@@ -9,6 +9,7 @@ from cases import documents  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from eventmart.llm import bpe
 from eventmart.llm.bpe import RankQueue, encode_decode, load_encoder
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -64,3 +65,22 @@ def test_rows(documents):
     found = sorted((str(r[0]), len(r[1]), bytes(r[2]).decode()) for r in coded.collect())
     assert found == sorted((str(i), len(ids(t or "")) * 4, t or "") for i, t in rows)
     assert encode_decode(documents([]), PATH, public_tokenizers.PATTERN).count() == 0
+
+
+def test_what_is_remembered_changes_no_ids(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 25)
+    encoder = bpe.Encoder(ENCODER.ranks, public_tokenizers.PATTERN)
+    draw = random.Random(4)
+    words = ["".join(draw.choices("etaoinshrdlu", k=draw.randrange(1, 14))) for _ in range(300)]
+    for _ in range(60):
+        text = " ".join(draw.choices([*words, "a-b", "x\ny", "!?"], k=30))
+        found = encoder.encode(text)
+        ids_ = [int.from_bytes(found[i : i + 4], "little") for i in range(0, len(found), 4)]
+        assert ids_ == EXPECTED.encode_ordinary(text)
+    assert encoder.parts.older and encoder.parts.older_pieces
+
+
+def test_columns_of_clashing_names(documents):
+    table = documents(["one two", None]).selectExpr("*", "1 AS ids", "2 AS `Text`", "3 AS decoded", "4 AS DOC_ID")
+    found = encode_decode(table, PATH, public_tokenizers.PATTERN).collect()
+    assert sorted((r.doc_id, bytes(r.decoded)) for r in found) == [(0, b"one two"), (1, b"")]
