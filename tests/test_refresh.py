@@ -11,6 +11,16 @@ from eventmart.plans import erasure
 from eventmart.plans.warehouse import BUILT_TABLES
 from eventmart.streaming import costs, ingest
 
+
+@pytest.fixture(autouse=True)
+def few_tasks(spark):
+    """The tables are tiny, and the jobs many."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 DAYS = [f"2025-03-{day:02d}" for day in range(10, 16)]
 
 
