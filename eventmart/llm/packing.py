@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import cache
 from zlib import crc32
@@ -11,11 +12,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from eventmart.llm.common import mix, pick, prepare, slices, text_or_empty
 
-DOCS_PER_GROUP = 4096
+DOCS_PER_GROUP, BYTES_PER_GROUP = 4096, 16 << 20
 REMEMBERED = 400_000  # parts; a worker keeps the ids of twice as many at most
 LONGEST_REMEMBERED = 64
 GROUP_BITS = 24  # bins of a group are numbered below 2**24
@@ -77,6 +79,8 @@ class CachedTokenizer:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        # Every part is encoded once, so the library's own memory of words would only cost.
+        self.tokenizer.model._resize_cache(0)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # By part with the space before it, if any; and what was known before ``known`` grew full.
         self.known: dict[str, bytes] = {}
@@ -92,7 +96,10 @@ class CachedTokenizer:
 
     def _encoded(self, lines: list[str]) -> list[bytes]:
         """The ids of strings, in one go as far as they can share a text."""
-        breaks = [_line_breaks(line) for line in lines]
+        plain = not _OTHER_SPACE.search("".join(lines))
+        breaks = [
+            0 if plain and line and "\n" not in line else _line_breaks(line) for line in lines
+        ]
         joined = [line for line, n in zip(lines, breaks) if n is not None]
         ids = np.array(self._ids("\n".join(joined)), "<u4")
         ends = np.append(np.flatnonzero(ids == self.line_break), len(ids))
@@ -135,6 +142,10 @@ class CachedTokenizer:
         return found
 
 
+# White space but spaces, which only stand in front of a line, and line breaks.
+_OTHER_SPACE = re.compile(r"[^\S\n ]")
+
+
 def _line_breaks(line: str) -> int | None:
     """How many line breaks a string holds, if they are all its white space but a space
     before it, and each lies between other characters; else None."""
@@ -212,14 +223,18 @@ def pack(
     piece), ``length``, ``ids`` (little-endian unsigned 32-bit), ``doc_tokens`` (of the
     whole document), ``sequence_id`` and ``offset`` in the sequence, without gaps from 0.
 
-    Pieces are dealt to random groups of about 4096 documents, whose number grows with
-    the table, and each group is packed by first-fit decreasing on its own. A null or
-    empty text is the end id alone; null and repeated ids are rows like any other; an
-    empty table gives no pieces; other columns are ignored.
+    Pieces are dealt to random groups of about 4096 documents or 16 MB of text, whichever is
+    less; their number grows with the table, and each group is packed by first-fit
+    decreasing on its own. A null or empty text is the end id alone; null and repeated ids
+    are rows like any other; an empty table gives no pieces; other columns are ignored. A
+    very long text is tokenized whole, in memory in proportion to it, and its pieces go to
+    many groups. Pieces of equal length take places in the order in which they arrive, so
+    the places, not the pieces, may differ from run to run.
     """
     prepare(documents.sparkSession)
-    groups = 1 + documents.count() // DOCS_PER_GROUP
     rows = pick(documents, "doc_id", "text").select("doc_id", text_or_empty().alias("text"))
+    size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    groups = 1 + max(size.n // DOCS_PER_GROUP, (size.bytes or 0) // BYTES_PER_GROUP)
     id_type = rows.schema["doc_id"].dataType.simpleString()
     pieces = rows.mapInArrow(
         _cut(tokenizer_path, end_id, capacity, groups),

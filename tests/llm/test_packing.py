@@ -1,5 +1,6 @@
 """Packing: pieces, sequences, and ids against the tokenizer on whole texts."""
 
+import random
 from collections import defaultdict
 
 import numpy as np
@@ -7,6 +8,7 @@ import public_tokenizers
 from cases import documents  # noqa: F401
 from tokenizers import Tokenizer
 
+from eventmart.llm import packing
 from eventmart.llm.packing import Tournament, first_fit_decreasing, pack
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -77,3 +79,34 @@ def test_rows(documents):
 
 def test_no_rows(documents):
     assert pack(documents([]), PATH).count() == 0
+
+
+def test_many_groups(documents, monkeypatch):
+    """Groups by the number of documents, and by their bytes."""
+    made = [(i, f"text {i} " * (1 + i % 40)) for i in range(300)] + [(999, "long " * 30000)]
+    for limits in ((20, 1 << 30), (1 << 30, 5000)):
+        for name, limit in zip(("DOCS_PER_GROUP", "BYTES_PER_GROUP"), limits):
+            monkeypatch.setattr(packing, name, limit)
+        table = documents(made).selectExpr("*", "1 AS start", "2 AS `TEXT`", "3 AS ids", "4 AS bin_group")
+        found = pack(table, PATH, capacity=128).collect()
+        check(made, found, 128)
+        groups = {r.sequence_id >> packing.GROUP_BITS for r in found}
+        assert len(groups) > 10
+
+
+def test_what_is_remembered_changes_no_ids(monkeypatch):
+    """More parts than are kept, in many batches, with odd white space in some of them."""
+    monkeypatch.setattr(packing, "REMEMBERED", 30)
+    tokenizer, plain = packing.CachedTokenizer(PATH), Tokenizer.from_file(PATH)
+    draw = random.Random(3)
+    words = [f"w{draw.randrange(10**draw.randrange(1, 5))}" for _ in range(400)]
+    odd = ["\n", "a\nb", "\t", " ", "", "x\u00a0y", "\u2003", "\n\n", "c\n", "<|endoftext|>", "é" * 80]
+    for batch in range(40):
+        texts = []
+        for _ in range(12):
+            parts = draw.choices(words, k=draw.randrange(30))
+            texts.append(" ".join(parts + (draw.choices(odd, k=3) if batch % 2 else [])))
+        for text, ids in zip(texts, tokenizer.encode(texts)):
+            expected = plain.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(ids, "<u4").tolist() == expected, text
+    assert len(tokenizer.older) > 0
