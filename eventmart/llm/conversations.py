@@ -67,10 +67,11 @@ def _bid(codes: bytes, price: array, low: int, high: int) -> None:
     """Auctions from the nodes of layer ``low``; the prices of layer ``high`` are exact.
 
     Prices start from a bound that holds for every path: the least price of layer ``high``,
-    and deletion for each row in between that is cut or refused. The path's last node takes the best bid among its arcs: if that raises its price, the
-    path contracts by that node, else it extends along the arc. No price is ever above an
-    arc's cost plus the price of its target, and arcs of the path are tight, so a path that
-    arrives has least cost and its first node's price is exact.
+    and deletion for each row in between that is cut or refused. The path's last node takes
+    the best bid among its arcs: if that raises its price, the path contracts by that node,
+    else it extends along the arc. No price is ever above an arc's cost plus the price of
+    its target, and arcs of the path are tight, so a path that arrives has least cost and
+    its first node's price is exact.
     """
     arrived = 4 * high
     bound = min(price[arrived : arrived + 4])

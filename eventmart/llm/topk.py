@@ -68,10 +68,11 @@ def _aggregate(queries, query_ids, rows, row_ids, k, read):
     Each dimension has one list of the rows by descending component, read from the front for
     positive query components and from the back for negative ones, all to the same depth,
     which doubles from round to round. An entry is read once: it adds to what is known of its
-    row's score (for all queries at a time, as a product of matrices of the new entries). The lower bound takes the end of the list for what is not known, the upper
-    bound the place reached. A row whose upper bound is below the k-th largest lower bound
-    is out for good. A query stops when few rows are left, or all has been read; their
-    scores are then resolved. Ties go to the smaller id.
+    row's score (for all queries at a time, as a product of matrices of the new entries).
+    The lower bound takes the end of the list for what is not known, the upper bound the
+    place reached. A row whose upper bound is below the k-th largest lower bound is out for
+    good. A query stops when few rows are left, or all has been read; their scores are then
+    resolved. Ties go to the smaller id.
     """
     n, dims = rows.shape
     kind = _exact_kind(queries, rows)
