@@ -20,7 +20,7 @@ from eventmart.plans import consumers, monitoring, reports
 from eventmart.plans.warehouse import CLEAN, REJECTED, Warehouse
 from eventmart.schemas import EVENT_KEYS, FUNNEL_STAGES, METRICS
 from eventmart.session import materialize, scratch_dir
-from eventmart.sources import bronze, jsonl, metadata
+from eventmart.sources import jsonl, metadata
 from eventmart.streaming import costs
 from eventmart.streaming import ingest as stream
 from eventmart_checks import feed
@@ -1300,12 +1300,17 @@ def _chain(order: int) -> str:
         AND (event_ts, event_id) > t{order - 1}.m GROUP BY session_id)"""
 
 
+def _reached(order: int) -> str:
+    return f"""SELECT {order} AS stage_order, '{FUNNEL_STAGES[order - 1]}' AS stage,
+        count(*) AS sessions FROM t{order}"""
+
+
 @query(
     "x05_ordered_funnel",
     f"""SELECT stage_order::INTEGER AS stage_order, stage, sessions,
               round(100.0 * sessions / max(sessions) OVER (), 1)::DOUBLE AS pct_of_started
         FROM (WITH {', '.join(map(_chain, range(1, 6)))}
-              {' UNION ALL '.join(f"SELECT {k} AS stage_order, '{FUNNEL_STAGES[k - 1]}' AS stage, count(*) AS sessions FROM t{k}" for k in range(1, 6))})""",
+              {' UNION ALL '.join(map(_reached, range(1, 6)))})""",
 )
 def ordered_funnel(spark, sf_dir):
     return feed.warehouse(spark, sf_dir).report("ordered_session_funnel")
