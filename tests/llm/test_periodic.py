@@ -17,8 +17,9 @@ def every_run(words, min_length, repeats):
             while i + period < len(words) and words[i] == words[i + period]:
                 i += 1
             end = i + period
-            shorter = any(words[start : end - p] == words[start + p : end] for p in range(1, period))
-            if end - start >= max(min_length, repeats * period) and not shorter:
+            if end - start >= max(min_length, repeats * period) and not any(
+                words[start : end - p] == words[start + p : end] for p in range(1, period)
+            ):
                 yield start, end - start, period
             i += 1
 
