@@ -1,8 +1,10 @@
 """Scratch folders and settings."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventmart import session
+from eventmart.sources.bronze import replace_by_file
 
 
 class FakeSession:
@@ -43,3 +45,12 @@ def test_materialized_rows_are_the_same(spark):
     assert stored.dtypes == df.dtypes
     assert sorted(map(tuple, stored.collect())) == [(n, None) for n in range(5)]
     assert session.materialize(df.limit(0), "test").count() == 0
+
+
+def test_a_task_of_a_write_by_folder_gets_a_bounded_part_of_a_day(spark, tmp_path):
+    """40 MB of one day: a sort of all of it would spill, had its rows shrunk as lines do."""
+    noise = F.concat(*(F.sha2(F.concat("id", F.lit(f"-{n}")), 512) for n in range(8)))
+    day = spark.range(40_000).select("id", noise.alias("raw_line"), F.lit("d").alias("source_file"))
+    replace_by_file(day.hint("rebalance", "source_file"), str(tmp_path))
+    assert len(list(tmp_path.glob("source_file=d/*.parquet"))) >= 2
+    assert spark.read.parquet(str(tmp_path)).select("id").distinct().count() == 40_000
