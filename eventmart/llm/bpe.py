@@ -17,6 +17,7 @@ LEAF = 8  # bits of a rank that index into one word of the lower bitmap level
 MASK = (1 << LEAF) - 1
 REMEMBERED = 300_000  # parts, and pieces; a worker keeps the ids of twice as many at most
 LONGEST_REMEMBERED = 64
+NO_RANK = 1 << 40  # of a pair that is no token; above every rank
 
 
 class RankQueue:
@@ -146,21 +147,26 @@ class Encoder:
     def merge(self, piece: bytes) -> list[int]:
         """Merge the adjacent pair of lowest rank, the leftmost first, until none is left.
 
-        ``end[i]`` and ``before[i]`` link the tokens that are left, by their first bytes.
+        ``end[i]`` and ``before[i]`` link the tokens that are left, by their first bytes. Only
+        pairs that rank no higher than both neighbours are queued: the lowest is one of them,
+        and any other has to wait until a neighbour is gone.
         """
-        rank_of = self.ranks.get
-        whole = rank_of(piece)
+        ranks = self.ranks
+        whole = ranks.get(piece)
         if whole is not None:
             return [whole]
+        rank_of = ranks.get
         size = len(piece)
         queue = RankQueue()
         push, pop = queue.push, queue.pop
         end = list(range(1, size + 1))
         before = list(range(-1, size))
-        pair = [rank_of(piece[i : i + 2]) for i in range(size - 1)]  # with the successor
-        pair.append(None)
-        for i, rank in enumerate(pair):
-            if rank is not None:
+        # With the successor; two more for the last token and for what is beyond both ends.
+        pair = [rank_of(piece[i : i + 2], NO_RANK) for i in range(size - 1)]
+        pair += NO_RANK, NO_RANK
+        for i in range(size - 1):
+            rank = pair[i]
+            if rank <= pair[i + 1] and rank <= pair[i - 1] and rank < NO_RANK:
                 push(rank, i)
         while queue.upper:
             rank, positions = pop()
@@ -169,28 +175,36 @@ class Encoder:
                     continue  # stale
                 middle = end[i]
                 stop = end[i] = end[middle]
-                pair[middle] = None
                 before[stop] = i
-                lowest = rank
-                new = pair[i] = rank_of(piece[i : end[stop]]) if stop < size else None
-                if new is not None:
-                    push(new, i)
-                    if new < lowest:
-                        lowest = new
+                gone, pair[middle] = pair[middle], NO_RANK
+                right = pair[stop]
+                lowest = new = pair[i] = (
+                    rank_of(piece[i : end[stop]], NO_RANK) if stop < size else NO_RANK
+                )
+                new_left = NO_RANK
                 left = before[i]
                 if left >= 0:
-                    new = pair[left] = rank_of(piece[left:stop])
-                    if new is not None:
-                        push(new, left)
-                        if new < lowest:
-                            lowest = new
+                    was = pair[left]
+                    new_left = pair[left] = rank_of(piece[left:stop], NO_RANK)
+                    if new_left < new:
+                        lowest = new_left
+                    far = before[left]
+                    beyond = pair[far]
+                    if new_left <= new and new_left <= beyond and new_left < NO_RANK:
+                        push(new_left, left)
+                    if was < beyond <= new_left and beyond < NO_RANK and beyond <= pair[before[far]]:
+                        push(beyond, far)
+                if new <= new_left and new <= right and new < NO_RANK:
+                    push(new, i)
+                if gone < right <= new and right < NO_RANK and right <= pair[end[stop]]:
+                    push(right, stop)
                 if lowest < rank:  # the rest of the bucket waits for the lower rank
                     for later in positions[place + 1 :]:
                         push(rank, later)
                     break
         ids, i = [], 0
         while i < size:
-            ids.append(self.ranks[piece[i : end[i]]])
+            ids.append(ranks[piece[i : end[i]]])
             i = end[i]
         return ids
 

@@ -58,6 +58,44 @@ def test_rank_queue_gives_the_lowest_rank_and_its_leftmost_position():
     assert found == [(3, [4, 5]), (255, [0]), (256, [0]), (700, [2, 9]), (49999, [1])]
 
 
+def test_only_the_lowest_of_neighbouring_pairs_are_queued(monkeypatch):
+    queued = []
+
+    class Counted(RankQueue):
+        __slots__ = ()
+
+        def push(self, rank, position):
+            queued.append(rank)
+            super().push(rank, position)
+
+    monkeypatch.setattr(bpe, "RankQueue", Counted)
+    letters = random.Random(6)
+    size = 20000
+    text = "".join(letters.choice("etaoinshrdlu") for _ in range(size))
+    assert ids(text) == EXPECTED.encode_ordinary(text)
+    assert len(queued) < size
+
+
+def test_ranks_in_any_order():
+    """Merges of a lower rank than those they are made of, against the definition."""
+    draw = random.Random(7)
+    for _ in range(300):
+        tokens = {bytes([c]) for c in b"abc"}
+        for _ in range(draw.randrange(1, 25)):
+            tokens.add(draw.choice(sorted(tokens)) + draw.choice(sorted(tokens)))
+        order = draw.sample(range(len(tokens)), len(tokens))
+        ranks = dict(zip(sorted(tokens), order))
+        piece = bytes(draw.choices(b"abc", k=draw.randrange(1, 30)))
+        parts = [piece] if piece in ranks else [bytes([c]) for c in piece]
+        while True:
+            pairs = [(ranks.get(a + b, 1 << 40), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
+            rank, i = min(pairs, default=(1 << 40, 0))
+            if rank == 1 << 40:
+                break
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        assert bpe.Encoder(ranks, r"\S+").merge(piece) == [ranks[part] for part in parts]
+
+
 def test_rows(documents):
     rows = [(1, "a b"), (1, "a b"), (None, None), (2, ""), (3, "long " * 9000)]
     coded = encode_decode(documents(rows), PATH, public_tokenizers.PATTERN)
