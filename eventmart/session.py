@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Event times are UTC; a repeated JSON key keeps its last value. The JVM does not compile
 # methods above 8000 bytes, so generated code that large is better split than fused.
-# Event lines shrink about fifteenfold in a shuffle, so the 64 MB that Spark aims at for a task
-# become a gigabyte there, which the sort before a write by folder has to spill.
+# Event lines shrink about tenfold in a shuffle, so the 64 MB that Spark aims at for a task
+# become over half a gigabyte there, which the sort before a write by folder may have to spill.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
