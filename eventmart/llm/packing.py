@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
-from collections.abc import Iterator
+import re
+import unicodedata
+from collections.abc import Iterable, Iterator
 from functools import cache
 from zlib import crc32
 
@@ -17,11 +20,36 @@ from tokenizers import Tokenizer
 from eventmart.llm.common import mix, pick, prepare, slices, text_or_empty
 
 DOCS_PER_GROUP, BYTES_PER_GROUP = 4096, 16 << 20
-REMEMBERED = 400_000  # parts; a worker keeps the ids of twice as many at most
+REMEMBERED = 300_000  # pieces, or parts; a worker keeps the ids of twice as many at most
 LONGEST_REMEMBERED = 64
 GROUP_BITS = 24  # bins of a group are numbered below 2**24
 
 
+def _characters(kinds: str) -> str:
+    """The characters of some kinds, as ranges for a pattern: only those of which Unicode has
+    said the same since version 3.2, whatever the version the tokenizer library knows."""
+    old, codes = unicodedata.ucd_3_2_0, range(0x21, 0x10000)
+    same = [c for c in codes if old.category(chr(c))[0] == unicodedata.category(chr(c))[0]]
+    found = np.array([c for c in same if unicodedata.category(chr(c))[0] in kinds])
+    edge = np.flatnonzero(np.diff(found) > 1)
+    ranges = zip(found[np.append(0, edge + 1)], found[np.append(edge, -1)])
+    return "".join(f"\\u{first:04x}-\\u{last:04x}" for first, last in ranges)
+
+
+LETTER, NUMBER = _characters("L"), _characters("N")
+is_common = re.compile(rf"[\n {_characters('LNPSM')}]*").fullmatch
+#: The pattern of byte-level tokenizers, for texts of such characters.
+pieces_of = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^\n {LETTER}{NUMBER}]+"
+    r"|[\n ]+(?![^\n ])|[\n ]+"
+).findall
+# The characters that stand for bytes in a byte-level vocabulary; 255, which no text has, ends
+# a piece.
+_printed = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_others = [byte for byte in range(256) if byte not in _printed]
+BYTE_CHARACTERS = {byte: chr(256 + i) for i, byte in enumerate(_others)} | {255: "\n"}
+
+
 class Tournament:
     """Bins of equal capacity; a complete binary tree holds the largest room below a node."""
 
@@ -68,18 +96,24 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
 class CachedTokenizer:
     """A byte-level tokenizer of the ``tokenizers`` library that remembers parts of texts.
 
-    A space before a character that is not white space always starts a pre-token, so a
-    text is the sum of its parts between spaces. The new parts of a batch are encoded as
-    one text with a line each: a single line break between other characters is a token of
-    its own, so the ids of the parts lie between line breaks. Other parts, and texts where
-    a space stands before white space or that hold the string of an added token, are
-    encoded on their own.
+    Texts of common characters are cut into pieces by the library's pattern, and each new
+    piece is merged by the library's model.
+
+    In other texts, a space before a character that is not white space always starts a
+    pre-token, so a text is the sum of its parts between spaces. The new parts of a batch
+    are encoded as one text with a line each: a single line break between other characters
+    is a token of its own, so the ids of the parts lie between line breaks. Other parts, and
+    texts where a space stands before white space or that hold the string of an added token,
+    are encoded on their own.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # By part with the space before it, if any; and what was known before ``known`` grew full.
+        self.in_pieces = _is_byte_level(path)
+        # What is known, and what was known before it grew full; parts with the space before them.
+        self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
@@ -104,7 +138,44 @@ class CachedTokenizer:
         parts = iter([blob[a:b] for a, b in zip([0, *(x + 4 for x in stops)], stops)])
         return [self._whole(x) if n is None else next(parts) for x, n in zip(lines, breaks)]
 
+    def _merged(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces."""
+        if not pieces:
+            return []
+        data = b"\xff".join([piece.encode() for piece in pieces]).decode("latin-1")
+        merge = self.tokenizer.model.tokenize
+        ids, ends = [], [0]
+        for piece in data.translate(BYTE_CHARACTERS).split("\n"):
+            for token in merge(piece):
+                ids.append(token.id)
+            ends.append(len(ids))
+        blob = np.array(ids, "<u4").tobytes()
+        return [blob[4 * a : 4 * b] for a, b in zip(ends, ends[1:])]
+
+    def _cut(self, text: str) -> list[str] | None:
+        if self.in_pieces and is_common(text) and not any(x in text for x in self.added):
+            return pieces_of(text)
+        return None
+
     def encode(self, texts: list[str]) -> list[bytes]:
+        cut = [self._cut(text) for text in texts]
+        if len(self.pieces) >= REMEMBERED:
+            self.pieces, self.older_pieces = {}, self.pieces
+        pieces, older = self.pieces, self.older_pieces
+        new = set().union(*filter(None, cut)).difference(pieces)
+        again = [piece for piece in new if piece in older]
+        pieces.update((piece, older[piece]) for piece in again)
+        new.difference_update(again)
+        new = list(new)
+        pieces.update(zip(new, self._merged(new)))
+        others = [text for text, own in zip(texts, cut) if own is None]
+        rest = iter(self._encode_by_parts(others) if others else [])
+        known = pieces.__getitem__
+        found = [next(rest) if own is None else b"".join(map(known, own)) for own in cut]
+        _forget_long(new, pieces)
+        return found
+
+    def _encode_by_parts(self, texts: list[str]) -> list[bytes]:
         special = {i for i, text in enumerate(texts) if any(x in text for x in self.added)}
         cut = [[""] if i in special else text.split(" ") for i, text in enumerate(texts)]
         if len(self.known) >= REMEMBERED:
@@ -129,13 +200,30 @@ class CachedTokenizer:
                     found.append(heads[parts[0]] + b"".join(map(known.__getitem__, parts[1:])))
             except KeyError:  # a space before white space or the end
                 found.append(self._whole(text))
-        for part in [*new, *begins]:
-            if len(part) > LONGEST_REMEMBERED:
-                known.pop(part, None)
-                heads.pop(part, None)
+        _forget_long(new, known)
+        _forget_long(begins, heads)
         return found
 
 
+def _forget_long(new: Iterable[str], known: dict[str, bytes]) -> None:
+    for part in new:
+        if len(part) > LONGEST_REMEMBERED:
+            known.pop(part, None)
+
+
+def _is_byte_level(path: str) -> bool:
+    """Whether the byte-level pattern alone cuts texts before the model merges."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    cut = spec.get("pre_tokenizer") or {}
+    return (
+        cut.get("type") == "ByteLevel"
+        and cut.get("use_regex", True)
+        and not cut.get("add_prefix_space")
+        and not any(spec.get(name) for name in ("normalizer", "truncation", "padding"))
+    )
+
+
 def _line_breaks(line: str) -> int | None:
     """How many line breaks a string holds, if they are all its white space but a space
     before it, and each lies between other characters; else None."""

@@ -1,5 +1,6 @@
 """Packing: pieces, sequences, and ids against the tokenizer on whole texts."""
 
+import json
 import random
 from collections import defaultdict
 
@@ -110,3 +111,35 @@ def test_what_is_remembered_changes_no_ids(monkeypatch):
             expected = plain.encode(text, add_special_tokens=False).ids
             assert np.frombuffer(ids, "<u4").tolist() == expected, text
     assert len(tokenizer.older) > 0
+
+
+def test_pieces_give_the_ids_of_whole_texts():
+    """Every common character beside letters, numbers, signs and white space; contractions."""
+    tokenizer, plain = packing.CachedTokenizer(PATH), Tokenizer.from_file(PATH)
+    draw = random.Random(5)
+    common = [c for c in map(chr, range(0x10000)) if packing.is_common(c)]
+    assert len(common) > 40000 and not {"\t", "\x1c", "\u00a0", "\u2003", "\ud800"} & set(common)
+    texts = ["".join(f"a{c}1{c}, {c}\n{c}{c} " for c in common[i::400]) for i in range(400)]
+    odd = ["'s", "'ll", " '", "'re", "'S", "\n", " ", "  ", "\n\n", "é", "x", "42", "²", "_", "!?", "ß日", "<|"]
+    texts += ["".join(draw.choices(odd, k=draw.randrange(25))) for _ in range(3000)]
+    for text, ids in zip(texts, tokenizer.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+    assert not tokenizer.known
+
+
+def test_known_pieces_are_not_encoded_again():
+    tokenizer = packing.CachedTokenizer(PATH)
+    tokenizer.encode(["One, two\n\nthree two"])
+    expected = Tokenizer.from_file(PATH).encode("One two,\n\nthree, two", add_special_tokens=False).ids
+    tokenizer.tokenizer = None
+    (ids,) = tokenizer.encode(["One two,\n\nthree, two"])
+    assert np.frombuffer(ids, "<u4").tolist() == expected
+
+
+def test_other_tokenizers_are_not_cut_into_pieces(tmp_path):
+    spec = json.loads(open(PATH, encoding="utf-8").read())
+    spec["normalizer"] = {"type": "Lowercase"}
+    (tmp_path / "lower.json").write_text(json.dumps(spec), encoding="utf-8")
+    (ids,) = packing.CachedTokenizer(str(tmp_path / "lower.json")).encode(["Some WORDS"])
+    expected = Tokenizer.from_file(PATH).encode("some words", add_special_tokens=False).ids
+    assert np.frombuffer(ids, "<u4").tolist() == expected
