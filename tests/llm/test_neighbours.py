@@ -48,8 +48,9 @@ def test_odd_rows(spark, monkeypatch, kind, rows_per_list):
     assert {(r.query_id, r.rank) for r in found} == {row[:2] for row in expected}
     hit = sum(got.get((q, i)) == score for q, _, i, score in expected)
     assert hit >= 0.97 * len(expected)
-    ordered = [(r.score, r.vec_id) for r in sorted(found, key=lambda r: (r.query_id, r.rank))]
-    assert all(a < b for a, b in zip(ordered, ordered[1:]) if a[0] <= b[0]) and got
+    ordered = sorted(found, key=lambda r: (r.query_id, r.rank))
+    pairs = [(a, b) for a, b in zip(ordered, ordered[1:]) if a.query_id == b.query_id]
+    assert all((a.score, a.vec_id) < (b.score, b.vec_id) for a, b in pairs) and pairs
     assert neighbours.search(table.limit(0)).count() == 0
 
 
