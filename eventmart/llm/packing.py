@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
-import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import cache
 from zlib import crc32
@@ -18,36 +16,21 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from eventmart.llm.common import mix, pick, prepare, slices, text_or_empty
+from eventmart.llm.pieces import PADDING, PieceMemory, cut_pieces, is_common, stretches
 
 DOCS_PER_GROUP, BYTES_PER_GROUP = 4096, 16 << 20
-REMEMBERED = 300_000  # pieces, or parts; a worker keeps the ids of twice as many at most
+REMEMBERED = 300_000  # parts; a worker keeps the ids of twice as many at most
 LONGEST_REMEMBERED = 64
+REMEMBERED_PIECES = 1 << 20  # whose ids a worker keeps at most
+MERGED_AT_ONCE, LOOKED_UP_AT_ONCE = 256, 1 << 18  # pieces
 GROUP_BITS = 24  # bins of a group are numbered below 2**24
 
-
-def _characters(kinds: str) -> str:
-    """The characters of some kinds, as ranges for a pattern: only those of which Unicode has
-    said the same since version 3.2, whatever the version the tokenizer library knows."""
-    old, codes = unicodedata.ucd_3_2_0, range(0x21, 0x10000)
-    same = [c for c in codes if old.category(chr(c))[0] == unicodedata.category(chr(c))[0]]
-    found = np.array([c for c in same if unicodedata.category(chr(c))[0] in kinds])
-    edge = np.flatnonzero(np.diff(found) > 1)
-    ranges = zip(found[np.append(0, edge + 1)], found[np.append(edge, -1)])
-    return "".join(f"\\u{first:04x}-\\u{last:04x}" for first, last in ranges)
-
-
-LETTER, NUMBER = _characters("L"), _characters("N")
-is_common = re.compile(rf"[\n {_characters('LNPSM')}]*").fullmatch
-#: The pattern of byte-level tokenizers, for texts of such characters.
-pieces_of = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^\n {LETTER}{NUMBER}]+"
-    r"|[\n ]+(?![^\n ])|[\n ]+"
-).findall
-# The characters that stand for bytes in a byte-level vocabulary; 255, which no text has, ends
-# a piece.
+# The characters that stand for bytes in a byte-level vocabulary.
 _printed = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _others = [byte for byte in range(256) if byte not in _printed]
-BYTE_CHARACTERS = {byte: chr(256 + i) for i, byte in enumerate(_others)} | {255: "\n"}
+BYTE_CHARACTERS = np.arange(256, dtype="<u2")
+BYTE_CHARACTERS[_others] = 256 + np.arange(len(_others))
+NO_TEXT = "\u00ff"  # stands for byte 255, which no text has
 
 
 class Tournament:
@@ -96,8 +79,9 @@ def first_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
 class CachedTokenizer:
     """A byte-level tokenizer of the ``tokenizers`` library that remembers parts of texts.
 
-    Texts of common characters are cut into pieces by the library's pattern, and each new
-    piece is merged by the library's model.
+    Texts of common characters are cut into pieces as the library cuts them, and new pieces
+    are merged by the library's model: many as one string, with a character between them that
+    the model merges with no other.
 
     In other texts, a space before a character that is not white space always starts a
     pre-token, so a text is the sum of its parts between spaces. The new parts of a batch
@@ -111,9 +95,9 @@ class CachedTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.in_pieces = _is_byte_level(path)
+        self.merger = Tokenizer(self.tokenizer.model)
+        self.pieces = PieceMemory(REMEMBERED_PIECES)
         # What is known, and what was known before it grew full; parts with the space before them.
-        self.pieces: dict[str, bytes] = {}
-        self.older_pieces: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
@@ -138,42 +122,52 @@ class CachedTokenizer:
         parts = iter([blob[a:b] for a, b in zip([0, *(x + 4 for x in stops)], stops)])
         return [self._whole(x) if n is None else next(parts) for x, n in zip(lines, breaks)]
 
-    def _merged(self, pieces: list[str]) -> list[bytes]:
-        """The ids of pieces."""
-        if not pieces:
-            return []
-        data = b"\xff".join([piece.encode() for piece in pieces]).decode("latin-1")
-        merge = self.tokenizer.model.tokenize
-        ids, ends = [], [0]
-        for piece in data.translate(BYTE_CHARACTERS).split("\n"):
-            for token in merge(piece):
-                ids.append(token.id)
-            ends.append(len(ids))
-        blob = np.array(ids, "<u4").tobytes()
-        return [blob[4 * a : 4 * b] for a, b in zip(ends, ends[1:])]
-
-    def _cut(self, text: str) -> list[str] | None:
-        if self.in_pieces and is_common(text) and not any(x in text for x in self.added):
-            return pieces_of(text)
-        return None
+    def _merged(
+        self, data: np.ndarray, begin: np.ndarray, size: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces of text, one after the other, and the number of each piece's ids."""
+        ends = np.cumsum(size + 1)
+        data = BYTE_CHARACTERS[data[stretches(begin, size + 1)]]
+        data[ends - 1] = ord(NO_TEXT)
+        text = data.tobytes().decode("utf-16-le")
+        stops = [0, *ends[MERGED_AT_ONCE - 1 : -1 : MERGED_AT_ONCE].tolist(), len(text)]
+        parts = [text[a:b] for a, b in zip(stops, stops[1:])]
+        found = self.merger.encode_batch_fast(parts, add_special_tokens=False)
+        ids = np.concatenate([np.array(part.ids, np.uint32) for part in found])
+        inside = ids != self.merger.token_to_id(NO_TEXT)
+        return ids[inside], np.diff(np.flatnonzero(~inside), prepend=-1) - 1
+
+    def _encode_in_pieces(self, texts: list[str]) -> list[bytes]:
+        joined = "\0".join([*texts, ""])
+        chars = np.frombuffer(joined.encode("utf-16-le"), "<u2")
+        data = np.frombuffer(joined.encode() + bytes(PADDING), np.uint8)
+        begin, end = cut_pieces(chars)
+        last = np.searchsorted(begin, np.flatnonzero(chars == 0))
+        if len(data) - PADDING > len(chars):  # from characters to bytes
+            width = 1 + (chars >= 0x80).astype(np.int64) + (chars >= 0x800)
+            place = np.cumsum(width) - width
+            begin, end = place[begin], place[end]
+        ids, sizes = [], [np.zeros(1, np.int64)]
+        for at in range(0, len(begin), LOOKED_UP_AT_ONCE):
+            some = slice(at, at + LOOKED_UP_AT_ONCE)
+            found = self.pieces.encode(data, begin[some], (end - begin)[some], self._merged)
+            ids.append(found[0].astype("<u4").tobytes())
+            sizes.append(found[1])
+        blob, stops = b"".join(ids), (4 * np.cumsum(np.concatenate(sizes))[last]).tolist()
+        return [blob[a:b] for a, b in zip([0, *stops], stops)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(text) for text in texts]
-        if len(self.pieces) >= REMEMBERED:
-            self.pieces, self.older_pieces = {}, self.pieces
-        pieces, older = self.pieces, self.older_pieces
-        new = set().union(*filter(None, cut)).difference(pieces)
-        again = [piece for piece in new if piece in older]
-        pieces.update((piece, older[piece]) for piece in again)
-        new.difference_update(again)
-        new = list(new)
-        pieces.update(zip(new, self._merged(new)))
-        others = [text for text, own in zip(texts, cut) if own is None]
-        rest = iter(self._encode_by_parts(others) if others else [])
-        known = pieces.__getitem__
-        found = [next(rest) if own is None else b"".join(map(known, own)) for own in cut]
-        _forget_long(new, pieces)
-        return found
+        common = [
+            self.in_pieces and bool(is_common(text)) and not any(x in text for x in self.added)
+            for text in texts
+        ]
+        ways = {True: self._encode_in_pieces, False: self._encode_by_parts}
+        found = {
+            own: iter(way([text for text, its in zip(texts, common) if its == own]))
+            for own, way in ways.items()
+            if own in common
+        }
+        return [next(found[own]) for own in common]
 
     def _encode_by_parts(self, texts: list[str]) -> list[bytes]:
         special = {i for i, text in enumerate(texts) if any(x in text for x in self.added)}
@@ -212,12 +206,18 @@ def _forget_long(new: Iterable[str], known: dict[str, bytes]) -> None:
 
 
 def _is_byte_level(path: str) -> bool:
-    """Whether the byte-level pattern alone cuts texts before the model merges."""
+    """Whether the byte-level pattern alone cuts texts, and then the model merges bytes by rank
+    alone and ``NO_TEXT`` with nothing."""
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
     cut = spec.get("pre_tokenizer") or {}
+    model = spec.get("model") or {}
+    options = ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
     return (
-        cut.get("type") == "ByteLevel"
+        model.get("type") == "BPE"
+        and not any(model.get(name) for name in options)
+        and [token for token in model["vocab"] if NO_TEXT in token] == [NO_TEXT]
+        and cut.get("type") == "ByteLevel"
         and cut.get("use_regex", True)
         and not cut.get("add_prefix_space")
         and not any(spec.get(name) for name in ("normalizer", "truncation", "padding"))
